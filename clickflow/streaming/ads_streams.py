@@ -139,16 +139,25 @@ def start_province_top_ads(
         .select(_day_label().alias("day"), "province", "adid", "clicks")
     )
 
+    body = province_top_body(counts_table, top_table, top_n)
+
+    return _start(counts, name, body, "update", trigger, checkpoint), top_table
+
+
+def province_top_body(counts_table: KeyedTable, top_table: KeyedTable, top_n: int):
+    """Per-batch body of the daily top-ads stream: upsert the changed counts, then
+    re-rank the touched (day, province) groups from their current counts."""
+
     def body(df: DataFrame, n: int) -> None:
+        spark = df.sparkSession
         counts_table.write(df, n)
-        written = counts_table.batch(spark, n)
-        touched = written.select("day", "province").distinct()
+        touched = counts_table.batch(spark, n).select("day", "province").distinct()
         # The semi join only references grouping keys, so Catalyst pushes it below the
         # merge aggregate: only the touched groups are read back and re-ranked.
         current = counts_table.current(spark, upto=n).join(touched, ["day", "province"], "left_semi")
         top_table.write(province_top_ads_json(rank_province_ads(current, top_n)), n)
 
-    return _start(counts, name, body, "update", trigger, checkpoint), top_table
+    return body
 
 
 # --------------------------------------------------------------------------- J7
@@ -273,7 +282,16 @@ def start_blacklist(
         if t is not None:
             t.ensure(spark)
 
+    body = blacklist_body(tables, threshold, accepted_cols)
+    return _start(clicks, name, body, "append", trigger, checkpoint), tables
+
+
+def blacklist_body(tables: BlacklistTables, threshold: int, accepted_cols: list[str]):
+    """The per-batch body of the blacklist stream (exposed for replay tests)."""
+    counts, bans, accepted = tables.counts, tables.bans, tables.accepted
+
     def body(df: DataFrame, n: int) -> None:
+        spark = df.sparkSession
         banned = bans.current(spark, upto=n - 1)
         kept = df.join(banned, "userid", "left_anti")
         if accepted is not None:
@@ -284,7 +302,7 @@ def start_blacklist(
         totals = counts.current(spark, upto=n).join(touched, ["day", "userid", "adid"], "left_semi")
         bans.write(over_threshold(totals, threshold), n)
 
-    return _start(clicks, name, body, "append", trigger, checkpoint), tables
+    return body
 
 
 def start_console_preview(df: DataFrame, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
