@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickflow.operators import (
     accepted_clicks,
     ad_click_trend,
-    ad_click_trend_json,
+    ad_click_trend_windows,
     ads_daily_clicks,
     blacklisted_users,
     category_action_counts,
@@ -93,7 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ads_province_top3": lambda s, d: province_top_ads(_clicks(s, d), TOP_ADS),
         "ads_province_top3_json": lambda s, d: province_top_ads_json(province_top_ads(_clicks(s, d), TOP_ADS)),
         "ads_click_trend": lambda s, d: _trend(s, d),
-        "ads_click_trend_json": lambda s, d: ad_click_trend_json(_trend(s, d)),
+        "ads_click_trend_json": lambda s, d: ad_click_trend_windows(
+            _clicks(s, d), TREND_WINDOW_MS, TREND_SLIDE_MS, TREND_BUCKET_MS
+        ),
         "user_ad_daily_clicks": lambda s, d: user_ad_daily_clicks(_clicks(s, d)),
         "blacklisted_users": lambda s, d: blacklisted_users(_clicks(s, d), THRESHOLD),
         "accepted_clicks": lambda s, d: accepted_clicks(_clicks(s, d), THRESHOLD).select(*CLICK_COLUMNS),

@@ -3,6 +3,7 @@
 from clickflow.operators.ads import (
     ad_click_trend,
     ad_click_trend_json,
+    ad_click_trend_windows,
     ads_daily_clicks,
     province_ad_clicks,
     province_top_ads,
@@ -46,6 +47,7 @@ __all__ = [
     "province_top_ads_json",
     "ad_click_trend",
     "ad_click_trend_json",
+    "ad_click_trend_windows",
     "user_ad_daily_clicks",
     "over_threshold",
     "blacklisted_users",

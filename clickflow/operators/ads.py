@@ -82,6 +82,34 @@ def _check_trend_sizes(window_ms: int, slide_ms: int, bucket_ms: int, twelve_hou
         raise ValueError("clock labels repeat inside a window this long")
 
 
+def _trend_counts(
+    clicks: DataFrame, window_ms: int, slide_ms: int, bucket_ms: int, twelve_hour: bool
+) -> DataFrame:
+    """(adid, _ws, bucket_ms, bucket_time, clicks) with the numeric window start ``_ws``."""
+    _check_trend_sizes(window_ms, slide_ms, bucket_ms, twelve_hour)
+    with_bucket = clicks.select("adid", "ts", bucket_start_ms("ts_ms", bucket_ms).alias("bucket_ms"))
+    if slide_ms % bucket_ms == 0 and window_ms % slide_ms == 0:
+        per_bucket = with_bucket.groupBy("bucket_ms", "adid").agg(F.count(F.lit(1)).alias("clicks"))
+        # Labels are formatted once per (bucket, ad), before the fan-out multiplies rows.
+        last_start = F.col("bucket_ms") - F.pmod(F.col("bucket_ms"), F.lit(slide_ms))
+        first_start = last_start - F.lit((window_ms // slide_ms - 1) * slide_ms)
+        return per_bucket.select(
+            "adid", "bucket_ms", clock_label("bucket_ms", twelve_hour).alias("bucket_time"), "clicks",
+        ).select(
+            "adid", "bucket_ms", "bucket_time", "clicks",
+            F.explode(F.sequence(first_start, last_start, F.lit(slide_ms).cast("bigint"))).alias("_ws"),
+        )
+    win = F.window("ts", f"{window_ms} milliseconds", f"{slide_ms} milliseconds")
+    return (
+        with_bucket.groupBy(win.alias("w"), "bucket_ms", "adid")
+        .agg(F.count(F.lit(1)).alias("clicks"))
+        .select(
+            "adid", "bucket_ms", clock_label("bucket_ms", twelve_hour).alias("bucket_time"), "clicks",
+            F.unix_millis(F.col("w.start")).alias("_ws"),
+        )
+    )
+
+
 def ad_click_trend(
     clicks: DataFrame,
     window_ms: int = REFERENCE_WINDOW_MS,
@@ -102,33 +130,43 @@ def ad_click_trend(
     are fanned out to the ``window/slide`` windows: the fan-out touches aggregated
     rows, not raw clicks. Otherwise Spark's ``window()`` expands raw rows.
     """
-    _check_trend_sizes(window_ms, slide_ms, bucket_ms, twelve_hour)
-    with_bucket = clicks.select("adid", "ts", "ts_ms", bucket_start_ms("ts_ms", bucket_ms).alias("bucket_ms"))
-    if slide_ms % bucket_ms == 0 and window_ms % slide_ms == 0:
-        per_bucket = with_bucket.groupBy("bucket_ms", "adid").agg(F.count(F.lit(1)).alias("clicks"))
-        n = window_ms // slide_ms
-        last_start = F.col("bucket_ms") - F.pmod(F.col("bucket_ms"), F.lit(slide_ms))
-        starts = F.transform(
-            F.sequence(F.lit(0), F.lit(n - 1)), lambda j: last_start - j.cast("bigint") * F.lit(slide_ms)
-        )
-        fanned = per_bucket.select("adid", "bucket_ms", "clicks", F.explode(starts).alias("_ws"))
-    else:
-        win = F.window("ts", f"{window_ms} milliseconds", f"{slide_ms} milliseconds")
-        fanned = (
-            with_bucket.groupBy(win.alias("w"), "bucket_ms", "adid")
-            .agg(F.count(F.lit(1)).alias("clicks"))
-            .select("adid", "bucket_ms", "clicks", F.unix_millis(F.col("w.start")).alias("_ws"))
-        )
-    return fanned.select(
+    counts = _trend_counts(clicks, window_ms, slide_ms, bucket_ms, twelve_hour)
+    return counts.select(
         "adid",
         _stamp(F.col("_ws")).alias("window_start"),
         _stamp(F.col("_ws") + F.lit(window_ms)).alias("window_end"),
         "bucket_ms",
-        clock_label("bucket_ms", twelve_hour).alias("bucket_time"),
+        "bucket_time",
         "clicks",
     )
 
 
+def ad_click_trend_windows(
+    clicks: DataFrame,
+    window_ms: int = REFERENCE_WINDOW_MS,
+    slide_ms: int = REFERENCE_SLIDE_MS,
+    bucket_ms: int = REFERENCE_BUCKET_MS,
+    twelve_hour: bool = False,
+) -> DataFrame:
+    """J7 value straight from clicks: (adid, window_start, window_end, trend_json).
+
+    Same result as ``ad_click_trend_json(ad_click_trend(...))``, but the rows are
+    grouped on the numeric window start and the window labels are formatted once per
+    (ad, window) instead of once per bucket row.
+    """
+    counts = _trend_counts(clicks, window_ms, slide_ms, bucket_ms, twelve_hour)
+    entries = F.sort_array(F.collect_list(F.struct("bucket_ms", "bucket_time", "clicks")))
+    per_window = counts.groupBy("adid", "_ws").agg(
+        ordered_json_object(F.transform(entries, lambda e: F.struct(e["bucket_time"], e["clicks"]))).alias("trend_json")
+    )
+    return per_window.select(
+        "adid",
+        _stamp(F.col("_ws")).alias("window_start"),
+        _stamp(F.col("_ws") + F.lit(window_ms)).alias("window_end"),
+        "trend_json",
+    )
+
+
 def _stamp(ms: Column) -> Column:
     return format_epoch_ms(ms, "yyyy-MM-dd HH:mm:ss")
 

@@ -4,8 +4,8 @@ Adjacent pairs come from ``lead(page_id)`` in time order inside a session. A sin
 session may be huge (a bot, a crawler), so the window is not partitioned by session
 alone: rows are windowed per (session, time chunk), where the chunk is a prefix of
 ``action_time`` (hour by default). The pair that crosses a chunk edge is found by a
-second window over the edge rows only (first and last row of each chunk, so at most
-two rows per chunk). Both windows are sort based and spill; no group is collected.
+second window over one summary row per chunk (first page, last page and time). Both
+windows are sort based and spill; no group is collected.
 """
 
 from __future__ import annotations
@@ -51,7 +51,12 @@ def session_page_pairs(
 ) -> DataFrame:
     """(session_id, action_time, page_id, next_page_id, page_jump) for every pair of
     consecutive actions of a session. Self pairs (``3-3``) are kept; a one-row session
-    gives none. ``action_time`` is the time of the first page of the pair."""
+    gives none. ``action_time`` is the time of the first page of the pair.
+
+    ``chunk_chars`` sets the chunk (13: hour, 10: day, 16: minute). A hot session is
+    split into one window task per chunk; the cross-chunk step handles one row per
+    chunk, so it costs little for dense sessions and at most one row per action for
+    sessions sparser than one action per chunk."""
     order = _order_cols(actions, tiebreak)
     base = actions.select(
         "session_id", *order, *([] if "page_id" in order else ["page_id"]),
@@ -59,24 +64,39 @@ def session_page_pairs(
     )
     w_in = Window.partitionBy("session_id", "_chunk").orderBy(*order)
     win = base.select(
-        "session_id", *order, *([] if "page_id" in order else ["page_id"]),
+        "session_id", "_chunk", *order, *([] if "page_id" in order else ["page_id"]),
         F.lead("page_id").over(w_in).alias("next_page_id"),
         F.row_number().over(w_in).alias("_pos"),
     )
-    inner = win.filter(F.col("next_page_id").isNotNull()).select(
+    # Both branches below read ``win``. The ``_pos`` test is always true; it keeps the
+    # column referenced in this branch too, so column pruning leaves the two window
+    # subtrees identical and Spark reuses one shuffle (one scan) for both.
+    inner = win.filter(F.col("next_page_id").isNotNull() & (F.col("_pos") > 0)).select(
         "session_id", "action_time", "page_id", "next_page_id"
     )
-    # First and last row of every chunk; the last row's successor is the first row of
-    # the next non-empty chunk of the same session.
-    edges = win.filter((F.col("_pos") == 1) | F.col("next_page_id").isNull())
-    w_s = Window.partitionBy("session_id").orderBy(*order)
+    # One row per chunk: its first page, and its last page and time. ``win`` is
+    # already clustered and sorted by (session, chunk), so this aggregate adds no
+    # shuffle and no sort. The last row's successor is the first page of the next
+    # non-empty chunk of the same session: a window over chunk rows only.
+    is_last = F.col("next_page_id").isNull()
+    chunks = win.groupBy("session_id", "_chunk").agg(
+        F.max(F.when(F.col("_pos") == 1, F.col("page_id"))).alias("_first_page"),
+        F.max(F.when(is_last, F.col("page_id"))).alias("_last_page"),
+        F.max(F.when(is_last, F.col("action_time"))).alias("_last_time"),
+    )
+    w_s = Window.partitionBy("session_id").orderBy("_chunk")
     boundary = (
-        edges.select(
-            "session_id", "action_time", "page_id", "next_page_id",
-            F.lead("page_id").over(w_s).alias("_succ"),
+        chunks.select(
+            "session_id", "_last_time", "_last_page",
+            F.lead("_first_page").over(w_s).alias("_succ"),
+        )
+        .filter(F.col("_succ").isNotNull())
+        .select(
+            "session_id",
+            F.col("_last_time").alias("action_time"),
+            F.col("_last_page").alias("page_id"),
+            F.col("_succ").alias("next_page_id"),
         )
-        .filter(F.col("next_page_id").isNull() & F.col("_succ").isNotNull())
-        .select("session_id", "action_time", "page_id", F.col("_succ").alias("next_page_id"))
     )
     pairs = inner.unionByName(boundary)
     return pairs.withColumn("page_jump", F.concat_ws("-", "page_id", "next_page_id"))

@@ -75,3 +75,30 @@ CATEGORY_COUNTS = T.StructType(
         T.StructField("pay_count", T.LongType()),
     ]
 )
+
+# Source tables of the shared test data, declared so that scans never infer a schema
+# from file footers (one footer read per query here, a full listing at scale).
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+NATION = T.StructType(
+    [
+        T.StructField("n_nationkey", T.IntegerType()),
+        T.StructField("n_name", T.StringType()),
+        T.StructField("n_regionkey", T.IntegerType()),
+    ]
+)
+REGION = T.StructType(
+    [
+        T.StructField("r_regionkey", T.IntegerType()),
+        T.StructField("r_name", T.StringType()),
+    ]
+)
+SOURCE_TABLES = {"events": EVENTS, "nation": NATION, "region": REGION}

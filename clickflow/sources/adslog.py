@@ -29,34 +29,23 @@ def parse_ad_lines(
     """
     if mode not in ("fail", "drop"):
         raise ValueError(f"mode must be 'fail' or 'drop', not {mode!r}")
-    parts = F.split(F.col(line_col), " ")
-    fields = {name: F.get(parts, i) for i, name in enumerate(FIELDS)}
-    ts_ms = fields["ts_ms"].try_cast("bigint")
-    bad = F.size(parts) < len(FIELDS)
-    for name in FIELDS:
-        bad = bad | F.coalesce(fields[name] == F.lit(""), F.lit(True))
-    bad = bad | ts_ms.isNull()
-    extra = [F.col(c) for c in (keep or [])]
-    parsed = df.select(
+    extra = [f"`{c}`" for c in (keep or [])]
+    line = f"`{line_col}`"
+    # get() gives null past the end of the array (ANSI-safe), try_cast null on junk.
+    split = df.selectExpr(*extra, f"split({line}, ' ') AS _p", f"{line} AS _line")
+    fields = split.selectExpr(
         *extra,
-        ts_ms.alias("ts_ms"),
-        *[fields[n].alias(n) for n in FIELDS[1:]],
-        bad.alias("_bad"),
-        F.col(line_col).alias("_line"),
+        "try_cast(get(_p, 0) AS BIGINT) AS ts_ms",
+        *[f"get(_p, {i}) AS {n}" for i, n in enumerate(FIELDS) if i > 0],
+        "size(_p) < 5 OR " + " OR ".join(f"coalesce(get(_p, {i}) = '', true)" for i in range(5)) + " AS _bad",
+        "_line",
     )
+    bad = "(_bad OR ts_ms IS NULL)"
     if mode == "drop":
-        parsed = parsed.filter(~F.col("_bad"))
+        fields = fields.filter(f"NOT {bad}")
+        ts = "ts_ms"
     else:
-        parsed = parsed.withColumn(
-            "ts_ms",
-            F.when(
-                F.col("_bad"),
-                F.raise_error(F.concat(F.lit("malformed ad line: "), F.coalesce(F.col("_line"), F.lit("<null>")))),
-            ).otherwise(F.col("ts_ms")),
-        )
-    return parsed.select(
-        *extra,
-        "ts_ms",
-        F.timestamp_millis("ts_ms").alias("ts"),
-        *FIELDS[1:],
+        ts = f"CASE WHEN {bad} THEN CAST(raise_error(concat('malformed ad line: ', coalesce(_line, '<null>'))) AS BIGINT) ELSE ts_ms END"
+    return fields.selectExpr(*extra, f"{ts} AS ts_ms", *FIELDS[1:]).selectExpr(
+        *extra, "ts_ms", "timestamp_millis(ts_ms) AS ts", *FIELDS[1:]
     )

@@ -3,59 +3,61 @@
 The test data has no click log. ``events`` is mapped onto ``user_visit_action`` and
 ``ads_log`` with fixed expressions (FIXTURES.md section 2); the same expressions are
 written in DuckDB SQL for the oracle, so both engines see identical rows. ``event_id``
-is carried as the tie-break column.
+is carried as the tie-break column. The projections are SQL expression strings: one
+``selectExpr`` is parsed JVM-side in a single call instead of hundreds of Python ->
+JVM round trips for a Column tree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.sources.adslog import format_ad_line
+from clickflow.schemas import SOURCE_TABLES
 
 # Fixed values of the mapping (must equal the oracle's): k is the first integer in
 # ``props``; pages 1..10, categories 1..20, keywords kw0..kw5, cities 1..26, ads 1..10,
 # provinces are region names with spaces replaced by underscores.
-
-
-def _k() -> Column:
-    return F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
-
-
-def _cats(k: Column) -> Column:
-    first = (F.lit(1) + k % 20).cast("string")
-    second = F.when(k % 3 >= 1, F.concat(F.lit(","), (F.lit(1) + (k * 7) % 20).cast("string"))).otherwise(F.lit(""))
-    third = F.when(k % 3 == 2, F.concat(F.lit(","), (F.lit(1) + (k * 3) % 20).cast("string"))).otherwise(F.lit(""))
-    return F.concat(first, second, third)
+_K = "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS k"
+_CATS = (
+    "concat(CAST(1 + k % 20 AS STRING),"
+    " CASE WHEN k % 3 >= 1 THEN concat(',', CAST(1 + (k * 7) % 20 AS STRING)) ELSE '' END,"
+    " CASE WHEN k % 3 = 2 THEN concat(',', CAST(1 + (k * 3) % 20 AS STRING)) ELSE '' END) AS cats"
+)
+_UVA = [
+    "event_id",
+    "substr(ts_s, 1, 10) AS date",
+    "CAST(user_id AS BIGINT) AS user_id",
+    "concat(CAST(user_id AS STRING), '-', substr(ts_s, 1, 7)) AS session_id",
+    "CAST(1 + k % 10 AS BIGINT) AS page_id",
+    "substr(ts_s, 1, 19) AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 6 AS STRING)) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN CAST(1 + k % 20 AS BIGINT) ELSE CAST(-1 AS BIGINT) END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN CAST(1 + k AS BIGINT) ELSE CAST(-1 AS BIGINT) END AS click_product_id",
+    "CASE WHEN event_type = 'purchase' THEN cats END AS order_category_ids",
+    "CASE WHEN event_type = 'purchase' THEN cats END AS order_product_ids",
+    "CASE WHEN event_type = 'signup' THEN cats END AS pay_category_ids",
+    "CASE WHEN event_type = 'signup' THEN cats END AS pay_product_ids",
+    "CAST(1 + user_id % 26 AS BIGINT) AS city_id",
+]
+_ADS = [
+    "event_id",
+    "unix_millis(CAST(ts AS TIMESTAMP)) AS ts_ms",
+    "province",
+    "city",
+    "CAST(user_id AS STRING) AS userid",
+    "CAST(1 + k % 10 AS STRING) AS adid",
+]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SOURCE_TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_visit_action`` rows (plus ``event_id``) derived from ``events``."""
     ev = _read(spark, sf_dir, "events")
-    k = _k()
-    ts_str = F.col("ts").cast("string")
-    is_type = lambda t: F.col("event_type") == F.lit(t)
-    cats = _cats(k)
-    return ev.select(
-        F.col("event_id"),
-        F.substring(ts_str, 1, 10).alias("date"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.substring(ts_str, 1, 7)).alias("session_id"),
-        (F.lit(1) + k % 10).cast("bigint").alias("page_id"),
-        F.substring(ts_str, 1, 19).alias("action_time"),
-        F.when(is_type("view"), F.concat(F.lit("kw"), (k % 6).cast("string"))).alias("search_keyword"),
-        F.when(is_type("click"), (F.lit(1) + k % 20).cast("bigint")).otherwise(F.lit(-1).cast("bigint")).alias("click_category_id"),
-        F.when(is_type("click"), (F.lit(1) + k).cast("bigint")).otherwise(F.lit(-1).cast("bigint")).alias("click_product_id"),
-        F.when(is_type("purchase"), cats).alias("order_category_ids"),
-        F.when(is_type("purchase"), cats).alias("order_product_ids"),
-        F.when(is_type("signup"), cats).alias("pay_category_ids"),
-        F.when(is_type("signup"), cats).alias("pay_product_ids"),
-        (F.lit(1) + F.col("user_id") % 26).cast("bigint").alias("city_id"),
-    )
+    with_k = ev.selectExpr("event_id", "user_id", "event_type", "CAST(ts AS STRING) AS ts_s", _K)
+    return with_k.selectExpr("*", _CATS).selectExpr(*_UVA)
 
 
 def fixture_ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,26 +67,18 @@ def fixture_ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     them from their measured file size, no hint needed. ``ts`` is a TIMESTAMP_NTZ and is
     read as UTC wall-clock time: fixture queries pin the session zone to UTC.
     """
-    ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
-    nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    joined = ev.join(nation, F.col("n_nationkey") == F.col("user_id") % 25).join(
-        region, F.col("r_regionkey") == F.col("n_regionkey")
-    )
-    return joined.select(
-        F.col("event_id"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
-        F.regexp_replace("r_name", " ", "_").alias("province"),
-        F.col("n_name").alias("city"),
-        F.col("user_id").cast("string").alias("userid"),
-        (F.lit(1) + _k() % 10).cast("string").alias("adid"),
+    ev = _read(spark, sf_dir, "events").selectExpr("event_id", "ts", "user_id", _K)
+    # Dimension attributes are derived on the dimension rows, before the join.
+    nation = _read(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_name AS city", "n_regionkey")
+    region = _read(spark, sf_dir, "region").selectExpr("r_regionkey", "regexp_replace(r_name, ' ', '_') AS province")
+    joined = ev.join(nation, ev["user_id"] % 25 == nation["n_nationkey"]).join(
+        region, nation["n_regionkey"] == region["r_regionkey"]
     )
+    return joined.selectExpr(*_ADS)
 
 
 def fixture_ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ad clicks as wire lines, with ``event_id`` alongside (like a source offset)."""
-    ads = fixture_ads_log(spark, sf_dir)
-    return ads.select(
-        "event_id",
-        format_ad_line(F.col("ts_ms"), F.col("province"), F.col("city"), F.col("userid"), F.col("adid")).alias("line"),
+    return fixture_ads_log(spark, sf_dir).selectExpr(
+        "event_id", "concat_ws(' ', CAST(ts_ms AS STRING), province, city, userid, adid) AS line"
     )

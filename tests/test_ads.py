@@ -101,3 +101,14 @@ def test_trend_rejects_windows_with_repeating_labels(spark):
     df = clicks(spark, [(0, "P", "c", "u", "1")])
     with pytest.raises(ValueError):
         ad_click_trend(df, 2 * 86_400_000, 86_400_000, 86_400_000)
+
+
+@pytest.mark.parametrize("sizes", [(60_000, 10_000, 10_000), (50_000, 20_000, 10_000)])
+def test_trend_windows_equal_json_of_rows(spark, sizes):
+    import random
+    from clickflow.operators import ad_click_trend_windows
+    rnd = random.Random(3)
+    df = clicks(spark, [(rnd.randint(0, 300_000), "P", "c", "u", str(rnd.randint(1, 3))) for _ in range(200)])
+    a = sorted(tuple(r) for r in ad_click_trend_json(ad_click_trend(df, *sizes)).collect())
+    b = sorted(tuple(r) for r in ad_click_trend_windows(df, *sizes).select("adid", "window_start", "window_end", "trend_json").collect())
+    assert a == b
