@@ -13,6 +13,10 @@ Reading "as of N" merges the rows of all batches up to N:
 * ``set`` (SADD / SMEMBERS): the distinct keys.
 * ``append``: every row of every batch (an output log, e.g. accepted clicks).
 
+With ``partition_by`` (e.g. ``day``), every batch and snapshot is also partitioned
+by that key column and readers may name the partition values they need: a stream
+batch that touched two days reads two days of state, not the whole history.
+
 So that reads do not grow with the number of batches, a snapshot of the merged state
 is written after every ``compact_every``-th batch (``_snapshots/upto=N``, hidden from
 the table scan by its leading underscore). The snapshot schedule is a function of the
@@ -40,6 +44,7 @@ class KeyedTable:
         keys: Sequence[str],
         kind: str = "latest",
         compact_every: int = 0,
+        partition_by: str | None = None,
     ) -> None:
         if kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}")
@@ -51,6 +56,9 @@ class KeyedTable:
             raise ValueError("a set table has key columns only")
         self.kind = kind
         self.compact_every = compact_every
+        if partition_by is not None and partition_by not in self.keys:
+            raise ValueError("partition_by must be a key column")
+        self.partition_by = partition_by
         self._full = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
 
     # ------------------------------------------------------------------ layout
@@ -68,38 +76,50 @@ class KeyedTable:
         return ((upto + 1) // self.compact_every) * self.compact_every - 1
 
     # ------------------------------------------------------------------ writes
+    def _save(self, df: DataFrame, path: str) -> None:
+        writer = df.write.mode("overwrite")
+        if self.partition_by is not None:
+            writer = writer.partitionBy(self.partition_by)
+        writer.parquet(path)
+
     def ensure(self, spark: SparkSession) -> None:
         """Create the table with an empty sentinel partition, so that reads work before
         the first batch. Idempotent."""
-        spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(self._batch_path(-1))
+        self._save(spark.createDataFrame([], self.schema), self._batch_path(-1))
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Overwrite partition ``batch_id`` with ``df`` (keys and values, by name)."""
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        df.select(*cols).write.mode("overwrite").parquet(self._batch_path(batch_id))
+        self._save(df.select(*cols), self._batch_path(batch_id))
         if self.compact_every > 0 and (batch_id + 1) % self.compact_every == 0:
             self._compact(df.sparkSession, batch_id)
 
     def _compact(self, spark: SparkSession, upto: int) -> None:
         # Built from the previous snapshot, never from the one being written.
         state = self._merge(self._rows(spark, upto, self.snapshot_for(upto - 1)))
-        state.write.mode("overwrite").parquet(self._snapshot_path(upto))
+        self._save(state, self._snapshot_path(upto))
 
     # ------------------------------------------------------------------ reads
-    def _deltas(self, spark: SparkSession, after: int, upto: int | None) -> DataFrame:
+    def _only(self, df: DataFrame, parts: list | None) -> DataFrame:
+        # A literal IN list on the partition column: pruned at file listing.
+        if parts is None:
+            return df
+        return df.filter(F.col(self.partition_by).isin(list(parts)))
+
+    def _deltas(self, spark: SparkSession, after: int, upto: int | None, parts: list | None = None) -> DataFrame:
         df = spark.read.schema(self._full).option("basePath", self.path).parquet(self.path)
         cond = F.col("batch_id") > F.lit(after)
         if upto is not None:
             cond = cond & (F.col("batch_id") <= F.lit(upto))
-        return df.filter(cond)
+        return self._only(df.filter(cond), parts)
 
-    def _rows(self, spark: SparkSession, upto: int | None, snap: int) -> DataFrame:
+    def _rows(self, spark: SparkSession, upto: int | None, snap: int, parts: list | None = None) -> DataFrame:
         """Snapshot ``snap`` rows (if any) plus later delta rows, all with batch ids."""
-        deltas = self._deltas(spark, snap, upto)
+        deltas = self._deltas(spark, snap, upto, parts)
         if snap < 0:
             return deltas
         snapshot = spark.read.schema(self._full).parquet(self._snapshot_path(snap))
-        return snapshot.unionByName(deltas)
+        return self._only(snapshot, parts).unionByName(deltas)
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         if self.kind == "append":
@@ -112,9 +132,18 @@ class KeyedTable:
         newest = F.max_by(F.struct(*self.values, "batch_id"), F.col("batch_id")).alias("_v")
         return rows.groupBy(*self.keys).agg(newest).select(*self.keys, "_v.*")
 
-    def current(self, spark: SparkSession, upto: int | None = None, with_batch_id: bool = False) -> DataFrame:
-        """Merged state after batch ``upto`` (all batches when None)."""
-        state = self._merge(self._rows(spark, upto, self.snapshot_for(upto)))
+    def current(
+        self,
+        spark: SparkSession,
+        upto: int | None = None,
+        with_batch_id: bool = False,
+        partitions: list | None = None,
+    ) -> DataFrame:
+        """Merged state after batch ``upto`` (all batches when None), optionally only
+        for the given values of the ``partition_by`` column."""
+        if partitions is not None and self.partition_by is None:
+            raise ValueError("table has no partition column")
+        state = self._merge(self._rows(spark, upto, self.snapshot_for(upto), partitions))
         return state if with_batch_id else state.drop("batch_id")
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:

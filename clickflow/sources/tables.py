@@ -36,3 +36,11 @@ def as_actions(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in USER_VISIT_ACTION.fields]
     extra = [F.col(c) for c in (keep or [])]
     return df.select(*extra, *cols)
+
+
+def actions_from_rows(spark: SparkSession, rows: list[tuple], keep_schema: str | None = None) -> DataFrame:
+    """Local rows (in ``USER_VISIT_ACTION`` column order, with optional leading
+    ``keep_schema`` columns) -> a typed DataFrame. For fixtures and small lookups only:
+    the rows travel through the driver."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in USER_VISIT_ACTION.fields)
+    return spark.createDataFrame(rows, f"{keep_schema}, {schema}" if keep_schema else schema)

@@ -48,6 +48,12 @@ def _start(df: DataFrame, name: str, body, mode: str, trigger: dict | None, chec
     return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
+def _touched_days(touched: DataFrame) -> list[str]:
+    """Distinct day labels of one micro-batch (a few values, bounded by the span of
+    event time a batch covers), used as a partition filter on state reads."""
+    return [r[0] for r in touched.select("day").distinct().collect()]
+
+
 def _day_label(window_col: str = "w") -> F.Column:
     return F.date_format(F.col(f"{window_col}.start"), "yyyy-MM-dd")
 
@@ -130,6 +136,7 @@ def start_province_top_ads(
         keys=["day", "province", "adid"],
         kind="latest",
         compact_every=compact_every,
+        partition_by="day",
     )
     counts_table.ensure(spark)
     counts = (
@@ -152,9 +159,11 @@ def province_top_body(counts_table: KeyedTable, top_table: KeyedTable, top_n: in
         spark = df.sparkSession
         counts_table.write(df, n)
         touched = counts_table.batch(spark, n).select("day", "province").distinct()
-        # The semi join only references grouping keys, so Catalyst pushes it below the
-        # merge aggregate: only the touched groups are read back and re-ranked.
-        current = counts_table.current(spark, upto=n).join(touched, ["day", "province"], "left_semi")
+        # Only the touched days are read (partition pruning); the distinct day labels of
+        # one micro-batch are a handful. The semi join only references grouping keys,
+        # so Catalyst pushes it below the merge aggregate.
+        days = _touched_days(touched)
+        current = counts_table.current(spark, upto=n, partitions=days).join(touched, ["day", "province"], "left_semi")
         top_table.write(province_top_ads_json(rank_province_ads(current, top_n)), n)
 
     return body
@@ -269,7 +278,7 @@ def start_blacklist(
     spark = clicks.sparkSession
     counts = KeyedTable(
         f"{root}/counts", "day STRING, userid STRING, adid STRING, clicks BIGINT",
-        keys=["day", "userid", "adid"], kind="sum", compact_every=compact_every,
+        keys=["day", "userid", "adid"], kind="sum", compact_every=compact_every, partition_by="day",
     )
     bans = KeyedTable(f"{root}/bans", "userid STRING", keys=["userid"], kind="set", compact_every=compact_every)
     accepted_cols = [c for c in clicks.columns if c != "ts"]
@@ -299,7 +308,8 @@ def blacklist_body(tables: BlacklistTables, threshold: int, accepted_cols: list[
             kept = accepted.batch(spark, n)
         counts.write(user_ad_daily_clicks(kept), n)
         touched = counts.batch(spark, n).select("day", "userid", "adid")
-        totals = counts.current(spark, upto=n).join(touched, ["day", "userid", "adid"], "left_semi")
+        days = _touched_days(touched) if counts.partition_by else None
+        totals = counts.current(spark, upto=n, partitions=days).join(touched, ["day", "userid", "adid"], "left_semi")
         bans.write(over_threshold(totals, threshold), n)
 
     return body

@@ -59,3 +59,17 @@ def test_latest_keeps_unwritten_keys_and_sum_adds(spark, tmpdir_):
     assert _state(spark, lt) == [("a", 5), ("b", 2)]
     assert _state(spark, st) == [("a", 6), ("b", 2)]
     assert _state(spark, lt, upto=0) == [("a", 1), ("b", 2)]
+
+
+def test_partitioned_reads_prune_and_agree(spark, tmpdir_):
+    t = KeyedTable(f"{tmpdir_}/p", "day STRING, k STRING, v BIGINT", ["day", "k"], "sum",
+                   compact_every=2, partition_by="day")
+    t.ensure(spark)
+    for n in range(5):
+        rows = [(f"d{(n + j) % 3}", f"k{j}", n + j) for j in range(3)]
+        t.write(spark.createDataFrame(rows, "day STRING, k STRING, v BIGINT"), n)
+    full = _state(spark, t)
+    part = sorted(tuple(r) for r in t.current(spark, partitions=["d1"]).collect())
+    assert part == [r for r in full if r[0] == "d1"]
+    from clickflow.plans.inspect import plan_text
+    assert "PartitionFilters" in plan_text(t.current(spark, upto=4, partitions=["d1"]))

@@ -36,3 +36,17 @@ def test_sink_callback_receives_tagged_rows(spark):
     run_category_top(spark, table="uva_test2", top_n=3, sink=lambda df: got.append(df.count()))
     assert got == [3]
     assert spark.table("uva_test2").filter(F.col("event_id") >= 0).count() == 1000
+
+
+def test_condition_json_to_job_args():
+    from clickflow.plans.params import job_params
+    got = job_params('{"startDate": "2024-01-05", "endDate": null, "targetPageFlow": "1,2,3", "x": 1}')
+    assert got == {"start": "2024-01-05", "target_pages": "1,2,3"}
+    assert job_params("") == {}
+
+
+def test_actions_from_rows(spark):
+    from clickflow.sources.tables import actions_from_rows
+    row = ("2024-01-01", 1, "s", 2, "2024-01-01 00:00:00", None, 5, 9, None, None, None, None, 3)
+    df = actions_from_rows(spark, [(7,) + row], keep_schema="event_id BIGINT")
+    assert df.count() == 1 and df.columns[0] == "event_id"

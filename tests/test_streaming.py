@@ -152,7 +152,7 @@ def test_blacklist_stream(spark, fixture_lines, tmpdir_, n_files):
 def test_blacklist_replayed_batch_changes_nothing(spark, fixture_lines, tmpdir_):
     root = f"{tmpdir_}/bl"
     counts = KeyedTable(f"{root}/counts", "day STRING, userid STRING, adid STRING, clicks BIGINT",
-                        ["day", "userid", "adid"], "sum", compact_every=2)
+                        ["day", "userid", "adid"], "sum", compact_every=2, partition_by="day")
     bans = KeyedTable(f"{root}/bans", "userid STRING", ["userid"], "set", compact_every=2)
     clicks = batch_clicks(spark, fixture_lines)
     cols = [c for c in clicks.columns if c != "ts"]
