@@ -13,6 +13,9 @@ DEFAULTS = {
     # original jobs used. Pin it so that results do not depend on the machine.
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column call in the JVM (for
+    # error messages): several extra round trips per function, paid at plan build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

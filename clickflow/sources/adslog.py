@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 FIELDS = ("ts_ms", "province", "city", "userid", "adid")
@@ -18,6 +18,7 @@ def parse_ad_lines(
     line_col: str = "line",
     mode: str = "fail",
     keep: list[str] | None = None,
+    metrics: Observation | str | None = None,
 ) -> DataFrame:
     """Split each line on single spaces into a typed click row.
 
@@ -26,6 +27,10 @@ def parse_ad_lines(
     raises on the first malformed line (the original job died there); ``mode="drop"``
     skips them. Every expression is a JVM built-in, so parsing stays in codegen.
     Output: ``keep`` columns, ts_ms BIGINT, ts TIMESTAMP, province, city, userid, adid.
+
+    ``metrics`` (an ``Observation``, or a name for streams, where the values appear in
+    the query progress) collects ``lines`` and ``malformed`` counts as the data flows
+    through the first action: no extra pass over the input.
     """
     if mode not in ("fail", "drop"):
         raise ValueError(f"mode must be 'fail' or 'drop', not {mode!r}")
@@ -41,6 +46,10 @@ def parse_ad_lines(
         "_line",
     )
     bad = "(_bad OR ts_ms IS NULL)"
+    if metrics is not None:
+        fields = fields.observe(
+            metrics, F.count(F.lit(1)).alias("lines"), F.count_if(F.expr(bad)).alias("malformed")
+        )
     if mode == "drop":
         fields = fields.filter(f"NOT {bad}")
         ts = "ts_ms"

@@ -61,8 +61,12 @@ def read_ad_lines_stream(
     raise ValueError(f"unknown stream format {fmt!r}")
 
 
-def ad_clicks_stream(lines: DataFrame, mode: str = "fail", keep: list[str] | None = None) -> DataFrame:
-    """Parse a line stream into clicks with a ``day`` label (same parser as batch)."""
+def ad_clicks_stream(
+    lines: DataFrame, mode: str = "fail", keep: list[str] | None = None, metrics: str | None = None
+) -> DataFrame:
+    """Parse a line stream into clicks with a ``day`` label (same parser as batch).
+    With ``metrics="name"`` the line and malformed counts of every micro-batch are
+    reported in ``query.lastProgress["observedMetrics"]["name"]``."""
     if keep is None:
         keep = [c for c in lines.columns if c != "line"]
-    return with_day(parse_ad_lines(lines, "line", mode=mode, keep=keep))
+    return with_day(parse_ad_lines(lines, "line", mode=mode, keep=keep, metrics=metrics))

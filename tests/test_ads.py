@@ -112,3 +112,11 @@ def test_trend_windows_equal_json_of_rows(spark, sizes):
     a = sorted(tuple(r) for r in ad_click_trend_json(ad_click_trend(df, *sizes)).collect())
     b = sorted(tuple(r) for r in ad_click_trend_windows(df, *sizes).select("adid", "window_start", "window_end", "trend_json").collect())
     assert a == b
+
+
+def test_drop_mode_counts_malformed_lines(spark):
+    from pyspark.sql import Observation
+    obs = Observation("ad_lines")
+    df = parse_ad_lines(lines(spark, "5 a b c d", "1 a b", "x a b c d", "6 a b c d"), mode="drop", metrics=obs)
+    assert df.count() == 2
+    assert obs.get == {"lines": 4, "malformed": 2}
