@@ -82,3 +82,10 @@ def test_chunked_adjacency_equals_brute_force(spark):
             for r in session_page_pairs(df, chunk_chars=chunk).collect()
         )
         assert got == expect, chunk
+
+
+def test_without_event_id_ties_break_on_page(spark):
+    rows = [{"session_id": "s", "page_id": p, "action_time": "2024-01-01 00:00:00"} for p in (5, 3, 4)]
+    df = make_actions(spark, rows).drop("event_id")
+    got = sorted((r.page_id, r.next_page_id) for r in session_page_pairs(df).collect())
+    assert got == [(3, 4), (4, 5)]

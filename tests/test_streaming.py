@@ -47,9 +47,9 @@ def write_files(pdf, n_files, directory):
     return directory
 
 
-def stream_of(spark, directory):
+def stream_of(spark, directory, metrics=None):
     lines = read_ad_lines_stream(spark, "parquet", directory, schema="event_id BIGINT, line STRING", max_per_trigger=1)
-    return ad_clicks_stream(lines)
+    return ad_clicks_stream(lines, metrics=metrics)
 
 
 def rows(df, cols=None):
@@ -66,10 +66,12 @@ def batch_clicks(spark, pdf):
 @pytest.mark.parametrize("n_files", [1, 4])
 def test_daily_clicks_stream_equals_batch(spark, fixture_lines, tmpdir_, n_files):
     src = write_files(fixture_lines, n_files, f"{tmpdir_}/in")
-    q, table = start_daily_clicks(stream_of(spark, src), f"{tmpdir_}/out", trigger=NOW,
+    q, table = start_daily_clicks(stream_of(spark, src, metrics="ad_lines"), f"{tmpdir_}/out", trigger=NOW,
                                   checkpoint=f"{tmpdir_}/cp", compact_every=2)
     q.awaitTermination()
     assert rows(table.current(spark)) == rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
+    seen = sum(p["observedMetrics"]["ad_lines"]["lines"] for p in q.recentProgress if "ad_lines" in p.get("observedMetrics", {}))
+    assert seen == len(fixture_lines)
 
 
 def test_daily_clicks_restart_from_checkpoint(spark, fixture_lines, tmpdir_):
@@ -172,3 +174,11 @@ def test_blacklist_replayed_batch_changes_nothing(spark, fixture_lines, tmpdir_)
     body(parts[2], 2)
     body(parts[3], 3)
     assert (rows(bans.current(spark)), rows(counts.current(spark)), rows(acc.current(spark))) == states[-1]
+
+
+def test_console_preview_runs(spark, fixture_lines, tmpdir_, capfd):
+    from clickflow.streaming.ads_streams import start_console_preview
+    src = write_files(fixture_lines.iloc[:5], 1, f"{tmpdir_}/in")
+    q = start_console_preview(stream_of(spark, src).select("userid", "adid"), trigger=NOW)
+    q.awaitTermination()
+    assert q.exception() is None
