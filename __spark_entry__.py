@@ -33,7 +33,7 @@ from clickflow.operators import (
 )
 from clickflow.operators.ads import with_day
 from clickflow.sources.adslog import parse_ad_lines
-from clickflow.sources.fixtures import fixture_actions, fixture_ad_lines
+from clickflow.sources.fixtures import fixture_actions, fixture_ad_clicks, fixture_ad_lines
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -60,7 +60,13 @@ def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed ad clicks, through the same wire-line parser a stream uses."""
+    """Typed ad clicks (the ``ads_log`` view of FIXTURES.md section 2) with a day label."""
+    _utc(spark)
+    return with_day(fixture_ad_clicks(spark, sf_dir))
+
+
+def _parsed_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad clicks rebuilt as wire lines and parsed back, as a stream receives them."""
     _utc(spark)
     return with_day(parse_ad_lines(fixture_ad_lines(spark, sf_dir), keep=["event_id"]))
 
@@ -88,7 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "page_view_counts": lambda s, d: page_view_counts(_actions(s, d), TARGET_PAGES),
         "page_jump_rate": lambda s, d: page_jump_rate(_actions(s, d), TARGET_PAGES),
-        "ads_log_parse": lambda s, d: _clicks(s, d).select(*CLICK_COLUMNS),
+        "ads_log_parse": lambda s, d: _parsed_clicks(s, d).select(*CLICK_COLUMNS),
         "ads_daily_clicks": lambda s, d: ads_daily_clicks(_clicks(s, d)),
         "ads_province_top3": lambda s, d: province_top_ads(_clicks(s, d), TOP_ADS),
         "ads_province_top3_json": lambda s, d: province_top_ads_json(province_top_ads(_clicks(s, d), TOP_ADS)),
