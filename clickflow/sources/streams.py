@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickflow.operators.ads import with_day
 from clickflow.sources.adslog import parse_ad_lines
@@ -24,7 +25,7 @@ def read_ad_lines_stream(
     path: str | None = None,
     topic: str = "ads_log",
     bootstrap_servers: str | None = None,
-    schema: str | None = None,
+    schema: str | T.StructType | None = None,
     max_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
