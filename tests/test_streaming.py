@@ -182,3 +182,22 @@ def test_console_preview_runs(spark, fixture_lines, tmpdir_, capfd):
     q = start_console_preview(stream_of(spark, src).select("userid", "adid"), trigger=NOW)
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_daily_clicks_stream_in_a_non_utc_zone(spark, fixture_lines, tmpdir_):
+    from clickflow.streaming.ads_streams import _utc_offset_seconds
+    assert _utc_offset_seconds("+08:00") == 28_800 and _utc_offset_seconds("UTC") == 0
+    assert _utc_offset_seconds("Asia/Shanghai") == 28_800
+    src = write_files(fixture_lines, 2, f"{tmpdir_}/in")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        q, table = start_daily_clicks(stream_of(spark, src), f"{tmpdir_}/out", trigger=NOW, checkpoint=f"{tmpdir_}/cp")
+        q.awaitTermination()
+        got = rows(table.current(spark))
+        expect = rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == expect
+    # Labels really are local days: some differ from the UTC labels.
+    utc = rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
+    assert got != utc
