@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from clickflow.functions.jsonfmt import ordered_json_object
 from clickflow.functions.timefmt import bucket_start_ms, clock_label, day_label, format_epoch_ms
 
-MINUTE_MS = 60_000
 # Fixed values of the original trend job: 60 s window sliding every 10 s, 10 s buckets.
 REFERENCE_WINDOW_MS, REFERENCE_SLIDE_MS, REFERENCE_BUCKET_MS = 60_000, 10_000, 10_000
 DAY_MS = 86_400_000

@@ -1,7 +1,6 @@
 """Streams (file source, availableNow) against the batch jobs on the same input."""
 
 import os
-import tempfile
 
 import pyarrow as pa
 import pyarrow.parquet as pq
