@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import DataFrame
@@ -9,9 +11,10 @@ from pyspark.sql import DataFrame
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The ``explain`` output as a string (the initial adaptive plan unless executed)."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
-    )
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
 
 
 def count_nodes(df: DataFrame, name: str) -> int:
