@@ -27,9 +27,11 @@ def category_session_top_n(
     smaller session id. ``top_categories`` may be passed in to reuse a J1 result.
     """
     if top_categories is None:
-        top_categories = category_top_n(actions, top_n)
-    # The list is bounded by top_n rows: broadcasting it is safe at any input size.
-    top = F.broadcast(top_categories.select("category_id").limit(top_n))
+        # The J1 list holds at most top_n rows: broadcasting it is safe at any input size.
+        top = F.broadcast(category_top_n(actions, top_n).select("category_id"))
+    else:
+        # A caller's list has no proven bound: AQE broadcasts it if it measures small.
+        top = top_categories.select("category_id")
     clicks = actions.filter(
         F.col("click_category_id").isNotNull() & (F.col("click_category_id") != F.lit(-1))
     ).select(F.col("click_category_id").cast("string").alias("category_id"), "session_id")

@@ -96,3 +96,11 @@ def test_time_range_is_inclusive_string_compare(spark):
     assert filter_time_range(df, "2024-01-05", "2024-01-05 00:00:00").count() == 1
     assert filter_time_range(df, None, None).count() == 3
     assert filter_time_range(df, "", "").count() == 3
+
+
+def test_caller_supplied_category_list_is_used_whole(spark):
+    rows = [{"click_category_id": c, "session_id": f"s{c}"} for c in range(1, 15)]
+    df = make_actions(spark, rows)
+    cats = spark.createDataFrame([(str(c),) for c in range(1, 15)], "category_id STRING")
+    got = category_session_top_n(df, top_n=3, top_categories=cats)
+    assert got.select("category_id").distinct().count() == 14
