@@ -93,13 +93,18 @@ def start_daily_clicks(
     checkpoint: str | None = None,
     compact_every: int = 0,
     name: str = "ads_daily_clicks",
+    output_mode: str = "update",
 ) -> tuple[StreamingQuery, KeyedTable]:
     """Running clicks per (day, province, city, adid), upserted each batch.
 
-    Update mode: a batch writes only the keys it changed, with their running totals
-    (the original re-wrote every key every batch). Reading the table's latest values
-    gives the batch job's result.
+    Update mode (default): a batch writes only the keys it changed, with their running
+    totals. ``output_mode="complete"`` re-writes every key every batch, as the original
+    did; it keeps all state (the watermark cannot evict) and its writes grow with the
+    key count, so use it only for small key sets. Reading the table's latest values
+    gives the batch job's result either way.
     """
+    if output_mode not in ("update", "complete"):
+        raise ValueError("output_mode must be 'update' or 'complete'")
     spark = clicks.sparkSession
     table = KeyedTable(
         table_path,
@@ -115,7 +120,7 @@ def start_daily_clicks(
         .agg(F.count(F.lit(1)).alias("clicks"))
         .select(_day_label().alias("day"), "province", "city", "adid", "clicks")
     )
-    q = _start(counts, name, lambda df, n: table.write(df, n), "update", trigger, checkpoint)
+    q = _start(counts, name, lambda df, n: table.write(df, n), output_mode, trigger, checkpoint)
     return q, table
 
 

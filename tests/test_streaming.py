@@ -230,3 +230,14 @@ def test_province_top_replayed_batch_changes_nothing(spark, fixture_lines, tmpdi
     assert rows(top.current(spark)) == state
     expect = province_top_ads_json(province_top_ads(batch_clicks(spark, fixture_lines), 3))
     assert state == rows(expect)
+
+
+def test_daily_clicks_complete_mode(spark, fixture_lines, tmpdir_):
+    src = write_files(fixture_lines, 3, f"{tmpdir_}/in")
+    q, table = start_daily_clicks(stream_of(spark, src), f"{tmpdir_}/out", trigger=NOW,
+                                  checkpoint=f"{tmpdir_}/cp", output_mode="complete")
+    q.awaitTermination()
+    expect = rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
+    assert rows(table.current(spark)) == expect
+    last = max(p["batchId"] for p in q.recentProgress)
+    assert rows(table.batch(spark, last)) == expect  # every key re-written in the last batch
