@@ -112,6 +112,7 @@ def start_daily_clicks(
         keys=["day", "province", "city", "adid"],
         kind="latest",
         compact_every=compact_every,
+        partition_by="day",
     )
     table.ensure(spark)
     counts = (
@@ -153,6 +154,7 @@ def start_province_top_ads(
         keys=["day", "province"],
         kind="latest",
         compact_every=compact_every,
+        partition_by="day",
     )
     top_table.ensure(spark)
     if scope == "batch":
