@@ -77,6 +77,9 @@ class KeyedTable:
 
     # ------------------------------------------------------------------ writes
     def _save(self, df: DataFrame, path: str) -> None:
+        if self.partition_by is not None:
+            # Few files per partition value; AQE splits a hot value over several tasks.
+            df = df.hint("rebalance", self.partition_by)
         writer = df.write.mode("overwrite")
         if self.partition_by is not None:
             writer = writer.partitionBy(self.partition_by)

@@ -48,8 +48,13 @@ def publish_table(
 ) -> None:
     """Replace a managed table (drop-and-create semantics) with ``df``.
 
-    Partition the click log by ``date`` so that time-range jobs prune partitions.
+    Partition the click log by ``date`` so that time-range jobs prune partitions. The
+    rows are first rebalanced on the partition columns, so that each task writes few
+    directories (not one small file per date per task); AQE splits a hot date over
+    several tasks and merges small ones.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
