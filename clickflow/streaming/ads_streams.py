@@ -38,6 +38,9 @@ from clickflow.session import stream_checkpoint
 from clickflow.sinks.keyed import KeyedTable
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+# Keyed state is compacted into a snapshot every this many micro-batches, so a batch
+# reads one snapshot plus fewer deltas, however long the stream has run.
+DEFAULT_COMPACT_EVERY = 50
 
 
 def _start(df: DataFrame, name: str, body, mode: str, trigger: dict | None, checkpoint: str | None) -> StreamingQuery:
@@ -91,7 +94,7 @@ def start_daily_clicks(
     watermark: str = "1 hour",
     trigger: dict | None = None,
     checkpoint: str | None = None,
-    compact_every: int = 0,
+    compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_daily_clicks",
     output_mode: str = "update",
 ) -> tuple[StreamingQuery, KeyedTable]:
@@ -135,7 +138,7 @@ def start_province_top_ads(
     watermark: str = "1 hour",
     trigger: dict | None = None,
     checkpoint: str | None = None,
-    compact_every: int = 0,
+    compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_province_top",
 ) -> tuple[StreamingQuery, KeyedTable]:
     """Top ads per (day, province) as JSON, keyed by (day, province).
@@ -220,7 +223,7 @@ def start_click_trend(
     twelve_hour: bool = False,
     trigger: dict | None = None,
     checkpoint: str | None = None,
-    compact_every: int = 0,
+    compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_click_trend",
 ) -> tuple[StreamingQuery, TrendTables]:
     """Clicks per ad per bucket in sliding event-time windows; a window is written once,
@@ -297,7 +300,7 @@ def start_blacklist(
     keep_accepted: bool = True,
     trigger: dict | None = None,
     checkpoint: str | None = None,
-    compact_every: int = 0,
+    compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_blacklist",
 ) -> tuple[StreamingQuery, BlacklistTables]:
     """Dynamic blacklist. Per batch N: drop clicks of users banned in batches < N (the
