@@ -16,6 +16,12 @@ DEFAULTS = {
     # PySpark 4 records the Python call site of every Column call in the JVM (for
     # error messages): several extra round trips per function, paid at plan build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Streaming aggregation state (J5-J7) off the JVM heap, in RocksDB, with changelog
+    # checkpoints: state of millions of keys neither fills the heap nor is re-uploaded
+    # whole at every micro-batch. Fixed per checkpoint, hence a session default.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
