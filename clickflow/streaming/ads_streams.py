@@ -6,12 +6,9 @@ batch id N. Bodies read only batches <= N of their own tables, so re-running bat
 after a failure rewrites the same rows: the outputs are exactly-once although the
 sinks are plain files. Checkpoints default to the shared ``spark.checkpoint.dir``.
 
-Day windows (J5, J6) are ``window(ts, '1 day')`` shifted by the session zone's UTC
-offset, so that they cover local days and agree with the ``yyyy-MM-dd`` labels. This is
-exact for fixed-offset zones (UTC, Asia/Shanghai, ...); in a zone with daylight saving
-time, the offset in force when the stream starts is used, and clicks within an hour
-of midnight land in a neighbouring day for part of the year (prefer UTC there).
-Watermarks bound the state (the original kept every key forever).
+Day windows (J5, J6) are the local days of the session zone, daylight-saving days
+included, so they agree with the ``yyyy-MM-dd`` labels of the batch jobs. Watermarks
+bound the state (the original kept every key forever).
 """
 
 from __future__ import annotations
@@ -59,32 +56,19 @@ def _touched_days(touched: DataFrame) -> list[str]:
     return [r[0] for r in touched.select("day").distinct().collect()]
 
 
-def _utc_offset_seconds(zone: str) -> int:
-    """Current UTC offset of a session zone id (region id, ``UTC``, or ``+08:00``)."""
-    import datetime as dt
-    import re
+def _local_days(clicks: DataFrame, watermark: str) -> tuple[DataFrame, F.Column, F.Column]:
+    """(clicks with a watermark, day window, day label) for local days of the session zone.
 
-    m = re.fullmatch(r"(?:UTC|GMT)?([+-])(\d{1,2})(?::?(\d{2}))?", zone.strip())
-    if m:
-        sign = 1 if m.group(1) == "+" else -1
-        return sign * (int(m.group(2)) * 3600 + int(m.group(3) or 0) * 60)
-    try:
-        from zoneinfo import ZoneInfo
-
-        off = dt.datetime.now(ZoneInfo(zone)).utcoffset()
-        return int(off.total_seconds()) if off is not None else 0
-    except Exception:  # unknown id: Spark would reject it too; fall back to UTC days
-        return 0
-
-
-def _day_window(clicks: DataFrame) -> F.Column:
+    Each instant is shifted by its own UTC offset (``from_utc_timestamp``), so that UTC
+    day windows on the shifted time are exactly the local days, 23- and 25-hour days
+    included; the window start is shifted back to render its label. The watermark is
+    on the shifted column, which the window uses, so old days are evicted.
+    """
     zone = clicks.sparkSession.conf.get("spark.sql.session.timeZone")
-    start = (-_utc_offset_seconds(zone)) % 86_400
-    return F.window("ts", "1 day", "1 day", f"{start} seconds")
-
-
-def _day_label(window_col: str = "w") -> F.Column:
-    return F.date_format(F.col(f"{window_col}.start"), "yyyy-MM-dd")
+    shifted = clicks.withColumn("_local_ts", F.from_utc_timestamp("ts", zone)).withWatermark("_local_ts", watermark)
+    window = F.window("_local_ts", "1 day").alias("w")
+    label = F.date_format(F.to_utc_timestamp(F.col("w.start"), zone), "yyyy-MM-dd").alias("day")
+    return shifted, window, label
 
 
 # --------------------------------------------------------------------------- J5
@@ -118,11 +102,11 @@ def start_daily_clicks(
         partition_by="day",
     )
     table.ensure(spark)
+    timed, day_window, day_label = _local_days(clicks, watermark)
     counts = (
-        clicks.withWatermark("ts", watermark)
-        .groupBy(_day_window(clicks).alias("w"), "province", "city", "adid")
+        timed.groupBy(day_window, "province", "city", "adid")
         .agg(F.count(F.lit(1)).alias("clicks"))
-        .select(_day_label().alias("day"), "province", "city", "adid", "clicks")
+        .select(day_label, "province", "city", "adid", "clicks")
     )
     q = _start(counts, name, lambda df, n: table.write(df, n), output_mode, trigger, checkpoint)
     return q, table
@@ -175,11 +159,11 @@ def start_province_top_ads(
         partition_by="day",
     )
     counts_table.ensure(spark)
+    timed, day_window, day_label = _local_days(clicks, watermark)
     counts = (
-        clicks.withWatermark("ts", watermark)
-        .groupBy(_day_window(clicks).alias("w"), "province", "adid")
+        timed.groupBy(day_window, "province", "adid")
         .agg(F.count(F.lit(1)).alias("clicks"))
-        .select(_day_label().alias("day"), "province", "adid", "clicks")
+        .select(day_label, "province", "adid", "clicks")
     )
 
     body = province_top_body(counts_table, top_table, top_n)

@@ -184,9 +184,6 @@ def test_console_preview_runs(spark, fixture_lines, tmpdir_, capfd):
 
 
 def test_daily_clicks_stream_in_a_non_utc_zone(spark, fixture_lines, tmpdir_):
-    from clickflow.streaming.ads_streams import _utc_offset_seconds
-    assert _utc_offset_seconds("+08:00") == 28_800 and _utc_offset_seconds("UTC") == 0
-    assert _utc_offset_seconds("Asia/Shanghai") == 28_800
     src = write_files(fixture_lines, 2, f"{tmpdir_}/in")
     spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
     try:
@@ -241,3 +238,25 @@ def test_daily_clicks_complete_mode(spark, fixture_lines, tmpdir_):
     assert rows(table.current(spark)) == expect
     last = max(p["batchId"] for p in q.recentProgress)
     assert rows(table.batch(spark, last)) == expect  # every key re-written in the last batch
+
+
+def test_daily_clicks_stream_across_daylight_saving_days(spark, tmpdir_):
+    import datetime as dt
+
+    import pandas as pd
+    stamps = []
+    for day in (dt.date(2024, 3, 9), dt.date(2024, 3, 10), dt.date(2024, 11, 3), dt.date(2024, 11, 4)):
+        for h in range(0, 24, 2):
+            t = dt.datetime(day.year, day.month, day.day, h, 30, tzinfo=dt.timezone.utc)
+            stamps.append(int(t.timestamp() * 1000))
+    pdf = pd.DataFrame({"event_id": range(len(stamps)), "line": [f"{t} P c u 1" for t in stamps]})
+    src = write_files(pdf, 2, f"{tmpdir_}/in")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        q, table = start_daily_clicks(stream_of(spark, src), f"{tmpdir_}/out", trigger=NOW, checkpoint=f"{tmpdir_}/cp")
+        q.awaitTermination()
+        got = rows(table.current(spark))
+        expect = rows(ads_daily_clicks(batch_clicks(spark, pdf)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == expect
