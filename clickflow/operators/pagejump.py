@@ -4,8 +4,8 @@ Adjacent pairs come from ``lead(page_id)`` in time order inside a session. A sin
 session may be huge (a bot, a crawler), so the window is not partitioned by session
 alone: rows are windowed per (session, time chunk), where the chunk is a prefix of
 ``action_time`` (hour by default). The pair that crosses a chunk edge is found by a
-second window over one summary row per chunk (first page, last page and time). Both
-windows are sort based and spill; no group is collected.
+second window over the last row of each chunk, which carries the chunk's first page.
+Both windows are sort based and spill; no group is collected.
 """
 
 from __future__ import annotations
@@ -63,40 +63,31 @@ def session_page_pairs(
         F.substring("action_time", 1, chunk_chars).alias("_chunk"),
     )
     w_in = Window.partitionBy("session_id", "_chunk").orderBy(*order)
+    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     win = base.select(
         "session_id", "_chunk", *order, *([] if "page_id" in order else ["page_id"]),
         F.lead("page_id").over(w_in).alias("next_page_id"),
-        F.row_number().over(w_in).alias("_pos"),
+        F.first("page_id").over(running).alias("_first_page"),
     )
-    # Both branches below read ``win``. The ``_pos`` test is always true; it keeps the
-    # column referenced in this branch too, so column pruning leaves the two window
-    # subtrees identical and Spark reuses one shuffle (one scan) for both.
-    inner = win.filter(F.col("next_page_id").isNotNull() & (F.col("_pos") > 0)).select(
+    # Both branches below read ``win``. The ``_first_page`` test is always true; it
+    # keeps the column referenced in this branch too, so column pruning leaves the two
+    # window subtrees identical and Spark reuses one shuffle (one scan) for both.
+    inner = win.filter(F.col("next_page_id").isNotNull() & F.col("_first_page").isNotNull()).select(
         "session_id", "action_time", "page_id", "next_page_id"
     )
-    # One row per chunk: its first page, and its last page and time. ``win`` is
-    # already clustered and sorted by (session, chunk), so this aggregate adds no
-    # shuffle and no sort. The last row's successor is the first page of the next
-    # non-empty chunk of the same session: a window over chunk rows only.
-    is_last = F.col("next_page_id").isNull()
-    chunks = win.groupBy("session_id", "_chunk").agg(
-        F.max(F.when(F.col("_pos") == 1, F.col("page_id"))).alias("_first_page"),
-        F.max(F.when(is_last, F.col("page_id"))).alias("_last_page"),
-        F.max(F.when(is_last, F.col("action_time"))).alias("_last_time"),
-    )
+    # The last row of a chunk (no successor inside it) summarises the chunk: its page and
+    # time, and the chunk's first page (a running ``first``). No aggregate is needed.
+    # Its successor is the first page of the next non-empty chunk of the same session:
+    # a window over these summary rows only, one per chunk.
     w_s = Window.partitionBy("session_id").orderBy("_chunk")
     boundary = (
-        chunks.select(
-            "session_id", "_last_time", "_last_page",
+        win.filter(F.col("next_page_id").isNull())
+        .select(
+            "session_id", "action_time", "page_id",
             F.lead("_first_page").over(w_s).alias("_succ"),
         )
         .filter(F.col("_succ").isNotNull())
-        .select(
-            "session_id",
-            F.col("_last_time").alias("action_time"),
-            F.col("_last_page").alias("page_id"),
-            F.col("_succ").alias("next_page_id"),
-        )
+        .select("session_id", "action_time", "page_id", F.col("_succ").alias("next_page_id"))
     )
     pairs = inner.unionByName(boundary)
     return pairs.withColumn("page_jump", F.concat_ws("-", "page_id", "next_page_id"))
