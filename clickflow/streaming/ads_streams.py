@@ -26,6 +26,7 @@ from clickflow.operators.ads import (
     REFERENCE_WINDOW_MS,
     _check_trend_sizes,
     ad_click_trend_json,
+    ads_daily_clicks,
     province_top_ads,
     province_top_ads_json,
     rank_province_ads,
@@ -81,18 +82,38 @@ def start_daily_clicks(
     compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_daily_clicks",
     output_mode: str = "update",
+    state: str = "store",
 ) -> tuple[StreamingQuery, KeyedTable]:
     """Running clicks per (day, province, city, adid), upserted each batch.
 
-    Update mode (default): a batch writes only the keys it changed, with their running
-    totals. ``output_mode="complete"`` re-writes every key every batch, as the original
-    did; it keeps all state (the watermark cannot evict) and its writes grow with the
-    key count, so use it only for small key sets. Reading the table's latest values
-    gives the batch job's result either way.
+    ``state="store"`` (default) keeps the running counts in the streaming state store.
+    Update mode: a batch writes only the keys it changed, with their running totals.
+    ``output_mode="complete"`` re-writes every key every batch, as the original did; it
+    keeps all state (the watermark cannot evict) and its writes grow with the key count,
+    so use it only for small key sets. Reading the table's latest values gives the batch
+    job's result either way.
+
+    ``state="deltas"`` keeps no streaming state: each batch writes its own counts to a
+    summing table (the increment variant of the original), and reading the table sums
+    them. Late clicks of any age are counted; reads merge deltas (compacted).
     """
     if output_mode not in ("update", "complete"):
         raise ValueError("output_mode must be 'update' or 'complete'")
+    if state not in ("store", "deltas"):
+        raise ValueError("state must be 'store' or 'deltas'")
     spark = clicks.sparkSession
+    if state == "deltas":
+        deltas = KeyedTable(
+            table_path,
+            "day STRING, province STRING, city STRING, adid STRING, clicks BIGINT",
+            keys=["day", "province", "city", "adid"],
+            kind="sum",
+            compact_every=compact_every,
+            partition_by="day",
+        )
+        deltas.ensure(spark)
+        body = lambda df, n: deltas.write(ads_daily_clicks(df), n)
+        return _start(clicks, name, body, "append", trigger, checkpoint), deltas
     table = KeyedTable(
         table_path,
         "day STRING, province STRING, city STRING, adid STRING, clicks BIGINT",

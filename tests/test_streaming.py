@@ -260,3 +260,11 @@ def test_daily_clicks_stream_across_daylight_saving_days(spark, tmpdir_):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == expect
+
+
+def test_daily_clicks_delta_variant(spark, fixture_lines, tmpdir_):
+    src = write_files(fixture_lines, 3, f"{tmpdir_}/in")
+    q, table = start_daily_clicks(stream_of(spark, src), f"{tmpdir_}/out", trigger=NOW,
+                                  checkpoint=f"{tmpdir_}/cp", state="deltas", compact_every=2)
+    q.awaitTermination()
+    assert rows(table.current(spark)) == rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
