@@ -69,10 +69,8 @@ def session_page_pairs(
         F.lead("page_id").over(w_in).alias("next_page_id"),
         F.first("page_id").over(running).alias("_first_page"),
     )
-    # Both branches below read ``win``. The ``_first_page`` test is always true; it
-    # keeps the column referenced in this branch too, so column pruning leaves the two
-    # window subtrees identical and Spark reuses one shuffle (one scan) for both.
-    inner = win.filter(F.col("next_page_id").isNotNull() & F.col("_first_page").isNotNull()).select(
+    # Both branches below read ``win``: Spark reuses its shuffle (one scan) for both.
+    inner = win.filter(F.col("next_page_id").isNotNull()).select(
         "session_id", "action_time", "page_id", "next_page_id"
     )
     # The last row of a chunk (no successor inside it) summarises the chunk: its page and
