@@ -49,7 +49,7 @@ class KeyedTable:
         if kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}")
         self.path = path.rstrip("/")
-        self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.keys = list(keys)
         self.values = [f.name for f in self.schema.fields if f.name not in self.keys]
         if kind == "set" and self.values:
