@@ -258,16 +258,31 @@ def start_click_trend(
     )
     for t in (tables.rows, tables.windows, tables.latest):
         t.ensure(spark)
-    counts = (
-        clicks.withWatermark("ts", wm)
-        .withColumn("bucket_ms", bucket_start_ms("ts_ms", bucket_ms))
-        .groupBy(
-            F.window("ts", f"{window_ms} milliseconds", f"{slide_ms} milliseconds").alias("w"),
-            "bucket_ms",
-            "adid",
+    sliding = F.window("_t", f"{window_ms} milliseconds", f"{slide_ms} milliseconds").alias("w")
+    if slide_ms % bucket_ms == 0 and window_ms % slide_ms == 0:
+        # Count per (bucket, ad) first (a tumbling window), then fan only those counts
+        # out to the sliding windows: a chained event-time aggregation, so raw clicks
+        # are not multiplied by window/slide. ``window_time`` carries the event time
+        # (and the watermark) from the first aggregation to the second.
+        per_bucket = (
+            clicks.withWatermark("ts", wm)
+            .groupBy(F.window("ts", f"{bucket_ms} milliseconds").alias("b"), "adid")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(
+                F.window_time("b").alias("_t"),
+                F.unix_millis(F.col("b.start")).alias("bucket_ms"),
+                "adid",
+                "n",
+            )
+        )
+        counts = per_bucket.groupBy(sliding, "bucket_ms", "adid").agg(F.sum("n").alias("clicks"))
+    else:
+        counts = (
+            clicks.withWatermark("ts", wm)
+            .select(F.col("ts").alias("_t"), bucket_start_ms("ts_ms", bucket_ms).alias("bucket_ms"), "adid")
+            .groupBy(sliding, "bucket_ms", "adid")
+            .agg(F.count(F.lit(1)).alias("clicks"))
         )
-        .agg(F.count(F.lit(1)).alias("clicks"))
-    )
 
     def body(df: DataFrame, n: int) -> None:
         start_ms = F.unix_millis(F.col("w.start"))

@@ -109,9 +109,14 @@ def test_province_top_batch_scope_ranks_each_batch(spark, fixture_lines, tmpdir_
     assert rows(top.current(spark)) == rows(expect)
 
 
-def test_click_trend_stream_closed_windows_equal_batch(spark, fixture_lines, tmpdir_):
+@pytest.mark.parametrize("sizes", [
+    (E.TREND_WINDOW_MS, E.TREND_SLIDE_MS, E.TREND_BUCKET_MS),
+    (60_000, 10_000, 10_000),  # the original sizes
+    (3_000_000, 1_200_000, 600_000),  # slide does not divide window: raw-row window() path
+])
+def test_click_trend_stream_closed_windows_equal_batch(spark, fixture_lines, tmpdir_, sizes):
     src = write_files(fixture_lines, 3, f"{tmpdir_}/in")
-    w, s, b = E.TREND_WINDOW_MS, E.TREND_SLIDE_MS, E.TREND_BUCKET_MS
+    w, s, b = sizes
     q, t = start_click_trend(stream_of(spark, src), f"{tmpdir_}/trend", w, s, b, watermark="0 seconds",
                              trigger=NOW, checkpoint=f"{tmpdir_}/cp")
     q.awaitTermination()
