@@ -47,3 +47,26 @@ def test_blacklist_stream_available_now(spark, tmpdir_):
     from clickflow.sources.adslog import parse_ad_lines
     clicks = with_day(parse_ad_lines(lines, keep=["event_id"]))
     assert _rows(bans.current(spark), ["userid"]) == _rows(blacklisted_users(clicks, 2), ["userid"])
+
+
+def test_top_ads_and_daily_clicks_streams(spark, tmpdir_):
+    from clickflow.operators import ads_daily_clicks, province_top_ads, province_top_ads_json
+    from clickflow.operators.ads import with_day
+    from clickflow.sinks.keyed import KeyedTable
+    from clickflow.sources.adslog import parse_ad_lines
+    E._utc(spark)
+    lines = fixture_ad_lines(spark, SF)
+    lines.coalesce(1).write.parquet(f"{tmpdir_}/in")
+    clicks = with_day(parse_ad_lines(lines, keep=["event_id"]))
+    main(["ads-top", "--source", "parquet", "--input", f"{tmpdir_}/in", "--output", f"{tmpdir_}/top",
+          "--available-now", "--checkpoint", f"{tmpdir_}/cp1"], spark)
+    top = KeyedTable(f"{tmpdir_}/top/top", "day STRING, province STRING, top_ads_json STRING",
+                     ["day", "province"], "latest", compact_every=50, partition_by="day")
+    cols = ["day", "province", "top_ads_json"]
+    assert _rows(top.current(spark), cols) == _rows(province_top_ads_json(province_top_ads(clicks, 3)), cols)
+    main(["ads-daily-clicks", "--source", "parquet", "--input", f"{tmpdir_}/in", "--output", f"{tmpdir_}/daily",
+          "--available-now", "--checkpoint", f"{tmpdir_}/cp2"], spark)
+    daily = KeyedTable(f"{tmpdir_}/daily/daily_clicks", "day STRING, province STRING, city STRING, adid STRING, clicks BIGINT",
+                       ["day", "province", "city", "adid"], "latest", compact_every=50, partition_by="day")
+    cols = ["day", "province", "city", "adid", "clicks"]
+    assert _rows(daily.current(spark), cols) == _rows(ads_daily_clicks(clicks), cols)
