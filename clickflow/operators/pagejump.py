@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 HOUR_CHUNK = 13  # len("yyyy-MM-dd HH")
 DAY_CHUNK = 10  # len("yyyy-MM-dd")
+MINUTE_CHUNK = 16  # len("yyyy-MM-dd HH:mm")
 
 
 def parse_flow(target_pages: str | Sequence[int]) -> list[int]:
@@ -48,6 +49,8 @@ def session_page_pairs(
     actions: DataFrame,
     tiebreak: Sequence[str] | None = None,
     chunk_chars: int = HOUR_CHUNK,
+    hot_chunk_rows: int | None = None,
+    fine_chunk_chars: int = MINUTE_CHUNK,
 ) -> DataFrame:
     """(session_id, action_time, page_id, next_page_id, page_jump) for every pair of
     consecutive actions of a session. Self pairs (``3-3``) are kept; a one-row session
@@ -56,12 +59,31 @@ def session_page_pairs(
     ``chunk_chars`` sets the chunk (13: hour, 10: day, 16: minute). A hot session is
     split into one window task per chunk; the cross-chunk step handles one row per
     chunk, so it costs little for dense sessions and at most one row per action for
-    sessions sparser than one action per chunk."""
+    sessions sparser than one action per chunk.
+
+    ``hot_chunk_rows`` (opt-in) splits hot chunks further: a pre-pass counts rows per
+    (session, chunk) with partial aggregation, and chunks above the limit are re-keyed
+    with ``fine_chunk_chars`` (minutes by default). Prefixes keep the chunk order: an
+    hour sorts before its minutes, which sort before the next hour. The hot list is
+    small by construction but has no parameter bound, so AQE decides how to join it.
+    The price is one more scan of two columns."""
     order = _order_cols(actions, tiebreak)
     base = actions.select(
         "session_id", *order, *([] if "page_id" in order else ["page_id"]),
         F.substring("action_time", 1, chunk_chars).alias("_chunk"),
     )
+    if hot_chunk_rows is not None:
+        hot = (
+            base.groupBy("session_id", "_chunk")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > F.lit(hot_chunk_rows))
+            .select("session_id", "_chunk", F.lit(True).alias("_hot"))
+        )
+        base = base.join(hot, ["session_id", "_chunk"], "left").select(
+            "session_id", *order, *([] if "page_id" in order else ["page_id"]),
+            F.when(F.col("_hot"), F.substring("action_time", 1, fine_chunk_chars))
+            .otherwise(F.col("_chunk")).alias("_chunk"),
+        )
     w_in = Window.partitionBy("session_id", "_chunk").orderBy(*order)
     running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     win = base.select(

@@ -89,3 +89,20 @@ def test_without_event_id_ties_break_on_page(spark):
     df = make_actions(spark, rows).drop("event_id")
     got = sorted((r.page_id, r.next_page_id) for r in session_page_pairs(df).collect())
     assert got == [(3, 4), (4, 5)]
+
+
+def test_hot_chunks_split_further_equals_brute_force(spark):
+    rnd = random.Random(11)
+    rows = []
+    for s in range(3):
+        for _ in range(rnd.randint(5, 40)):
+            t = f"2024-01-01 0{rnd.randint(0, 2)}:{rnd.randint(0, 3):02d}:{rnd.randint(0, 1):02d}"
+            rows.append({"session_id": f"u-{s}", "page_id": rnd.randint(1, 4), "action_time": t})
+    df = make_actions(spark, rows)
+    expect = _brute_pairs(rows)
+    for limit in (1, 3, 1000):
+        got = sorted(
+            (r.session_id, r.action_time, r.page_id, r.next_page_id)
+            for r in session_page_pairs(df, hot_chunk_rows=limit).collect()
+        )
+        assert got == expect, limit
