@@ -74,6 +74,7 @@ def parser() -> argparse.ArgumentParser:
     _batch_args(p)
     p.add_argument("--target-pages", help="comma list of page ids")
     p.add_argument("--include-zero", action="store_true")
+    p.add_argument("--hot-chunk-rows", type=int, help="split session-hours above this many actions by minute")
     p = sub.add_parser("ads-daily-clicks", help="J5: running clicks per day, province, city, ad")
     _stream_args(p)
     p = sub.add_parser("ads-top", help="J6: top ads per day and province (JSON)")
@@ -124,7 +125,9 @@ def _run_batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     pages = args.target_pages or params.get("target_pages")
     if not pages:
         raise SystemExit("page-jump-rate needs --target-pages (or targetPageFlow in --conditions)")
-    return run_page_jump_rate(spark, pages, include_zero=args.include_zero, **common)
+    return run_page_jump_rate(
+        spark, pages, include_zero=args.include_zero, hot_chunk_rows=args.hot_chunk_rows, **common
+    )
 
 
 def _run_stream(spark: SparkSession, args: argparse.Namespace):

@@ -118,10 +118,11 @@ def page_jump_counts(
     target_pages: str | Sequence[int],
     tiebreak: Sequence[str] | None = None,
     chunk_chars: int = HOUR_CHUNK,
+    hot_chunk_rows: int | None = None,
 ) -> DataFrame:
     """(page_id, next_page_id, page_jump, jump_count) for the flow's pairs that occur."""
     labels = [f"{a}-{b}" for a, b in flow_pairs(target_pages)]
-    pairs = session_page_pairs(actions, tiebreak, chunk_chars)
+    pairs = session_page_pairs(actions, tiebreak, chunk_chars, hot_chunk_rows)
     return (
         pairs.filter(F.col("page_jump").isin(labels))
         .groupBy("page_id", "next_page_id", "page_jump")
@@ -145,11 +146,12 @@ def page_jump_rate(
     tiebreak: Sequence[str] | None = None,
     include_zero: bool = False,
     chunk_chars: int = HOUR_CHUNK,
+    hot_chunk_rows: int | None = None,
 ) -> DataFrame:
     """(page_jump, jump_count, view_count, jump_rate) with
     ``jump_rate = jumps(a-b) / views(a) * 100`` (views of ``a`` count all its actions,
     not sessions). Pairs with no jump are left out unless ``include_zero``."""
-    jumps = page_jump_counts(actions, target_pages, tiebreak, chunk_chars)
+    jumps = page_jump_counts(actions, target_pages, tiebreak, chunk_chars, hot_chunk_rows)
     # At most len(target_pages) rows: broadcast is bounded by the parameter.
     views = F.broadcast(page_view_counts(actions, target_pages))
     if include_zero:

@@ -70,7 +70,9 @@ def run_page_jump_rate(
     include_zero: bool = False,
     task_id: str | None = None,
     sink: Sink | None = None,
+    hot_chunk_rows: int | None = None,
 ) -> DataFrame:
     """J3 -> (task_id, page_jump, jump_count, view_count, jump_rate)."""
     actions = _actions(spark, table, path, start, end)
-    return _finish(page_jump_rate(actions, target_pages, include_zero=include_zero), task_id, sink)
+    rates = page_jump_rate(actions, target_pages, include_zero=include_zero, hot_chunk_rows=hot_chunk_rows)
+    return _finish(rates, task_id, sink)
