@@ -273,3 +273,14 @@ def test_daily_clicks_delta_variant(spark, fixture_lines, tmpdir_):
                                   checkpoint=f"{tmpdir_}/cp", state="deltas", compact_every=2)
     q.awaitTermination()
     assert rows(table.current(spark)) == rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
+
+
+def test_text_line_source(spark, fixture_lines, tmpdir_):
+    import os
+    os.makedirs(f"{tmpdir_}/txt")
+    with open(f"{tmpdir_}/txt/part-0.txt", "w") as f:
+        f.write("\n".join(fixture_lines["line"]) + "\n")
+    lines = read_ad_lines_stream(spark, "text", f"{tmpdir_}/txt")
+    q, table = start_daily_clicks(ad_clicks_stream(lines), f"{tmpdir_}/out", trigger=NOW, checkpoint=f"{tmpdir_}/cp")
+    q.awaitTermination()
+    assert rows(table.current(spark)) == rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
