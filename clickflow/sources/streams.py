@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,15 @@ def read_ad_lines_stream(
             reader = reader.option("startingOffsets", "latest")
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        raw = reader.load()
+        try:
+            raw = reader.load()
+        except AnalysisException as e:
+            if "Failed to find data source: kafka" not in str(e):
+                raise
+            raise RuntimeError(
+                "the kafka source needs the spark-sql-kafka-0-10 package on the classpath, e.g. "
+                f"spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:{spark.version}"
+            ) from e
         return raw.select(
             F.col("value").cast("string").alias("line"),
             F.col("partition").alias("kafka_partition"),

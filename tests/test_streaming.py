@@ -284,3 +284,12 @@ def test_text_line_source(spark, fixture_lines, tmpdir_):
     q, table = start_daily_clicks(ad_clicks_stream(lines), f"{tmpdir_}/out", trigger=NOW, checkpoint=f"{tmpdir_}/cp")
     q.awaitTermination()
     assert rows(table.current(spark)) == rows(ads_daily_clicks(batch_clicks(spark, fixture_lines)))
+
+
+def test_kafka_source_explains_missing_package(spark):
+    with pytest.raises(ValueError):
+        read_ad_lines_stream(spark, "kafka")
+    try:
+        read_ad_lines_stream(spark, "kafka", bootstrap_servers="localhost:9092")
+    except RuntimeError as e:  # no Kafka package in this environment
+        assert "spark-sql-kafka-0-10" in str(e)
