@@ -50,3 +50,12 @@ def test_actions_from_rows(spark):
     row = ("2024-01-01", 1, "s", 2, "2024-01-01 00:00:00", None, 5, 9, None, None, None, None, 3)
     df = actions_from_rows(spark, [(7,) + row], keep_schema="event_id BIGINT")
     assert df.count() == 1 and df.columns[0] == "event_id"
+
+
+def test_read_actions_from_a_database(spark):
+    E._utc(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS mall")
+    actions = fixture_actions(spark, "/root/testdata/sf0.001")
+    publish_table(actions, "mall.user_visit_action", partition_by=["date"])
+    t = read_actions(spark, database="mall")
+    assert t.columns[0] == "event_id" and t.count() == actions.count()
