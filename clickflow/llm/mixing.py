@@ -187,10 +187,10 @@ def _pieces(sized: DataFrame, plan: Plan, block_words: int) -> DataFrame:
     )
 
 
-def _row_key(docs: DataFrame) -> dict[str, Column]:
-    """128 bits that stand for a row's document, source and text, nulls included."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "text")]
-    nulls = [F.col(c).isNull() for c in ("doc_id", "source", "text")]
+def _row_key(docs: DataFrame, names: list[str]) -> dict[str, Column]:
+    """128 bits that stand for a row's values of some columns, nulls included."""
+    parts = [F.coalesce(docs[c].cast("string"), F.lit("")) for c in names]
+    nulls = [docs[c].isNull() for c in names]
     return {"_k1": F.xxhash64(*parts, *nulls), "_k2": F.xxhash64(*nulls, *parts[::-1])}
 
 
@@ -199,9 +199,9 @@ def mix_sources(
 ) -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs``: its slots (shard, source_no, slot, block, pass), and the pieces
     of documents (doc_id, source_no, size, start, block, from, words, ...) that blocks hold."""
-    sized = docs.withColumns(_row_key(docs)).select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), "_k1", "_k2"
-    )
+    docs = docs.select("doc_id", "source", "text")
+    keyed = docs.withColumns(_row_key(docs, docs.columns))
+    sized = keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), "_k1", "_k2")
     plan = plan_mix(sized, block_words)
     return _slots(docs.sparkSession, plan, shards, seed), _pieces(sized, plan, block_words)
 
@@ -239,29 +239,32 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .groupBy(*row)
         .agg(F.array_sort(F.collect_list(F.struct("start", "passes"))).alias("places"))
     )
-    # Equal rows lie at different places; the i-th of them gets the i-th place.
+    # Equal rows lie at different places; the i-th of them gets the i-th place. Columns go by
+    # number meanwhile, so that no name of theirs can clash.
+    columns = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    names = [f"c{columns.index(c)}" for c in ("doc_id", "source", "text")]
     turn = Window.partitionBy(*row).orderBy(F.lit(0))
-    rows = docs.withColumns(_row_key(docs)).withColumn("_turn", F.row_number().over(turn))
+    rows = numbered.withColumns(_row_key(numbered, names)).withColumn("_turn", F.row_number().over(turn))
     place = F.get("places", F.col("_turn") - 1)
     joined = rows.join(takes, row).withColumn("takes", place["passes"]["ranges"]).where("takes is not null")
-    columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _cut(batch, columns)
 
-    return joined.select(*columns, "takes").mapInArrow(cut, docs.schema)
+    return joined.select(*numbered.columns, "takes").mapInArrow(cut, docs.schema)
 
 
 def _cut(batch: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    for rows, texts in text_blocks(batch):
+    for rows, texts in text_blocks(batch, f"c{columns.index('text')}"):
         takes = rows.column(rows.schema.get_field_index("takes")).to_pylist()
         at, out = [], []
         for i, passes in enumerate(takes):
             for ranges in passes:
                 at.append(i)
                 out.append(_text(texts, i, ranges))
-        taken = rows.select(columns).take(pa.array(at, pa.int64()))
+        taken = rows.select([f"c{i}" for i in range(len(columns))]).take(pa.array(at, pa.int64()))
         arrays = list(taken.columns)
         k = columns.index("text")
         arrays[k] = pa.array(out, taken.schema.field(k).type)

@@ -6,8 +6,8 @@ lines, are measured against all word characters. A text is rejected when one sha
 its limit, when symbols crowd out words, or when the base rules fail. Each text is judged alone, so no shuffle runs.
 
 Defined results: a null, empty or wordless text has zero counts and fails the base rule
-on length; repeated rows each get their own row; extra columns are kept where
-``keep_columns`` asks for them; an empty table gives an empty result. A very long text is
+on length; repeated rows each get their own row; extra columns of any name do not matter;
+an empty table gives an empty result. A very long text is
 one numpy block; memory is about 60 bytes per byte of the longest text.
 """
 
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickflow.llm.words import Spans, SPAN_POWERS, Texts, U64, covered, mix, repeated, text_blocks
 
@@ -112,25 +111,26 @@ def measure(texts: Texts) -> dict[str, np.ndarray]:
     }
 
 
-def quality_rules(docs: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
-    """``keep_columns`` (default: ``doc_id``) of ``docs`` with counts, ``base_failed`` and ``kept``."""
-    keep = ["doc_id"] if keep_columns is None else keep_columns
-    columns = list(dict.fromkeys([*keep, "text"]))
-    source = docs.select(*columns)
-    kept_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema)
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """``doc_id`` of every row with its counts, shares, ``base_failed`` and ``kept``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_blocks(batch):
                 found = measure(texts)
-                arrays = [rows.column(rows.schema.get_field_index(c)) for c in keep]
-                arrays += [pa.array(v) for v in found.values()]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, *found])
+                arrays = [rows.column(0), *[pa.array(v) for v in found.values()]]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *found])
 
-    return source.mapInArrow(run, f"{kept_types}, {SCHEMA}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns."""
-    columns = docs.columns
-    return quality_rules(docs, columns).where(F.col("kept")).select(*columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_blocks(batch):
+                yield rows.filter(pa.array(measure(texts)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

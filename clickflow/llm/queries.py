@@ -9,13 +9,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import hilbert, mixing, packing, quality_rules, secrets, weighted_minhash
+from clickflow.llm import (
+    cover_tree,
+    dac,
+    hilbert,
+    mixing,
+    nbsvm,
+    packing,
+    quality_rules,
+    secrets,
+    substrings,
+    weighted_minhash,
+)
+from clickflow.llm.oracles import oracle_sql  # noqa: F401
+from clickflow.llm.shared import shared_folder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(_read(spark, sf_dir, "documents"))
 
@@ -28,6 +46,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_read(spark, sf_dir, "documents"))
 
 
+def op5_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "dac")
+    dac.write_segments(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return dac.read_documents(spark, path)
+
+
 def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_rows(_read(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -50,16 +74,27 @@ def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = nbsvm.train(docs, labels.where(fold != 2).select("doc_id", "quality"))
+    return nbsvm.score(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substrings": op1_substrings,
         "op2_mixing": op2_mixing,
         "op3_quality_rules": op3_quality_rules,
         "op4_secrets": op4_secrets,
+        "op5_dac": op5_dac,
         "op6_hilbert": op6_hilbert,
         "op7_packing": op7_packing,
         "op8_weighted_minhash": op8_weighted_minhash,
+        "op9_cover_tree": op9_cover_tree,
+        "op10_nbsvm": op10_nbsvm,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

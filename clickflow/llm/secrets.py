@@ -135,7 +135,9 @@ def _value(text: str, at: int, known: dict[str, list[Literal]]) -> tuple[list[Li
             word = m[0].rstrip(".")
             if word in known:
                 found += known[word]
-            elif not IDENTIFIER.match(word):
+            elif not IDENTIFIER.match(word) or any(c.isdigit() for c in word):
+                # An unbound plain name refers to something unseen; configuration values
+                # without quotes are told from names by a digit or a sign.
                 found.append(Literal(at, at + len(word), word))
         else:
             return found, bool(found)
