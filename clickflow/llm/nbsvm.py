@@ -188,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         weights, slope, offset = model
         return pa.table({"model": [weights.astype("<f8").tobytes()], "slope": [slope], "offset": [offset]})
 
-    fitted = rows.groupBy(F.lit(0)).applyInArrow(run, "model binary, slope double, offset double").collect()
+    rows = rows.select("doc_id", "text", "quality", F.lit(0).alias("all"))
+    fitted = rows.groupBy("all").applyInArrow(run, "model binary, slope double, offset double").collect()
     if not fitted:
         return None
     return np.frombuffer(fitted[0]["model"], "<f8"), fitted[0]["slope"], fitted[0]["offset"]

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a single longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
 
@@ -46,7 +46,7 @@ class Powers:
 
     def reserve(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n = 1 << (n - 1).bit_length()
             self.up, self.down = (
                 np.multiply.accumulate(np.concatenate([np.ones(1, U64), np.full(n - 1, b, U64)]))
                 for b in (self.base, self.inverse)
