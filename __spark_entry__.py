@@ -33,6 +33,7 @@ from clickflow.operators import (
 )
 from clickflow.operators.ads import with_day
 from clickflow.sources.adslog import parse_ad_lines
+from clickflow.sources.tables import as_actions
 from clickflow.sources.fixtures import fixture_actions, fixture_ad_clicks, fixture_ad_lines
 
 # The corpus operators are an optional part: without their folder the rest still works.
@@ -65,7 +66,7 @@ def _utc(spark: SparkSession) -> None:
 
 def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     _utc(spark)
-    return fixture_actions(spark, sf_dir)
+    return as_actions(fixture_actions(spark, sf_dir), keep=["event_id"])
 
 
 def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +115,7 @@ def _click_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ads_daily_clicks": lambda s, d: ads_daily_clicks(_clicks(s, d)),
         "ads_province_top3": lambda s, d: province_top_ads(_clicks(s, d), TOP_ADS),
         "ads_province_top3_json": lambda s, d: province_top_ads_json(province_top_ads(_clicks(s, d), TOP_ADS)),
-        "ads_click_trend": lambda s, d: _trend(s, d),
+        "ads_click_trend": lambda s, d: _trend(s, d).drop("window_start_ms"),
         "ads_click_trend_json": lambda s, d: ad_click_trend_windows(
             _clicks(s, d), TREND_WINDOW_MS, TREND_SLIDE_MS, TREND_BUCKET_MS
         ),

@@ -18,6 +18,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickflow.operators.pagejump import HOT_SESSION_ROWS
 from clickflow.plans.jobs import run_category_session_top, run_category_top, run_page_jump_rate
 from clickflow.plans.params import job_params
 from clickflow.session import build_session
@@ -29,12 +30,19 @@ DEFAULT_TABLES = {
     "session-top": "category_top10_session_count",
     "page-jump-rate": "pagejumprate",
 }
+# The columns those tables have; the jobs' further columns go along on request only.
+RESULT_COLUMNS = {
+    "category-top": ["task_id", "category_id", "click_count", "order_count", "pay_count"],
+    "session-top": ["task_id", "category_id", "session_id", "click_count"],
+    "page-jump-rate": ["task_id", "page_jump", "jump_rate"],
+}
 
 
 def _batch_args(p: argparse.ArgumentParser) -> None:
     src = p.add_mutually_exclusive_group()
     src.add_argument("--table", default="user_visit_action", help="catalog table (default user_visit_action)")
     src.add_argument("--path", help="parquet folder of the click log instead of a table")
+    p.add_argument("--database", help="database of the table")
     p.add_argument("--start", help="inclusive lower bound on action_time (string compare)")
     p.add_argument("--end", help="inclusive upper bound on action_time (string compare)")
     p.add_argument("--conditions", help='condition JSON, e.g. {"startDate": "...", "targetPageFlow": "1,2"}')
@@ -44,6 +52,8 @@ def _batch_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
     p.add_argument("--jdbc-driver")
+    p.add_argument("--jdbc-connections", type=int, help="most connections at once")
+    p.add_argument("--extra-columns", action="store_true", help="keep columns the original result tables lack")
     p.add_argument("--output", help="parquet folder to append to (when no JDBC url)")
 
 
@@ -74,9 +84,13 @@ def parser() -> argparse.ArgumentParser:
     _batch_args(p)
     p.add_argument("--target-pages", help="comma list of page ids")
     p.add_argument("--include-zero", action="store_true")
-    p.add_argument("--hot-chunk-rows", type=int, help="split session-hours above this many actions by minute")
+    p.add_argument(
+        "--hot-session-rows", type=int, default=HOT_SESSION_ROWS, help="window sessions above this many actions by the hour"
+    )
     p = sub.add_parser("ads-daily-clicks", help="J5: running clicks per day, province, city, ad")
     _stream_args(p)
+    p.add_argument("--state", choices=["deltas", "store"], default="deltas", help="summing table or state store")
+    p.add_argument("--watermark", help="with --state store: evict days this far behind; their late clicks are lost")
     p = sub.add_parser("ads-top", help="J6: top ads per day and province (JSON)")
     _stream_args(p)
     p.add_argument("--top-n", type=int, default=3)
@@ -86,20 +100,26 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--window-seconds", type=int, default=60)
     p.add_argument("--slide-seconds", type=int, default=10)
     p.add_argument("--bucket-seconds", type=int, default=10)
+    p.add_argument("--twelve-hour", action="store_true", help="the original hh:mm:ss labels")
     p = sub.add_parser("ads-blacklist", help="J4: dynamic user blacklist")
     _stream_args(p)
     p.add_argument("--threshold", type=int, default=20)
-    p = sub.add_parser("publish", help="K3: publish a parquet click log as a table partitioned by date")
+    p = sub.add_parser("publish", help="K3: publish a parquet click log as a table partitioned by day")
     p.add_argument("--path", required=True)
     p.add_argument("--table", default="user_visit_action")
+    for p in sub.choices.values():
+        p.add_argument("--time-zone", help="session zone of day and clock labels (default: the cluster's, else UTC)")
     return ap
 
 
 def _sink(args: argparse.Namespace):
     if args.jdbc_url:
         table = args.jdbc_table or DEFAULT_TABLES[args.job]
+        columns = None if args.extra_columns else RESULT_COLUMNS[args.job]
         return lambda df: write_jdbc(
-            df, args.jdbc_url, table, args.jdbc_user, args.jdbc_password, args.jdbc_driver
+            df if columns is None else df.select(*columns),
+            args.jdbc_url, table, args.jdbc_user, args.jdbc_password, args.jdbc_driver,
+            num_partitions=args.jdbc_connections,
         )
     if args.output:
         return lambda df: df.write.mode("append").parquet(args.output)
@@ -111,6 +131,7 @@ def _run_batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     common = dict(
         table=args.table,
         path=args.path,
+        database=args.database,
         start=args.start if args.start is not None else params.get("start"),
         end=args.end if args.end is not None else params.get("end"),
         task_id=args.task_id,
@@ -126,7 +147,7 @@ def _run_batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if not pages:
         raise SystemExit("page-jump-rate needs --target-pages (or targetPageFlow in --conditions)")
     return run_page_jump_rate(
-        spark, pages, include_zero=args.include_zero, hot_chunk_rows=args.hot_chunk_rows, **common
+        spark, pages, include_zero=args.include_zero, hot_session_rows=args.hot_session_rows, **common
     )
 
 
@@ -144,14 +165,17 @@ def _run_stream(spark: SparkSession, args: argparse.Namespace):
     common = dict(trigger=trigger, checkpoint=args.checkpoint, compact_every=args.compact_every)
     out = args.output.rstrip("/")
     if args.job == "ads-daily-clicks":
-        query, _ = start_daily_clicks(clicks, f"{out}/daily_clicks", **common)
+        query, _ = start_daily_clicks(
+            clicks, f"{out}/daily_clicks", state=args.state, watermark=args.watermark, **common
+        )
     elif args.job == "ads-top":
         query, _ = start_province_top_ads(
             clicks, f"{out}/counts", f"{out}/top", args.top_n, scope=args.scope, **common
         )
     elif args.job == "ads-trend":
         query, _ = start_click_trend(
-            clicks, out, args.window_seconds * 1000, args.slide_seconds * 1000, args.bucket_seconds * 1000, **common
+            clicks, out, args.window_seconds * 1000, args.slide_seconds * 1000, args.bucket_seconds * 1000,
+            twelve_hour=args.twelve_hour, **common
         )
     else:
         query, _ = start_blacklist(clicks, out, threshold=args.threshold, **common)
@@ -160,9 +184,12 @@ def _run_stream(spark: SparkSession, args: argparse.Namespace):
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = spark or build_session(f"clickflow-{args.job}")
+    zone = {"spark.sql.session.timeZone": args.time_zone} if args.time_zone else {}
+    spark = spark or build_session(f"clickflow-{args.job}", conf=zone)
+    if args.time_zone:
+        spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     if args.job == "publish":
-        publish_table(spark.read.parquet(args.path), args.table, partition_by=["date"])
+        publish_table(spark.read.parquet(args.path), args.table, day_of="action_time")
     elif args.job.startswith("ads-"):
         _run_stream(spark, args).awaitTermination()
     else:

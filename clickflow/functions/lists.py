@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 
 def split_ids(col: Column | str, sep: str = ",") -> Column:
-    """Split a comma list into its ids, dropping empty ids.
+    """Split a comma list into its ids; empty ids stay and are dropped after the explode
+    (a filter there runs inside codegen, a lambda over the array does not).
 
     Java's ``split`` dropped only trailing empties and counted leading or inner ones as
-    a category ``""``; here every empty id is dropped (``"1,2,,"`` -> 1,2; ``""`` and
-    ``","`` -> none; ``",6"`` -> 6). Duplicates are kept, so ``"4,4"`` counts twice. Ids
-    are not trimmed. A null list gives null (explode then yields no row).
+    a category ``""``; the jobs drop every empty id (``"1,2,,"`` -> 1,2; ``""`` and ``","``
+    -> none; ``",6"`` -> 6). Duplicates are kept, so ``"4,4"`` counts twice. Ids are not
+    trimmed. A null list gives null (explode then yields no row).
     """
     col = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(col, sep), lambda x: x != F.lit(""))
+    return F.split(col, sep)

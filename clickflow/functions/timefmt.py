@@ -24,10 +24,26 @@ def day_label(ms: Column | str) -> Column:
     return format_epoch_ms(ms, "yyyy-MM-dd")
 
 
+def _unique(ms: Column | str, fmt: str) -> Column:
+    """The label, with the UTC offset added for times in an hour that the session zone's
+    clock shows for the second time (the end of daylight saving)."""
+    ts = F.timestamp_millis(_c(ms))
+    shown = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    # A repeated wall clock time is read back as its first occurrence.
+    again = F.to_timestamp(shown, "yyyy-MM-dd HH:mm:ss") < F.date_trunc("second", ts)
+    return F.when(again, F.date_format(ts, f"{fmt}XXX")).otherwise(F.date_format(ts, fmt))
+
+
 def clock_label(ms: Column | str, twelve_hour: bool = False) -> Column:
-    """``HH:mm:ss``. ``twelve_hour=True`` reproduces the original ``hh:mm:ss`` label,
-    which has no am/pm marker, so 01:00:05 and 13:00:05 print alike."""
-    return format_epoch_ms(ms, "hh:mm:ss" if twelve_hour else "HH:mm:ss")
+    """``HH:mm:ss``, unique within a day (see ``_unique``). ``twelve_hour=True``
+    reproduces the original ``hh:mm:ss`` label, which has no am/pm marker, so 01:00:05 and
+    13:00:05 print alike."""
+    return _unique(ms, "hh:mm:ss" if twelve_hour else "HH:mm:ss")
+
+
+def stamp_label(ms: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of an epoch-ms time, unique (see ``_unique``)."""
+    return _unique(ms, "yyyy-MM-dd HH:mm:ss")
 
 
 def bucket_start_ms(ms: Column | str, size_ms: int) -> Column:

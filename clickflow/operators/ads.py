@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.functions.jsonfmt import ordered_json_object
-from clickflow.functions.timefmt import bucket_start_ms, clock_label, day_label, format_epoch_ms
+from clickflow.functions.timefmt import bucket_start_ms, clock_label, day_label, stamp_label
 
 # Fixed values of the original trend job: 60 s window sliding every 10 s, 10 s buckets.
 REFERENCE_WINDOW_MS, REFERENCE_SLIDE_MS, REFERENCE_BUCKET_MS = 60_000, 10_000, 10_000
@@ -118,9 +118,10 @@ def ad_click_trend(
 ) -> DataFrame:
     """Clicks per ad per bucket inside every sliding window, by event time.
 
-    Output (adid, window_start, window_end, bucket_ms, bucket_time, clicks); window
-    bounds are ``yyyy-MM-dd HH:mm:ss`` labels, ``bucket_ms`` the bucket start (epoch
-    ms), ``bucket_time`` its ``HH:mm:ss`` label. Windows are ``[start, start+window)``
+    Output (adid, window_start_ms, window_start, window_end, bucket_ms, bucket_time,
+    clicks); ``window_start_ms`` (epoch ms) identifies the window, its bounds are
+    ``yyyy-MM-dd HH:mm:ss`` labels, ``bucket_ms`` the bucket start (epoch ms),
+    ``bucket_time`` its ``HH:mm:ss`` label. Windows are ``[start, start+window)``
     aligned to the epoch, as Spark's ``window()``.
 
     When the bucket divides the slide and the slide divides the window (the usual
@@ -132,8 +133,9 @@ def ad_click_trend(
     counts = _trend_counts(clicks, window_ms, slide_ms, bucket_ms, twelve_hour)
     return counts.select(
         "adid",
-        _stamp(F.col("_ws")).alias("window_start"),
-        _stamp(F.col("_ws") + F.lit(window_ms)).alias("window_end"),
+        F.col("_ws").alias("window_start_ms"),
+        stamp_label(F.col("_ws")).alias("window_start"),
+        stamp_label(F.col("_ws") + F.lit(window_ms)).alias("window_end"),
         "bucket_ms",
         "bucket_time",
         "clicks",
@@ -160,23 +162,24 @@ def ad_click_trend_windows(
     )
     return per_window.select(
         "adid",
-        _stamp(F.col("_ws")).alias("window_start"),
-        _stamp(F.col("_ws") + F.lit(window_ms)).alias("window_end"),
+        stamp_label(F.col("_ws")).alias("window_start"),
+        stamp_label(F.col("_ws") + F.lit(window_ms)).alias("window_end"),
         "trend_json",
     )
 
 
-def _stamp(ms: Column) -> Column:
-    return format_epoch_ms(ms, "yyyy-MM-dd HH:mm:ss")
-
-
-def ad_click_trend_json(trend: DataFrame) -> DataFrame:
+def ad_click_trend_json(trend: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """J7 value: (adid, window_start, window_end, trend_json) with
-    ``{"HH:mm:ss":clicks,...}`` ordered by bucket time (not by label). A window holds
-    at most window/bucket entries, so the collected list is bounded."""
+    ``{"HH:mm:ss":clicks,...}`` ordered by bucket time (not by label). Windows are told
+    apart by ``window_start_ms``; ``keep`` names further columns of a window. A window holds at most window/bucket entries, so the
+    collected list is bounded."""
     entries = F.sort_array(F.collect_list(F.struct("bucket_ms", "bucket_time", "clicks")))
-    return trend.groupBy("adid", "window_start", "window_end").agg(
-        ordered_json_object(
-            F.transform(entries, lambda e: F.struct(e["bucket_time"], e["clicks"]))
-        ).alias("trend_json")
+    return (
+        trend.groupBy(*dict.fromkeys(["adid", "window_start_ms", "window_start", "window_end", *(keep or [])]))
+        .agg(
+            ordered_json_object(
+                F.transform(entries, lambda e: F.struct(e["bucket_time"], e["clicks"]))
+            ).alias("trend_json")
+        )
+        .drop(*[c for c in ("window_start_ms",) if c not in (keep or [])])
     )

@@ -23,7 +23,7 @@ def category_actions(actions: DataFrame) -> DataFrame:
         .when(kind == F.lit(ORDER), split_ids("order_category_ids"))
         .when(kind == F.lit(PAY), split_ids("pay_category_ids"))
     )
-    return actions.select(kind.alias("kind"), F.explode(ids).alias("category_id"))
+    return actions.select(kind.alias("kind"), F.explode(ids).alias("category_id")).filter("category_id <> ''")
 
 
 def category_action_counts(actions: DataFrame) -> DataFrame:

@@ -19,14 +19,15 @@ def filter_time_range(
     start: str | None = None,
     end: str | None = None,
     time_col: str = "action_time",
-    date_col: str | None = "date",
+    day_col: str | None = None,
 ) -> DataFrame:
     """Keep ``start <= action_time <= end``, compared as strings (inclusive).
 
-    An end bound ``2024-01-05`` therefore excludes ``2024-01-05 00:00:00``. When the
-    table has a ``date`` column (``yyyy-MM-dd`` prefix of the time), the same bounds
-    are also applied to it: string order makes this implied, and it lets a table
-    partitioned by ``date`` prune partitions. Both predicates reach the parquet scan.
+    An end bound ``2024-01-05`` therefore excludes ``2024-01-05 00:00:00``. The predicate
+    reaches the parquet scan. ``day_col`` names a column that is the first ten characters
+    of ``time_col`` by construction (``publish_table(..., day_of="action_time")`` makes
+    one); the bounds then prune its partitions too, which string order makes implied. The
+    log's own ``date`` column is no such promise and is never used.
     """
     start, end = _bound(start), _bound(end)
     cond: Column | None = None
@@ -35,15 +36,15 @@ def filter_time_range(
         nonlocal cond
         cond = c if cond is None else cond & c
 
-    use_date = date_col is not None and date_col in df.columns
+    use_day = day_col is not None and day_col in df.columns
     if start is not None:
         _and(F.col(time_col) >= F.lit(start))
-        if use_date:
-            _and(F.col(date_col) >= F.lit(start[:10]))
+        if use_day:
+            _and(F.col(day_col) >= F.lit(start[:10]))
     if end is not None:
         _and(F.col(time_col) <= F.lit(end))
-        if use_date:
-            _and(F.col(date_col) <= F.lit(end[:10]))
+        if use_day:
+            _and(F.col(day_col) <= F.lit(end[:10]))
     return df if cond is None else df.filter(cond)
 
 

@@ -1,11 +1,12 @@
 """Page-to-page jump rate along a target page flow.
 
-Adjacent pairs come from ``lead(page_id)`` in time order inside a session. A single
-session may be huge (a bot, a crawler), so the window is not partitioned by session
-alone: rows are windowed per (session, time chunk), where the chunk is a prefix of
-``action_time`` (hour by default). The pair that crosses a chunk edge is found by a
-second window over the last row of each chunk, which carries the chunk's first page.
-Both windows are sort based and spill; no group is collected.
+Adjacent pairs come from ``lead`` in time order inside a session: one shuffle, one sort and
+one window over the click log. A session may be huge (a bot, a crawler); sessions above
+``hot_session_rows`` actions, found by a count with partial aggregation, are therefore
+windowed per time chunk, an hour or, for the largest, a minute, each chunk a task's share
+of its own. The successor of a chunk's last action is the first page of the session's next
+chunk, found from one summary row per chunk of those sessions. Results are the same for
+every setting. No group is collected.
 """
 
 from __future__ import annotations
@@ -16,8 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_CHUNK = 13  # len("yyyy-MM-dd HH")
-DAY_CHUNK = 10  # len("yyyy-MM-dd")
 MINUTE_CHUNK = 16  # len("yyyy-MM-dd HH:mm")
+# Actions above which a session is windowed by the hour, and by the minute.
+HOT_SESSION_ROWS = 200_000
+MINUTES_ABOVE = 50
+# A hot session's chunk; actions without a time come first.
+CHUNK = "CASE WHEN _chars IS NOT NULL THEN coalesce(substring(action_time, 1, _chars), '') END"
 
 
 def parse_flow(target_pages: str | Sequence[int]) -> list[int]:
@@ -45,71 +50,56 @@ def _order_cols(df: DataFrame, tiebreak: Sequence[str] | None) -> list[str]:
     return ["action_time", *[c for c in tiebreak if c != "action_time"]]
 
 
+def _adjacent(actions: DataFrame, tiebreak: Sequence[str] | None, hot_session_rows: int) -> DataFrame:
+    """(session_id, action_time, page_id, next_page_id) of consecutive actions whose pages
+    are both known."""
+    order = _order_cols(actions, tiebreak)
+    columns = ["session_id", *order, *([] if "page_id" in order else ["page_id"])]
+    sizes = actions.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
+    # Few by construction, but bounded by no parameter: AQE decides how to join them.
+    hot = sizes.filter(F.col("_n") > hot_session_rows).select(
+        F.col("session_id").alias("_hot_id"),
+        F.when(F.col("_n") > MINUTES_ABOVE * hot_session_rows, MINUTE_CHUNK).otherwise(HOUR_CHUNK).alias("_chars"),
+    )
+    # Null chunk: an ordinary session, whole. Prefixes of the time keep its order.
+    base = actions.select(*columns).join(hot, F.col("session_id") == F.col("_hot_id"), "left")
+    base = base.withColumn("_chunk", F.expr(CHUNK)).drop("_hot_id", "_chars")
+    w = Window.partitionBy("session_id", "_chunk").orderBy(*order)
+    # The end of a chunk is told by position: a page, and so its successor, may be null.
+    paired = base.withColumn("_follows", F.lead(F.lit(True)).over(w)).withColumn(
+        "next_page_id", F.lead("page_id").over(w)
+    )
+    inside = paired.filter("_follows OR _chunk IS NOT NULL")
+    heads = (
+        actions.select(*columns)
+        .join(hot, F.col("session_id") == F.col("_hot_id"))
+        .withColumn("_chunk", F.expr(CHUNK))
+        .groupBy("session_id", "_chunk")
+        .agg(F.min_by(F.struct("page_id"), F.struct(*order)).alias("_head"))
+    )
+    chunks = Window.partitionBy("session_id").orderBy("_chunk")
+    succ = heads.select(
+        F.col("session_id").alias("_sid"), F.col("_chunk").alias("_of"), F.lead("_head").over(chunks).alias("_succ")
+    ).filter("_succ IS NOT NULL")
+    edge = (F.col("session_id") == F.col("_sid")) & (F.col("_chunk") == F.col("_of"))
+    return (
+        inside.join(succ, edge, "left")
+        .withColumn("next_page_id", F.when(F.col("_follows"), F.col("next_page_id")).otherwise(F.col("_succ.page_id")))
+        .filter("page_id IS NOT NULL AND next_page_id IS NOT NULL")
+        .select("session_id", "action_time", "page_id", "next_page_id")
+    )
+
+
 def session_page_pairs(
     actions: DataFrame,
     tiebreak: Sequence[str] | None = None,
-    chunk_chars: int = HOUR_CHUNK,
-    hot_chunk_rows: int | None = None,
-    fine_chunk_chars: int = MINUTE_CHUNK,
+    hot_session_rows: int = HOT_SESSION_ROWS,
 ) -> DataFrame:
     """(session_id, action_time, page_id, next_page_id, page_jump) for every pair of
     consecutive actions of a session. Self pairs (``3-3``) are kept; a one-row session
-    gives none. ``action_time`` is the time of the first page of the pair.
-
-    ``chunk_chars`` sets the chunk (13: hour, 10: day, 16: minute). A hot session is
-    split into one window task per chunk; the cross-chunk step handles one row per
-    chunk, so it costs little for dense sessions and at most one row per action for
-    sessions sparser than one action per chunk.
-
-    ``hot_chunk_rows`` (opt-in) splits hot chunks further: a pre-pass counts rows per
-    (session, chunk) with partial aggregation, and chunks above the limit are re-keyed
-    with ``fine_chunk_chars`` (minutes by default). Prefixes keep the chunk order: an
-    hour sorts before its minutes, which sort before the next hour. The hot list is
-    small by construction but has no parameter bound, so AQE decides how to join it.
-    The price is one more scan of two columns."""
-    order = _order_cols(actions, tiebreak)
-    base = actions.select(
-        "session_id", *order, *([] if "page_id" in order else ["page_id"]),
-        F.substring("action_time", 1, chunk_chars).alias("_chunk"),
-    )
-    if hot_chunk_rows is not None:
-        hot = (
-            base.groupBy("session_id", "_chunk")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > F.lit(hot_chunk_rows))
-            .select("session_id", "_chunk", F.lit(True).alias("_hot"))
-        )
-        base = base.join(hot, ["session_id", "_chunk"], "left").select(
-            "session_id", *order, *([] if "page_id" in order else ["page_id"]),
-            F.when(F.col("_hot"), F.substring("action_time", 1, fine_chunk_chars))
-            .otherwise(F.col("_chunk")).alias("_chunk"),
-        )
-    w_in = Window.partitionBy("session_id", "_chunk").orderBy(*order)
-    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    win = base.select(
-        "session_id", "_chunk", *order, *([] if "page_id" in order else ["page_id"]),
-        F.lead("page_id").over(w_in).alias("next_page_id"),
-        F.first("page_id").over(running).alias("_first_page"),
-    )
-    # Both branches below read ``win``: Spark reuses its shuffle (one scan) for both.
-    inner = win.filter(F.col("next_page_id").isNotNull()).select(
-        "session_id", "action_time", "page_id", "next_page_id"
-    )
-    # The last row of a chunk (no successor inside it) summarises the chunk: its page and
-    # time, and the chunk's first page (a running ``first``). No aggregate is needed.
-    # Its successor is the first page of the next non-empty chunk of the same session:
-    # a window over these summary rows only, one per chunk.
-    w_s = Window.partitionBy("session_id").orderBy("_chunk")
-    boundary = (
-        win.filter(F.col("next_page_id").isNull())
-        .select(
-            "session_id", "action_time", "page_id",
-            F.lead("_first_page").over(w_s).alias("_succ"),
-        )
-        .filter(F.col("_succ").isNotNull())
-        .select("session_id", "action_time", "page_id", F.col("_succ").alias("next_page_id"))
-    )
-    pairs = inner.unionByName(boundary)
+    gives none. ``action_time`` is the time of the first page of the pair. An action
+    without a page stands between its neighbours but gives no pair with either."""
+    pairs = _adjacent(actions, tiebreak, hot_session_rows)
     return pairs.withColumn("page_jump", F.concat_ws("-", "page_id", "next_page_id"))
 
 
@@ -117,16 +107,18 @@ def page_jump_counts(
     actions: DataFrame,
     target_pages: str | Sequence[int],
     tiebreak: Sequence[str] | None = None,
-    chunk_chars: int = HOUR_CHUNK,
-    hot_chunk_rows: int | None = None,
+    hot_session_rows: int = HOT_SESSION_ROWS,
 ) -> DataFrame:
     """(page_id, next_page_id, page_jump, jump_count) for the flow's pairs that occur."""
-    labels = [f"{a}-{b}" for a, b in flow_pairs(target_pages)]
-    pairs = session_page_pairs(actions, tiebreak, chunk_chars, hot_chunk_rows)
+    wanted = F.lit(False)
+    for a, b in flow_pairs(target_pages):
+        wanted = wanted | ((F.col("page_id") == a) & (F.col("next_page_id") == b))
     return (
-        pairs.filter(F.col("page_jump").isin(labels))
-        .groupBy("page_id", "next_page_id", "page_jump")
+        _adjacent(actions, tiebreak, hot_session_rows)
+        .filter(wanted)
+        .groupBy("page_id", "next_page_id")
         .agg(F.count(F.lit(1)).alias("jump_count"))
+        .select("page_id", "next_page_id", F.concat_ws("-", "page_id", "next_page_id").alias("page_jump"), "jump_count")
     )
 
 
@@ -145,13 +137,12 @@ def page_jump_rate(
     target_pages: str | Sequence[int],
     tiebreak: Sequence[str] | None = None,
     include_zero: bool = False,
-    chunk_chars: int = HOUR_CHUNK,
-    hot_chunk_rows: int | None = None,
+    hot_session_rows: int = HOT_SESSION_ROWS,
 ) -> DataFrame:
     """(page_jump, jump_count, view_count, jump_rate) with
     ``jump_rate = jumps(a-b) / views(a) * 100`` (views of ``a`` count all its actions,
     not sessions). Pairs with no jump are left out unless ``include_zero``."""
-    jumps = page_jump_counts(actions, target_pages, tiebreak, chunk_chars, hot_chunk_rows)
+    jumps = page_jump_counts(actions, target_pages, tiebreak, hot_session_rows)
     # At most len(target_pages) rows: broadcast is bounded by the parameter.
     views = F.broadcast(page_view_counts(actions, target_pages))
     if include_zero:
@@ -160,8 +151,9 @@ def page_jump_rate(
             [(a, b, f"{a}-{b}") for a, b in flow_pairs(target_pages)],
             "page_id BIGINT, next_page_id BIGINT, page_jump STRING",
         )
-        jumps = F.broadcast(flow).join(
-            jumps.select("page_jump", "jump_count"), "page_jump", "left"
+        # Both sides hold at most the flow's pairs; the right one is the side that is built.
+        jumps = flow.join(
+            F.broadcast(jumps.select("page_jump", "jump_count")), "page_jump", "left"
         ).select("page_id", "page_jump", F.coalesce("jump_count", F.lit(0).cast("bigint")).alias("jump_count"))
         joined = jumps.join(views, "page_id", "left")
         view_count = F.coalesce(F.col("view_count"), F.lit(0).cast("bigint"))

@@ -12,15 +12,19 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickflow.operators.pagejump import HOT_SESSION_ROWS
 from clickflow.operators import category_session_top_n, category_top_n, filter_time_range, page_jump_rate
-from clickflow.sinks.tables import with_task_id
+from clickflow.sinks.tables import DAY_COL, with_task_id
 from clickflow.sources.tables import read_actions
 
 Sink = Callable[[DataFrame], None]
 
 
-def _actions(spark: SparkSession, table: str, path: str | None, start: str | None, end: str | None) -> DataFrame:
-    return filter_time_range(read_actions(spark, table=table, path=path), start, end)
+def _actions(
+    spark: SparkSession, table: str, path: str | None, start: str | None, end: str | None, database: str | None
+) -> DataFrame:
+    actions = read_actions(spark, table=table, path=path, database=database)
+    return filter_time_range(actions, start, end, day_col=DAY_COL)
 
 
 def _finish(df: DataFrame, task_id: str | None, sink: Sink | None) -> DataFrame:
@@ -39,9 +43,10 @@ def run_category_top(
     top_n: int = 10,
     task_id: str | None = None,
     sink: Sink | None = None,
+    database: str | None = None,
 ) -> DataFrame:
     """J1 -> (task_id, category_id, click_count, order_count, pay_count)."""
-    return _finish(category_top_n(_actions(spark, table, path, start, end), top_n), task_id, sink)
+    return _finish(category_top_n(_actions(spark, table, path, start, end, database), top_n), task_id, sink)
 
 
 def run_category_session_top(
@@ -54,9 +59,10 @@ def run_category_session_top(
     sessions_per_category: int = 10,
     task_id: str | None = None,
     sink: Sink | None = None,
+    database: str | None = None,
 ) -> DataFrame:
     """J2 -> (task_id, category_id, session_id, click_count, rank)."""
-    actions = _actions(spark, table, path, start, end)
+    actions = _actions(spark, table, path, start, end, database)
     return _finish(category_session_top_n(actions, top_n, sessions_per_category), task_id, sink)
 
 
@@ -70,9 +76,10 @@ def run_page_jump_rate(
     include_zero: bool = False,
     task_id: str | None = None,
     sink: Sink | None = None,
-    hot_chunk_rows: int | None = None,
+    database: str | None = None,
+    hot_session_rows: int = HOT_SESSION_ROWS,
 ) -> DataFrame:
     """J3 -> (task_id, page_jump, jump_count, view_count, jump_rate)."""
-    actions = _actions(spark, table, path, start, end)
-    rates = page_jump_rate(actions, target_pages, include_zero=include_zero, hot_chunk_rows=hot_chunk_rows)
+    actions = _actions(spark, table, path, start, end, database)
+    rates = page_jump_rate(actions, target_pages, include_zero=include_zero, hot_session_rows=hot_session_rows)
     return _finish(rates, task_id, sink)

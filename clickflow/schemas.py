@@ -24,58 +24,6 @@ USER_VISIT_ACTION = T.StructType(
     ]
 )
 
-UVA_COLUMNS = [f.name for f in USER_VISIT_ACTION.fields]
-
-# Unqueried dimensions of the same click-log database, kept for completeness of the
-# data model (the jobs never read them).
-USER_INFO = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("username", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("age", T.IntegerType()),
-        T.StructField("professional", T.StringType()),
-        T.StructField("gender", T.StringType()),
-    ]
-)
-PRODUCT_INFO = T.StructType(
-    [
-        T.StructField("product_id", T.LongType()),
-        T.StructField("product_name", T.StringType()),
-        T.StructField("extend_info", T.StringType()),
-    ]
-)
-CITY_INFO = T.StructType(
-    [
-        T.StructField("city_id", T.LongType()),
-        T.StructField("city_name", T.StringType()),
-        T.StructField("area", T.StringType()),
-    ]
-)
-
-# A parsed ad click. The wire format is one line
-# ``<epoch ms> <province> <city> <userid> <adid>`` separated by single spaces.
-ADS_CLICK = T.StructType(
-    [
-        T.StructField("ts_ms", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("province", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("userid", T.StringType()),
-        T.StructField("adid", T.StringType()),
-    ]
-)
-
-# Result rows.
-CATEGORY_COUNTS = T.StructType(
-    [
-        T.StructField("category_id", T.StringType()),
-        T.StructField("click_count", T.LongType()),
-        T.StructField("order_count", T.LongType()),
-        T.StructField("pay_count", T.LongType()),
-    ]
-)
-
 # Source tables of the shared test data, declared so that scans never infer a schema
 # from file footers (one footer read per query here, a full listing at scale).
 EVENTS = T.StructType(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings every clickflow job assumes. They only fill in what the cluster has not set.
+# Settings every clickflow job assumes. They only fill in what the launch configuration
+# (spark-submit, spark-defaults.conf) or an active session has not set.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Labels (day, clock) are rendered in the session zone, like the JVM zone the
-    # original jobs used. Pin it so that results do not depend on the machine.
+    # Labels (day, clock) are rendered in the session zone, like the JVM zone the original
+    # jobs used; without a zone from the cluster or the caller it is UTC, not the machine's.
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     # PySpark 4 records the Python call site of every Column call in the JVM (for
@@ -30,11 +32,23 @@ def build_session(
     master: str | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create a session. ``master`` is left to spark-submit unless given."""
+    """Get or create a session. ``master`` is left to spark-submit unless given. ``conf``
+    is the caller's own choice and wins; ``DEFAULTS`` give way to what is already set."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        given = set(active.conf.getAll)
+    else:
+        # Starts the JVM if need be (with the caller's settings, as driver memory counts
+        # from its start) and reads what the launch gave it.
+        own = SparkConf(loadDefaults=False)
+        own.setAll(list((conf or {}).items()))
+        SparkContext._ensure_initialized(conf=own)
+        given = {key for key, _ in SparkConf().getAll()}
+    defaults = {key: value for key, value in DEFAULTS.items() if key not in given}
+    for key, value in {**defaults, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Partition column of a published click log: the day part of its time, nothing else.
+DAY_COL = "action_day"
+
+
 def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
     """Tag every result row with the run's task id (first column)."""
     return df.select(F.lit(task_id).alias("task_id"), *df.columns)
@@ -45,14 +49,19 @@ def publish_table(
     name: str,
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
+    day_of: str | None = None,
 ) -> None:
     """Replace a managed table (drop-and-create semantics) with ``df``.
 
-    Partition the click log by ``date`` so that time-range jobs prune partitions. The
+    ``day_of`` names a time string; its first ten characters become the column ``DAY_COL``,
+    which the table is then partitioned by, so that time-range jobs prune partitions. The
     rows are first rebalanced on the partition columns, so that each task writes few
     directories (not one small file per date per task); AQE splits a hot date over
     several tasks and merges small ones.
     """
+    if day_of is not None:
+        df = df.withColumn(DAY_COL, F.substring(day_of, 1, 10))
+        partition_by = [DAY_COL, *(partition_by or [])]
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 FIELDS = ("ts_ms", "province", "city", "userid", "adid")
-
-
-def format_ad_line(ts_ms: Column, province: Column, city: Column, userid: Column, adid: Column) -> Column:
-    """Build the wire line from its five fields (single spaces)."""
-    return F.concat_ws(" ", ts_ms.cast("string"), province, city, userid, adid)
+# Epoch milliseconds of the years 1 to 9999, the range in which labels have four-digit years.
+MIN_MS, MAX_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def parse_ad_lines(
@@ -23,7 +20,8 @@ def parse_ad_lines(
     """Split each line on single spaces into a typed click row.
 
     Fields past the fifth are ignored. A line is malformed when it has fewer than five
-    fields, an empty field among the five, or a non-integer time. ``mode="fail"``
+    fields, an empty field among the five, or a time that is no integer or lies outside
+    the years 1 to 9999. ``mode="fail"``
     raises on the first malformed line (the original job died there); ``mode="drop"``
     skips them. Every expression is a JVM built-in, so parsing stays in codegen.
     Output: ``keep`` columns, ts_ms BIGINT, ts TIMESTAMP, province, city, userid, adid.
@@ -45,7 +43,7 @@ def parse_ad_lines(
         "size(_p) < 5 OR " + " OR ".join(f"coalesce(get(_p, {i}) = '', true)" for i in range(5)) + " AS _bad",
         "_line",
     )
-    bad = "(_bad OR ts_ms IS NULL)"
+    bad = f"(_bad OR ts_ms IS NULL OR ts_ms NOT BETWEEN {MIN_MS}L AND {MAX_MS}L)"
     if metrics is not None:
         fields = fields.observe(
             metrics, F.count(F.lit(1)).alias("lines"), F.count_if(F.expr(bad)).alias("malformed")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.schemas import USER_VISIT_ACTION
+from clickflow.sinks.tables import DAY_COL
 
 
 def read_actions(
@@ -24,7 +25,8 @@ def read_actions(
     else:
         name = f"{database}.{table}" if database else table
         df = spark.table(name)
-    return as_actions(df, keep=[c for c in ("event_id",) if c in df.columns])
+    # A tie-break id, and the partition column of a published log, are carried along.
+    return as_actions(df, keep=[c for c in ("event_id", DAY_COL) if c in df.columns])
 
 
 def as_actions(df: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -1,25 +1,28 @@
 """Streaming jobs J4-J7 on a parsed click stream.
 
-Common shape: source -> parse (same code as batch) -> optional stateful aggregation
-in the state store -> ``foreachBatch`` body that writes ``KeyedTable`` partitions for
-batch id N. Bodies read only batches <= N of their own tables, so re-running batch N
-after a failure rewrites the same rows: the outputs are exactly-once although the
-sinks are plain files. Checkpoints default to the shared ``spark.checkpoint.dir``.
-
-Day windows (J5, J6) are the local days of the session zone, daylight-saving days
-included, so they agree with the ``yyyy-MM-dd`` labels of the batch jobs. Watermarks
-bound the state (the original kept every key forever).
+Common shape: source -> parse (same code as batch) -> ``foreachBatch`` body that adds the
+batch's own counts to summing ``KeyedTable``s under batch id N and rebuilds what they touch.
+Bodies read only batches <= N of their own tables, so re-running batch N after a failure
+rewrites the same rows: the outputs are exactly-once although the sinks are plain files.
+Checkpoints default to the shared ``spark.checkpoint.dir``.
+
+No job drops a late click: counts are kept in tables, by the click's own day, not behind a
+watermark, so a table read after any batch equals the batch job over all clicks so far,
+however late or skewed their clocks. (J5 offers the streaming state store instead, with a
+watermark only if the caller names one.) Days are local days of the session zone.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickflow.functions.timefmt import bucket_start_ms, clock_label, format_epoch_ms
+from clickflow.functions.timefmt import bucket_start_ms, clock_label, day_label, stamp_label
 from clickflow.operators.ads import (
     REFERENCE_BUCKET_MS,
     REFERENCE_SLIDE_MS,
@@ -27,6 +30,7 @@ from clickflow.operators.ads import (
     _check_trend_sizes,
     ad_click_trend_json,
     ads_daily_clicks,
+    province_ad_clicks,
     province_top_ads,
     province_top_ads_json,
     rank_province_ads,
@@ -51,22 +55,18 @@ def _start(df: DataFrame, name: str, body, mode: str, trigger: dict | None, chec
     return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
-def _touched_days(touched: DataFrame) -> list[str]:
-    """Distinct day labels of one micro-batch (a few values, bounded by the span of
-    event time a batch covers), used as a partition filter on state reads."""
-    return [r[0] for r in touched.select("day").distinct().collect()]
-
-
-def _local_days(clicks: DataFrame, watermark: str) -> tuple[DataFrame, F.Column, F.Column]:
-    """(clicks with a watermark, day window, day label) for local days of the session zone.
+def _local_days(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, F.Column, F.Column]:
+    """(clicks with their local time, day window, day label) for local days of the session zone.
 
     Each instant is shifted by its own UTC offset (``from_utc_timestamp``), so that UTC
     day windows on the shifted time are exactly the local days, 23- and 25-hour days
-    included; the window start is shifted back to render its label. The watermark is
-    on the shifted column, which the window uses, so old days are evicted.
+    included; the window start is shifted back to render its label. A watermark is on the
+    shifted column, which the window uses, so old days are evicted; without one, none are.
     """
     zone = clicks.sparkSession.conf.get("spark.sql.session.timeZone")
-    shifted = clicks.withColumn("_local_ts", F.from_utc_timestamp("ts", zone)).withWatermark("_local_ts", watermark)
+    shifted = clicks.withColumn("_local_ts", F.from_utc_timestamp("ts", zone))
+    if watermark is not None:
+        shifted = shifted.withWatermark("_local_ts", watermark)
     window = F.window("_local_ts", "1 day").alias("w")
     label = F.date_format(F.to_utc_timestamp(F.col("w.start"), zone), "yyyy-MM-dd").alias("day")
     return shifted, window, label
@@ -76,31 +76,33 @@ def _local_days(clicks: DataFrame, watermark: str) -> tuple[DataFrame, F.Column,
 def start_daily_clicks(
     clicks: DataFrame,
     table_path: str,
-    watermark: str = "1 hour",
+    watermark: str | None = None,
     trigger: dict | None = None,
     checkpoint: str | None = None,
     compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_daily_clicks",
     output_mode: str = "update",
-    state: str = "store",
+    state: str = "deltas",
 ) -> tuple[StreamingQuery, KeyedTable]:
-    """Running clicks per (day, province, city, adid), upserted each batch.
-
-    ``state="store"`` (default) keeps the running counts in the streaming state store.
-    Update mode: a batch writes only the keys it changed, with their running totals.
-    ``output_mode="complete"`` re-writes every key every batch, as the original did; it
-    keeps all state (the watermark cannot evict) and its writes grow with the key count,
-    so use it only for small key sets. Reading the table's latest values gives the batch
-    job's result either way.
-
-    ``state="deltas"`` keeps no streaming state: each batch writes its own counts to a
-    summing table (the increment variant of the original), and reading the table sums
-    them. Late clicks of any age are counted; reads merge deltas (compacted).
+    """Running clicks per (day, province, city, adid).
+
+    ``state="deltas"`` (default) keeps no streaming state: each batch adds its own counts to
+    a summing table (the increment variant of the original), and reading the table sums
+    them. Clicks of any age are counted.
+
+    ``state="store"`` keeps the running counts in the streaming state store. Update mode: a
+    batch writes only the keys it changed, with their running totals. ``output_mode=
+    "complete"`` re-writes every key every batch, as the original did; its writes grow with
+    the key count. Without ``watermark`` the store keeps every day. With one, it evicts days
+    older than that behind the newest click seen, and later clicks of such days are lost
+    (Spark reports them as ``numRowsDroppedByWatermark``): the caller's choice.
     """
     if output_mode not in ("update", "complete"):
         raise ValueError("output_mode must be 'update' or 'complete'")
     if state not in ("store", "deltas"):
         raise ValueError("state must be 'store' or 'deltas'")
+    if state == "deltas" and (watermark is not None or output_mode != "update"):
+        raise ValueError("watermark and output_mode belong to state='store'")
     spark = clicks.sparkSession
     if state == "deltas":
         deltas = KeyedTable(
@@ -123,11 +125,11 @@ def start_daily_clicks(
         partition_by="day",
     )
     table.ensure(spark)
-    timed, day_window, day_label = _local_days(clicks, watermark)
+    timed, day_window, local_day = _local_days(clicks, watermark)
     counts = (
         timed.groupBy(day_window, "province", "city", "adid")
         .agg(F.count(F.lit(1)).alias("clicks"))
-        .select(day_label, "province", "city", "adid", "clicks")
+        .select(local_day, "province", "city", "adid", "clicks")
     )
     q = _start(counts, name, lambda df, n: table.write(df, n), output_mode, trigger, checkpoint)
     return q, table
@@ -140,7 +142,6 @@ def start_province_top_ads(
     top_path: str,
     top_n: int = 3,
     scope: str = "day",
-    watermark: str = "1 hour",
     trigger: dict | None = None,
     checkpoint: str | None = None,
     compact_every: int = DEFAULT_COMPACT_EVERY,
@@ -148,10 +149,9 @@ def start_province_top_ads(
 ) -> tuple[StreamingQuery, KeyedTable]:
     """Top ads per (day, province) as JSON, keyed by (day, province).
 
-    ``scope="day"``: ranking over the running daily counts. Streaming DataFrames cannot
-    rank, so the counts stream in update mode and each batch re-ranks only the
-    (day, province) groups it touched, reading their current counts from the counts
-    table. ``scope="batch"`` ranks each micro-batch alone, as the original code did.
+    ``scope="day"``: ranking over the running daily counts. Each batch adds its counts to a
+    summing table and re-ranks the (day, province) groups it touched from their current
+    sums. ``scope="batch"`` ranks each micro-batch alone, as the original code did.
     """
     if scope not in ("day", "batch"):
         raise ValueError("scope must be 'day' or 'batch'")
@@ -175,35 +175,26 @@ def start_province_top_ads(
         counts_path,
         "day STRING, province STRING, adid STRING, clicks BIGINT",
         keys=["day", "province", "adid"],
-        kind="latest",
+        kind="sum",
         compact_every=compact_every,
         partition_by="day",
     )
     counts_table.ensure(spark)
-    timed, day_window, day_label = _local_days(clicks, watermark)
-    counts = (
-        timed.groupBy(day_window, "province", "adid")
-        .agg(F.count(F.lit(1)).alias("clicks"))
-        .select(day_label, "province", "adid", "clicks")
-    )
-
     body = province_top_body(counts_table, top_table, top_n)
-
-    return _start(counts, name, body, "update", trigger, checkpoint), top_table
+    return _start(clicks, name, body, "append", trigger, checkpoint), top_table
 
 
 def province_top_body(counts_table: KeyedTable, top_table: KeyedTable, top_n: int):
-    """Per-batch body of the daily top-ads stream: upsert the changed counts, then
-    re-rank the touched (day, province) groups from their current counts."""
+    """Per-batch body of the daily top-ads stream: add the batch's counts, then re-rank the
+    touched (day, province) groups from their current counts. Days are read by the folders
+    the batch wrote; the semi join only references grouping keys, so Catalyst pushes it
+    below the merge aggregate."""
 
     def body(df: DataFrame, n: int) -> None:
         spark = df.sparkSession
-        counts_table.write(df, n)
+        counts_table.write(province_ad_clicks(df), n)
         touched = counts_table.batch(spark, n).select("day", "province").distinct()
-        # Only the touched days are read (partition pruning); the distinct day labels of
-        # one micro-batch are a handful. The semi join only references grouping keys,
-        # so Catalyst pushes it below the merge aggregate.
-        days = _touched_days(touched)
+        days = counts_table.partitions_of(spark, n)
         current = counts_table.current(spark, upto=n, partitions=days).join(touched, ["day", "province"], "left_semi")
         top_table.write(province_top_ads_json(rank_province_ads(current, top_n)), n)
 
@@ -213,9 +204,10 @@ def province_top_body(counts_table: KeyedTable, top_table: KeyedTable, top_n: in
 # --------------------------------------------------------------------------- J7
 @dataclass
 class TrendTables:
-    rows: KeyedTable  # (adid, window_start, window_end, bucket_ms, bucket_time, clicks)
-    windows: KeyedTable  # (adid, window_start, window_end, trend_json)
-    latest: KeyedTable  # (adid, window_start, window_end, trend_json): newest window per ad
+    slots: KeyedTable  # (day, adid, slot_ms, clicks) summed over batches
+    rows: KeyedTable  # (day, adid, window_start_ms, bucket_ms, ..., clicks)
+    windows: KeyedTable  # (day, adid, window_start_ms, ..., trend_json)
+    latest: KeyedTable  # (adid, ..., trend_json): newest window per ad
 
 
 def start_click_trend(
@@ -224,85 +216,101 @@ def start_click_trend(
     window_ms: int = REFERENCE_WINDOW_MS,
     slide_ms: int = REFERENCE_SLIDE_MS,
     bucket_ms: int = REFERENCE_BUCKET_MS,
-    watermark: str | None = None,
     twelve_hour: bool = False,
     trigger: dict | None = None,
     checkpoint: str | None = None,
     compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_click_trend",
 ) -> tuple[StreamingQuery, TrendTables]:
-    """Clicks per ad per bucket in sliding event-time windows; a window is written once,
-    when the watermark closes it (append mode). All bucket rows of a window close in
-    the same batch, so the JSON of a window is built inside that batch. ``latest``
-    keeps, per ad, the newest closed window (what the original hash field held)."""
+    """Clicks per ad per bucket in sliding event-time windows, live: after each batch, every
+    window with a click so far stands in ``rows`` and ``windows`` as the batch job would give
+    it, the newest, still open ones included; ``latest`` keeps, per ad, the newest window
+    (what the original hash field held).
+
+    Clicks are summed per (ad, slot), where a slot is the greatest length that divides
+    window, slide and bucket, so a slot lies in each window and bucket as a whole. A batch
+    rebuilds the windows its slots touch, from the sums of the days around them.
+    """
     _check_trend_sizes(window_ms, slide_ms, bucket_ms, twelve_hour)
     spark = clicks.sparkSession
-    wm = watermark or f"{bucket_ms} milliseconds"
-    text = "STRING"
+    labels = "window_start STRING, window_end STRING"
     tables = TrendTables(
+        slots=KeyedTable(
+            f"{root}/slots", "day STRING, adid STRING, slot_ms BIGINT, clicks BIGINT",
+            keys=["day", "adid", "slot_ms"], kind="sum", compact_every=compact_every, partition_by="day",
+        ),
         rows=KeyedTable(
             f"{root}/rows",
-            f"adid {text}, window_start {text}, window_end {text}, bucket_ms BIGINT, bucket_time {text}, clicks BIGINT",
-            keys=["adid", "window_start", "bucket_ms"], kind="latest", compact_every=compact_every,
+            f"day STRING, adid STRING, window_start_ms BIGINT, {labels}, bucket_ms BIGINT, bucket_time STRING, clicks BIGINT",
+            keys=["day", "adid", "window_start_ms", "bucket_ms"], kind="latest", compact_every=compact_every,
+            partition_by="day",
         ),
         windows=KeyedTable(
-            f"{root}/windows",
-            f"adid {text}, window_start {text}, window_end {text}, trend_json {text}",
-            keys=["adid", "window_start"], kind="latest", compact_every=compact_every,
+            f"{root}/windows", f"day STRING, adid STRING, window_start_ms BIGINT, {labels}, trend_json STRING",
+            keys=["day", "adid", "window_start_ms"], kind="latest", compact_every=compact_every, partition_by="day",
         ),
         latest=KeyedTable(
-            f"{root}/latest",
-            f"adid {text}, window_start {text}, window_end {text}, trend_json {text}",
+            f"{root}/latest", f"adid STRING, window_start_ms BIGINT, {labels}, trend_json STRING",
             keys=["adid"], kind="latest", compact_every=compact_every,
         ),
     )
-    for t in (tables.rows, tables.windows, tables.latest):
+    for t in (tables.slots, tables.rows, tables.windows, tables.latest):
         t.ensure(spark)
-    sliding = F.window("_t", f"{window_ms} milliseconds", f"{slide_ms} milliseconds").alias("w")
-    if slide_ms % bucket_ms == 0 and window_ms % slide_ms == 0:
-        # Count per (bucket, ad) first (a tumbling window), then fan only those counts
-        # out to the sliding windows: a chained event-time aggregation, so raw clicks
-        # are not multiplied by window/slide. ``window_time`` carries the event time
-        # (and the watermark) from the first aggregation to the second.
-        per_bucket = (
-            clicks.withWatermark("ts", wm)
-            .groupBy(F.window("ts", f"{bucket_ms} milliseconds").alias("b"), "adid")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(
-                F.window_time("b").alias("_t"),
-                F.unix_millis(F.col("b.start")).alias("bucket_ms"),
-                "adid",
-                "n",
-            )
-        )
-        counts = per_bucket.groupBy(sliding, "bucket_ms", "adid").agg(F.sum("n").alias("clicks"))
-    else:
-        counts = (
-            clicks.withWatermark("ts", wm)
-            .select(F.col("ts").alias("_t"), bucket_start_ms("ts_ms", bucket_ms).alias("bucket_ms"), "adid")
-            .groupBy(sliding, "bucket_ms", "adid")
-            .agg(F.count(F.lit(1)).alias("clicks"))
-        )
+    body = click_trend_body(tables, window_ms, slide_ms, bucket_ms, twelve_hour)
+    return _start(clicks, name, body, "append", trigger, checkpoint), tables
+
+
+def _days_around(day: str, reach: int) -> list[str]:
+    """The labels of a day and its neighbours."""
+    at = date.fromisoformat(day).toordinal()
+    return [date.fromordinal(d).isoformat() for d in range(max(1, at - reach), min(date.max.toordinal(), at + reach) + 1)]
+
+
+def click_trend_body(tables: TrendTables, window_ms: int, slide_ms: int, bucket_ms: int, twelve_hour: bool = False):
+    """The per-batch body of the trend stream."""
+    slot = math.gcd(window_ms, slide_ms, bucket_ms)
+
+    def fan_out(slots: DataFrame) -> DataFrame:
+        # Starts of the windows [start, start + window) that hold the slot.
+        last = F.col("slot_ms") - F.pmod(F.col("slot_ms"), F.lit(slide_ms))
+        first = last - F.lit((window_ms - 1) // slide_ms * slide_ms)
+        fanned = slots.withColumn("window_start_ms", F.explode(F.sequence(first, last, F.lit(slide_ms).cast("bigint"))))
+        return fanned.filter(F.col("slot_ms") < F.col("window_start_ms") + F.lit(window_ms))
 
     def body(df: DataFrame, n: int) -> None:
-        start_ms = F.unix_millis(F.col("w.start"))
-        rows = df.select(
-            "adid",
-            format_epoch_ms(start_ms, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-            format_epoch_ms(start_ms + F.lit(window_ms), "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-            "bucket_ms",
-            clock_label("bucket_ms", twelve_hour).alias("bucket_time"),
-            "clicks",
+        spark = df.sparkSession
+        start = bucket_start_ms("ts_ms", slot)
+        counted = df.groupBy(start.alias("slot_ms"), "adid").agg(F.count(F.lit(1)).alias("clicks"))
+        tables.slots.write(counted.withColumn("day", day_label("slot_ms")), n)
+        touched = fan_out(tables.slots.batch(spark, n)).select("adid", "window_start_ms").distinct()
+        # A window is no longer than a day of 24 hours, so it reaches at most two labels away.
+        days = {d for day in tables.slots.partitions_of(spark, n) for d in _days_around(day, 2)}
+        known = tables.slots.current(spark, upto=n, partitions=sorted(days))
+        rows = (
+            fan_out(known)
+            .join(touched, ["adid", "window_start_ms"], "left_semi")
+            .groupBy("adid", "window_start_ms", bucket_start_ms("slot_ms", bucket_ms).alias("bucket_ms"))
+            .agg(F.sum("clicks").alias("clicks"))
+            .select(
+                day_label("window_start_ms").alias("day"), "adid", "window_start_ms",
+                stamp_label("window_start_ms").alias("window_start"),
+                stamp_label(F.col("window_start_ms") + F.lit(window_ms)).alias("window_end"),
+                "bucket_ms", clock_label("bucket_ms", twelve_hour).alias("bucket_time"), "clicks",
+            )
         )
         tables.rows.write(rows, n)
-        windows = ad_click_trend_json(tables.rows.batch(spark, n))
+        windows = ad_click_trend_json(tables.rows.batch(spark, n), keep=["day", "window_start_ms"])
         tables.windows.write(windows, n)
-        newest = tables.windows.batch(spark, n).groupBy("adid").agg(
-            F.max_by(F.struct("window_start", "window_end", "trend_json"), F.col("window_start")).alias("v")
-        )
-        tables.latest.write(newest.select("adid", "v.*"), n)
+        value = F.struct("window_start_ms", "window_start", "window_end", "trend_json")
+        newest = tables.windows.batch(spark, n).groupBy("adid").agg(F.max(value).alias("new"))
+        before = tables.latest.current(spark, upto=n - 1).select("adid", value.alias("old"))
+        # A late click's window does not take the place of a newer one.
+        newer = F.when(
+            F.col("old.window_start_ms") > F.col("new.window_start_ms"), F.col("old")
+        ).otherwise(F.col("new"))
+        tables.latest.write(newest.join(before, "adid", "left").select("adid", newer.alias("v")).select("adid", "v.*"), n)
 
-    return _start(counts, name, body, "append", trigger, checkpoint), tables
+    return body
 
 
 # --------------------------------------------------------------------------- J4
@@ -364,7 +372,7 @@ def blacklist_body(tables: BlacklistTables, threshold: int, accepted_cols: list[
             kept = accepted.batch(spark, n)
         counts.write(user_ad_daily_clicks(kept), n)
         touched = counts.batch(spark, n).select("day", "userid", "adid")
-        days = _touched_days(touched) if counts.partition_by else None
+        days = counts.partitions_of(spark, n) if counts.partition_by else None
         totals = counts.current(spark, upto=n, partitions=days).join(touched, ["day", "userid", "adid"], "left_semi")
         bans.write(over_threshold(totals, threshold), n)
 

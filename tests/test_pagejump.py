@@ -3,7 +3,7 @@
 import random
 
 from clickflow.operators import page_jump_counts, page_jump_rate, page_view_counts, session_page_pairs
-from clickflow.operators.pagejump import DAY_CHUNK, flow_pairs
+from clickflow.operators.pagejump import flow_pairs
 
 from .conftest import make_actions
 
@@ -76,12 +76,13 @@ def test_chunked_adjacency_equals_brute_force(spark):
             rows.append({"session_id": f"u-{s}", "page_id": rnd.randint(1, 4), "action_time": t})
     df = make_actions(spark, rows)
     expect = _brute_pairs(rows)
-    for chunk in (DAY_CHUNK, 13, 16, 19):
+    # All ordinary; some hot; all hot, by the hour; all hot, the larger ones by the minute.
+    for hot in (1000, 20, 1, 0):
         got = sorted(
             (r.session_id, r.action_time, r.page_id, r.next_page_id)
-            for r in session_page_pairs(df, chunk_chars=chunk).collect()
+            for r in session_page_pairs(df, hot_session_rows=hot).collect()
         )
-        assert got == expect, chunk
+        assert got == expect, hot
 
 
 def test_without_event_id_ties_break_on_page(spark):
@@ -91,18 +92,18 @@ def test_without_event_id_ties_break_on_page(spark):
     assert got == [(3, 4), (4, 5)]
 
 
-def test_hot_chunks_split_further_equals_brute_force(spark):
-    rnd = random.Random(11)
-    rows = []
-    for s in range(3):
-        for _ in range(rnd.randint(5, 40)):
-            t = f"2024-01-01 0{rnd.randint(0, 2)}:{rnd.randint(0, 3):02d}:{rnd.randint(0, 1):02d}"
-            rows.append({"session_id": f"u-{s}", "page_id": rnd.randint(1, 4), "action_time": t})
+def test_null_page_gives_no_pair(spark):
+    rows = _session([1, None, 2, 3])
     df = make_actions(spark, rows)
-    expect = _brute_pairs(rows)
-    for limit in (1, 3, 1000):
-        got = sorted(
-            (r.session_id, r.action_time, r.page_id, r.next_page_id)
-            for r in session_page_pairs(df, hot_chunk_rows=limit).collect()
-        )
-        assert got == expect, limit
+    for hot in (1000, 0):
+        got = sorted((r.page_id, r.next_page_id) for r in session_page_pairs(df, hot_session_rows=hot).collect())
+        assert got == [(2, 3)], hot
+
+
+def test_null_page_at_a_chunk_edge(spark):
+    rows = _session([1, None, 2], step=3600)
+    df = make_actions(spark, rows)
+    assert session_page_pairs(df, hot_session_rows=0).count() == 0
+    df = make_actions(spark, _session([1, 2], step=3600))
+    got = [(r.page_id, r.next_page_id) for r in session_page_pairs(df, hot_session_rows=0).collect()]
+    assert got == [(1, 2)]

@@ -29,16 +29,28 @@ def test_session_top_uses_group_limit_and_bounded_broadcast(spark):
     assert "BroadcastHashJoin LeftSemi" in text
 
 
-def test_ban_numbering_is_group_limited(spark):
-    text = plan_text(q(spark, "accepted_clicks"))
-    assert text.count("WindowGroupLimit") >= 2
+def test_ban_search_ships_counts_not_clicks(spark):
+    from clickflow.operators import first_bans
+    for threshold in (20, 5000):
+        df = first_bans(E._clicks(spark, SF), threshold)
+        df.collect()  # final adaptive plan: no group is above the threshold
+        tree = plan_text(df).split("\n\n")[0]
+        assert "WindowGroupLimit" not in tree
+        assert "Window" not in tree.split("== Initial Plan ==")[0]
 
 
-def test_session_adjacency_shares_one_shuffle(spark):
+def test_session_adjacency_sorts_once(spark):
     df = q(spark, "session_page_pairs")
     df.collect()  # final adaptive plan
-    text = plan_text(df)
-    assert "ReusedExchange" in text
+    tree = plan_text(df).split("\n\n")[0].split("== Initial Plan ==")[0]
+    assert tree.count("Window") == 1 and "Union" not in tree
+
+
+def test_categories_explode_inside_codegen(spark):
+    df = q(spark, "category_action_counts")
+    df.collect()
+    tree = plan_text(df).split("\n\n")[0].split("== Initial Plan ==")[0]
+    assert any("Generate" in line and "* Generate" in line for line in tree.split("\n"))
 
 
 def test_trend_fans_out_after_aggregation(spark):

@@ -14,13 +14,13 @@ import __spark_entry__ as E
 def test_publish_partitioned_table_and_prune(spark):
     E._utc(spark)
     actions = fixture_actions(spark, "/root/testdata/sf0.001")
-    publish_table(actions, "uva_test", partition_by=["date"])
-    publish_table(actions, "uva_test", partition_by=["date"])  # replace, not append
+    publish_table(actions, "uva_test", day_of="action_time")
+    publish_table(actions, "uva_test", day_of="action_time")  # replace, not append
     t = read_actions(spark, table="uva_test")
     assert t.count() == actions.count()
     run = run_category_top(spark, table="uva_test", start="2024-01-05", end="2024-01-10 12:00:00", task_id="t1")
     text = plan_text(run)
-    assert "PartitionFilters: [isnotnull(date" in text and "2024-01-05" in text
+    assert "PartitionFilters: [isnotnull(action_day" in text and "2024-01-05" in text
     scan = text[text.index("(1) Scan parquet"):].split("\n\n")[0]
     assert "PushedFilters: [IsNotNull(action_time), GreaterThanOrEqual(action_time,2024-01-05)" in scan
     rows = run.collect()
@@ -56,6 +56,6 @@ def test_read_actions_from_a_database(spark):
     E._utc(spark)
     spark.sql("CREATE DATABASE IF NOT EXISTS mall")
     actions = fixture_actions(spark, "/root/testdata/sf0.001")
-    publish_table(actions, "mall.user_visit_action", partition_by=["date"])
+    publish_table(actions, "mall.user_visit_action", day_of="action_time")
     t = read_actions(spark, database="mall")
     assert t.columns[0] == "event_id" and t.count() == actions.count()
