@@ -21,21 +21,17 @@ def components(edges: DataFrame) -> DataFrame:
     current = written(
         edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges"
     )
-    nodes = None
-    turn = 0
+    steps: list[DataFrame] = []
     while not current.isEmpty():
-        rank = lambda c, turn=turn: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("r"), F.col(c).alias("n"))
+        turn = F.lit(len(steps))
+        rank = lambda c, turn=turn: F.struct(F.xxhash64(turn, F.col(c)).alias("r"), F.col(c).alias("n"))
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(rank("b")).alias("best"))
         step = written(best.select(F.col("a").alias("node"), F.least(rank("a"), "best")["n"].alias("up")), "step")
-        up2 = step.select(F.col("node").alias("up"), F.col("up").alias("up2"))
-        step = written(step.join(up2, "up").select("node", F.col("up2").alias("up")), "step")
-        if nodes is None:
-            nodes = step.select("node", F.col("up").alias("at"))
-        else:
-            moved = step.select(F.col("node").alias("at"), "up")
-            nodes = nodes.join(moved, "at", "left").select("node", F.coalesce("up", "at").alias("at"))
-        nodes = written(nodes, "nodes")
+        # Two steps up at once.
+        above = step.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        step = step.join(above, "up").select("node", F.col("top").alias("up"))
+        steps.append(step)
         ends = current
         for c in ("a", "b"):
             ends = ends.join(step.select(F.col("node").alias(c), F.col("up").alias(f"{c}2")), c)
@@ -43,9 +39,13 @@ def components(edges: DataFrame) -> DataFrame:
             ends.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(),
             "edges",
         )
-        turn += 1
-    if nodes is None:
+    if not steps:
         kind = edges.schema["a"].dataType.simpleString()
         return edges.sparkSession.createDataFrame([], f"node {kind}, root {kind}")
-    roots = nodes.groupBy("at").agg(F.min("node").alias("root"))
+    nodes = steps[0].select("node", F.col("up").alias("at"))
+    for step in steps[1:]:
+        moved = step.select(F.col("node").alias("at"), "up")
+        nodes = nodes.join(moved, "at", "left").select("node", F.coalesce("up", "at").alias("at"))
+    nodes = written(nodes, "nodes")
+    roots = written(nodes.groupBy("at").agg(F.min("node").alias("root")), "roots")
     return nodes.join(roots, "at").select("node", "root")

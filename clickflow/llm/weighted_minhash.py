@@ -11,10 +11,12 @@ link if its exact weighted Jaccard similarity is at least ``threshold``. Classes
 connected components of links.
 
 Texts that are equal collapse first, by partial aggregation, so copies never form pairs.
-Inside a band no pairs are listed: the first round proposes for each member its best
-connected partner only; the second proposes pairs whose members are still in different
-classes. Every candidate pair is thus verified or implied by verified links. Bands over
-``BLOCK`` members are compared block against block in separate tasks.
+No round lists the pairs of a band. The first proposes for each member its best connected
+partner only. In the second, members with a candidate in another class are compared with
+each other inside tasks, by an index of their shingles, and a task returns only links that
+join classes. Every candidate pair is thus verified or implied by verified links. Bands over
+``BLOCK`` members, and over ``OPEN_BLOCK`` open ones, are compared block against block in
+separate tasks.
 
 Defined results: null texts count as empty. Texts of one to four words have one shingle,
 all their words; texts without words are near only to equal texts. Rows that repeat a
@@ -46,6 +48,8 @@ IDF_BUCKETS = 1 << 18
 UNIT = 1000
 #: Members of a band compared in one task.
 BLOCK = 4096
+#: Members still open after the first round whose texts are compared in one task.
+OPEN_BLOCK = 1024
 #: Rows of variates per sample; a shingle's row is a hash of it.
 VARIATES = 1 << 16
 
@@ -183,56 +187,129 @@ def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     )
 
 
-def _candidates(members: DataFrame, threshold: float, second: bool) -> DataFrame:
-    """Candidate pairs inside bands. ``members``: band, node, total, signature, size and,
-    in the second round, the class so far."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def _dealt(members: DataFrame, block: int) -> DataFrame:
+    """``members`` (with the ``size`` of their group) with own, x, y: a member of block i
+    goes to the tasks (min(i, j), max(i, j)) of all blocks j of its group."""
+    blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    # A member of block i goes to the tasks (min(i, j), max(i, j)) of all blocks j.
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+    return dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("other")
+
+
+def _agreeing(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (both ways) of a task's members that agree in enough samples."""
+    total, own = table["total"].to_numpy(), table["own"].to_numpy()
+    sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(len(total), SAMPLES)
+    left, right = [], []
+    step = max(1, (1 << 22) // max(len(total), 1))
+    for lo in range(0, len(total), step):
+        part = slice(lo, lo + step)
+        agree = np.zeros((len(sig[part]), len(total)), np.uint8)
+        for j in range(SAMPLES):
+            agree += sig[part, j, None] == sig[None, :, j]
+        near = agree >= AGREE
+        # Jaccard similarity is at most the ratio of the totals.
+        near &= np.minimum(total[part, None], total) >= (threshold - 1e-9) * np.maximum(total[part, None], total)
+        if table["x"][0] != table["y"][0]:
+            near &= own[part, None] != own
+        i, k = np.nonzero(near)
+        i += lo
+        left.append(i[i != k])
+        right.append(k[i != k])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _candidates(members: DataFrame, threshold: float) -> DataFrame:
+    """One pair for each member of a band (band, node, total, signature, size): with its
+    candidate partner that has the most candidates itself; ties go to the first."""
 
     def pairs(table: pa.Table) -> pa.Table:
-        node, total = table["node"].combine_chunks(), table["total"].to_numpy()
-        sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(len(node), SAMPLES)
-        own = table["own"].to_numpy()
-        label = table["label"].to_pylist() if second else None
-        labels = np.unique(label, return_inverse=True)[1] if second else None
-        left, right = [], []
-        step = max(1, (1 << 22) // max(len(node), 1))
-        for lo in range(0, len(node), step):
-            part = slice(lo, lo + step)
-            agree = np.zeros((len(sig[part]), len(node)), np.uint8)
-            for j in range(SAMPLES):
-                agree += sig[part, j, None] == sig[None, :, j]
-            near = agree >= AGREE
-            # Jaccard similarity is at most the ratio of the totals.
-            near &= np.minimum(total[part, None], total) >= (threshold - 1e-9) * np.maximum(total[part, None], total)
-            if table["x"][0] != table["y"][0]:
-                near &= own[part, None] != own
-            i, k = np.nonzero(near)
-            i += lo
-            left.append(i[i != k])
-            right.append(k[i != k])
-        i, k = np.concatenate(left), np.concatenate(right)
-        # Each member's partner with the most candidates; ties go to the first.
+        node = table["node"].combine_chunks()
+        i, k = _agreeing(table, threshold)
         degree = np.bincount(i, minlength=len(node))
         order = np.lexsort((k, -degree[k], i))
         firsts = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
-        best = np.full(len(node), -1)
-        best[i[firsts]] = k[firsts]
-        if second:
-            new = (i < k) & (labels[i] != labels[k]) & (best[i] != k) & (best[k] != i)
-            a, b = i[new], k[new]
-        else:
-            a = np.flatnonzero(best >= 0)
-            b = best[a]
-        return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
-
-    found = dealt.groupBy("band", "x", "y").applyInArrow(pairs, "a binary, b binary")
+        return pa.table({"a": node.take(pa.array(i[firsts])), "b": node.take(pa.array(k[firsts]))})
+
+    found = _dealt(members, BLOCK).groupBy("band", "x", "y").applyInArrow(pairs, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _open_members(members: DataFrame, threshold: float) -> DataFrame:
+    """The members that have a candidate partner in another class so far (``label``), with
+    their band and block pair (band, bx, by) and the number of such members there."""
+
+    def still_open(table: pa.Table) -> pa.Table:
+        i, k = _agreeing(table, threshold)
+        labels = np.unique(table["label"].to_pylist(), return_inverse=True)[1] if len(i) else np.empty(0, np.int64)
+        rows = pa.array(np.unique(i[labels[i] != labels[k]]) if len(i) else np.empty(0, np.int64))
+        out = table.select(["node", "label", "band", "x", "y"]).take(rows).rename_columns(["node", "label", "band", "bx", "by"])
+        return out.append_column("size", pa.array(np.full(len(rows), len(rows), np.int64)))
+
+    return (
+        _dealt(members, BLOCK)
+        .groupBy("band", "x", "y")
+        .applyInArrow(still_open, "node binary, label binary, band long, bx int, by int, size long")
+    )
+
+
+def _cross_links(open_members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """Links between different classes among the open members of a band: every pair is
+    compared, inside tasks, through an index of the members' shingles; a task returns only
+    the links that join classes."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, own = table["node"].combine_chunks(), table["own"].to_numpy()
+        label = np.unique(table["label"].to_pylist(), return_inverse=True)[1]
+        keys, weights, of, totals, n = [], [], [], [], 0
+        for batch in table.select(["text"]).combine_chunks().to_batches():
+            for _, block in text_blocks(batch):
+                f = Features(block, idf)
+                keys.append(f.hashes)
+                weights.append(f.weights)
+                of.append(f.of + n)
+                totals.append(f.totals)
+                n += len(f.totals)
+        keys, weights, of, total = (np.concatenate(v) for v in (keys, weights, of, totals))
+        order = np.argsort(keys, kind="stable")
+        keys, by_weight, by_member = keys[order], weights[order], of[order]
+        low = np.searchsorted(keys, keys, "left")
+        count = np.searchsorted(keys, keys, "right") - low
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        bounds = np.searchsorted(of, np.arange(n + 1))
+        group = np.arange(int(label.max()) + 1)
+        two = table["x"][0] != table["y"][0]
+
+        def top(g: int) -> int:
+            while group[g] != g:
+                g = group[g]
+            return int(g)
+
+        a, b = [], []
+        for i in range(n):
+            mine = place[bounds[i] : bounds[i + 1]]
+            mine = mine[count[mine] > 1]
+            times = count[mine]
+            at = np.repeat(low[mine] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+            shared = np.bincount(
+                by_member[at], np.minimum(by_weight[at], np.repeat(by_weight[mine], times)), minlength=n
+            )
+            hit = (shared > 0) & (shared >= (threshold - 1e-9) * (total[i] + total - shared)) & (label != label[i])
+            if two:
+                hit &= own != own[i]
+            for k in np.flatnonzero(hit):
+                x, y = top(label[i]), top(label[k])
+                if x != y:
+                    group[max(x, y)] = min(x, y)
+                    a.append(i)
+                    b.append(k)
+        return pa.table({"a": node.take(pa.array(a, pa.int64())), "b": node.take(pa.array(b, pa.int64()))})
+
+    dealt = _dealt(open_members, OPEN_BLOCK).join(texts, "node")
+    return dealt.groupBy("band", "bx", "by", "x", "y").applyInArrow(compare, "a binary, b binary")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """Those of ``pairs`` whose texts reach the threshold. ``texts``: node, text."""
 
@@ -268,6 +345,18 @@ def _links(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, root) after further links: only the classes that these join move."""
+    ends = links
+    for c in ("a", "b"):
+        known = labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        ends = ends.join(known, c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+    upper = written(components(ends.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))), "labels")
+    fresh = upper.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("root"))
+    top = upper.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return labels.union(fresh).join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, kept) for every row of ``docs``; ``class_id`` is the smallest
     ``doc_id`` of the class, ``kept`` marks the document that stays."""
@@ -275,7 +364,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf = word_idf(docs)
     signed = written(_signed(docs, idf).distinct(), "signatures")
     banded = signed.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    # Written first: a join on top of an aggregate could not be split where a band is large.
+    shared = written(banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "bands")
     members = written(banded.join(shared, "band").join(signed.drop("bands"), "node"), "members")
 
     ids = docs.select("doc_id", node_of(F.col("text")))
@@ -286,14 +376,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     same = texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["node"] == wanted["_node"])
     texts = written(texts.join(wanted, same, "leftsemi").select("node", "text"), "texts")
 
-    links = written(_links(_candidates(members, threshold, second=False), texts, idf, threshold), "links")
+    links = written(_links(_candidates(members, threshold), texts, idf, threshold), "links")
     labels = written(components(links), "labels")
     labelled = members.join(labels.withColumnRenamed("root", "label"), "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    more = written(_links(_candidates(labelled, threshold, second=True), texts, idf, threshold), "links")
+    still_open = written(_open_members(labelled, threshold), "open")
+    more = written(_cross_links(still_open, texts, idf, threshold).distinct(), "links")
     if not more.isEmpty():
-        labels = written(components(links.union(more)), "labels")
+        labels = written(_merged(labels, more), "labels")
 
     roots = first.join(labels, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     named = roots.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("best"))

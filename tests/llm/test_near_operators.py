@@ -118,6 +118,7 @@ def test_keep_one_and_empty(spark):
 
 def test_large_band_is_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(weighted_minhash, "BLOCK", 16)
+    monkeypatch.setattr(weighted_minhash, "OPEN_BLOCK", 4)
     rng = random.Random(4)
     base = prose(rng, 200, 3000).split()
     rows = []
@@ -129,6 +130,22 @@ def test_large_band_is_compared_in_blocks(spark, monkeypatch):
     assert {r.class_id for r in found} == {0}
 
 
+def test_open_members_are_compared_in_blocks(spark, monkeypatch):
+    """Chains in which no document is near to all others: links must not be lost."""
+    monkeypatch.setattr(weighted_minhash, "OPEN_BLOCK", 3)
+    rng = random.Random(14)
+    rows = []
+    for chain in range(4):
+        own = prose(rng, 200, 3000).split()
+        for step in range(12):
+            rows.append((100 * chain + step, " ".join(own)))
+            for _ in range(3):
+                own[rng.randrange(200)] = f"c{chain}s{rng.randrange(10**6)}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = weighted_minhash.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == _brute_near(docs.collect())
+
+
 def test_sample_agreement_estimates_similarity():
     rng = random.Random(6)
     a = prose(rng, 400, 4000).split()
