@@ -209,7 +209,9 @@ def mix_sources(
 def taken_words(docs: DataFrame, **options) -> DataFrame:
     """Per document: size, its source's size and target, and the words the mix takes."""
     slots, pieces = mix_sources(docs, **options)
-    times = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    # Without the hint the planner takes slots for as few as the runs they come from, and
+    # broadcasts them.
+    times = slots.groupBy("source_no", "block").agg(F.count("*").alias("times")).hint("merge")
     return (
         pieces.join(times, ["source_no", "block"], "left")
         .groupBy("source_no", "doc_id", "size", "_k1", "_k2", "start", "source_size", "target")
@@ -231,7 +233,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     row = ["_k1", "_k2"]
     takes = (
         pieces.where("size > 0")
-        .join(slots.select("source_no", "block", "pass"), ["source_no", "block"])
+        .join(slots.select("source_no", "block", "pass").hint("merge"), ["source_no", "block"])
         .groupBy(*row, "start", "pass")
         .agg(F.array_sort(F.collect_list(F.struct("from", "words"))).alias("ranges"))
         .groupBy(*row, "start")
