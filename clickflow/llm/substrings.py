@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.shared import written
+from clickflow.llm.shared import small_batches, written
 from clickflow.llm.words import SPAN_POWERS, Spans, as_long, text_blocks
 
 #: Words of a window whose repetition removes it.
@@ -103,7 +103,7 @@ def anchors(rows: DataFrame) -> DataFrame:
                     ["anchor", "extent", "doc_id", "tag", "run"],
                 )
 
-    return rows.mapInArrow(run, f"anchor long, extent long, doc_id {kind}, tag int, run long")
+    return small_batches(rows).mapInArrow(run, f"anchor long, extent long, doc_id {kind}, tag int, run long")
 
 
 def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -144,14 +144,20 @@ def _windows(requests: DataFrame) -> DataFrame:
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """Runs of windows that repeat, by document: doc_id, tag, runs (first window and a bit
     for each of its run's windows)."""
+    # Sums over keys are written before they are joined back: a join that reads a shuffle on
+    # either side can be split where a key is hot, one on top of an aggregate cannot.
     found = anchors(rows)
     again = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    seen = written(found.join(again, "anchor"), "occurrences")
+    seen = written(found.join(written(again, "anchors"), "anchor"), "occurrences")
 
-    classes = seen.groupBy("anchor", "extent").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "run")).alias("one")
+    classes = written(
+        seen.groupBy("anchor", "extent").agg(
+            F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "run")).alias("one")
+        ),
+        "classes",
     )
     several = classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    several = written(several, "anchors")
     asked = (
         classes.join(several, "anchor")
         .groupBy("one.doc_id", "one.tag")
@@ -165,6 +171,7 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
         .where("least <> most")
         .select("anchor", "window")
     )
+    shared = written(shared, "shared")
     bits = (
         windows.join(shared, ["anchor", "window"])
         .groupBy("anchor", "extent")
@@ -173,8 +180,9 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     repeats = classes.join(bits, ["anchor", "extent"], "left").select(
         "anchor", "extent", F.when(F.col("n") > 1, -1).otherwise(F.coalesce("bits", F.lit(0))).cast("long").alias("bits")
     )
+    repeats = written(repeats.where("bits <> 0"), "repeats")
     return (
-        seen.join(repeats.where("bits <> 0"), ["anchor", "extent"])
+        seen.join(repeats, ["anchor", "extent"])
         .groupBy("doc_id", "tag")
         .agg(F.collect_list(F.struct("run", "bits")).alias("runs"))
     )
