@@ -8,8 +8,9 @@ block.
 
 A segment is one byte string: magic, number of ids, number of levels, then for each level
 its length, the chunks, the bitmap and the rank directory. The corpus is a table of
-segments in ``doc_id`` order, written and read by Spark: part, segment, doc_ids, counts (the
-documents' id counts, as such codes too), n_tokens, ids. Parquet is the container, so
+segments in ``doc_id`` order, written and read by Spark: part, segment, into (ids of the part
+before the segment), doc_ids, counts (the documents' id counts, as such codes too), n_tokens,
+ids. A part is what one write task holds; parts follow each other in ``doc_id`` order. Parquet is the container, so
 commits, retries and lost executors are Spark's business, and any store will do.
 
 Defined results: a null text is empty and has its end id only; a null ``doc_id`` comes
@@ -28,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickflow.llm.shared import small_batches
 from clickflow.llm.token_ids import encoder
 from clickflow.llm.words import text_blocks
 
@@ -105,7 +107,7 @@ class Segment:
         return out
 
 
-_FIELDS = "part int, segment int, doc_ids array<{}>, counts binary, n_tokens long, ids binary"
+_FIELDS = "part int, segment int, into long, doc_ids array<{}>, counts binary, n_tokens long, ids binary"
 
 
 def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
@@ -114,7 +116,7 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
-        doc_ids, ids, counts, held, segment = [], [], [], 0, 0
+        doc_ids, ids, counts, held, segment, into = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             flat = np.concatenate(ids)
@@ -123,12 +125,13 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END
                 [
                     pa.array([part], pa.int32()),
                     pa.array([segment], pa.int32()),
+                    pa.array([into], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
                     pa.array([pack_ids(np.concatenate(counts))], pa.binary()),
                     pa.array([len(flat)], pa.int64()),
                     pa.array([pack_ids(flat)], pa.binary()),
                 ],
-                ["part", "segment", "doc_ids", "counts", "n_tokens", "ids"],
+                ["part", "segment", "into", "doc_ids", "counts", "n_tokens", "ids"],
             )
 
         for batch in batches:
@@ -141,25 +144,23 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END
                 held += len(ids[-1])
                 if held >= SEGMENT_TOKENS:
                     yield flush()
-                    doc_ids, ids, counts, held, segment = [], [], [], 0, segment + 1
+                    doc_ids, ids, counts, held, segment, into = [], [], [], 0, segment + 1, into + held
         if held:
             yield flush()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.hash("text"))
-    ordered.mapInArrow(run, _FIELDS.format(kind)).write.parquet(path)
+    small_batches(ordered).mapInArrow(run, _FIELDS.format(kind)).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a written corpus: doc_id, start (ids before it), n_tokens, ids_crc32."""
     segments = spark.read.parquet(path)
     kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
-    # One row per write task in one window, then one window per write task.
+    # One row per write task, as many as the writer had shuffle partitions: one task orders
+    # them, and they are small enough to send to every task.
     parts = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    heads = segments.select("part", "segment", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("into"))
-    starts = heads.join(parts, "part").select("part", "segment", (F.col("first") + F.col("into")).alias("start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,7 +181,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     return (
-        segments.join(starts, ["part", "segment"])
-        .select("doc_ids", "counts", "ids", "start")
+        segments.join(F.broadcast(parts), "part")
+        .select("doc_ids", "counts", "ids", (F.col("first") + F.col("into")).alias("start"))
         .mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
     )
