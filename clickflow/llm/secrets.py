@@ -26,6 +26,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from clickflow.llm.shared import small_batches
+
 #: The base patterns (fixed values), in the order in which kinds are listed.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -116,52 +118,64 @@ def literal_score(text: str) -> float:
     return min(1.0, 0.15 * classes + 0.15 * entropy)
 
 
-def _value(text: str, at: int, known: dict[str, list[Literal]]) -> tuple[list[Literal], bool]:
-    """The literals that the value at ``at`` stands for, and whether it is bound as a constant."""
-    found: list[Literal] = []
+def _value(text: str, at: int, known: dict[str, list]) -> list:
+    """What the value at ``at`` stands for: literals, and the values of names it refers to."""
+    found: list = []
     while True:
         at = BLANKS.match(text, at).end()
         if m := QUOTED.match(text, at):
             body = next(g for g in m.groups() if g is not None)
             refs = [r for g in REFERENCE.findall(body) for r in g if r]
             if refs and all(r in known for r in refs):
-                for r in refs:
-                    found += known[r]
+                found += [known[r] for r in refs]
             elif body:
                 found.append(Literal(at + 1, m.end() - 1, body))
         elif m := REFERENCE.match(text, at):
-            found += known.get(next(g for g in m.groups() if g), [])
+            if (name := next(g for g in m.groups() if g)) in known:
+                found.append(known[name])
         elif m := BARE.match(text, at):
             word = m[0].rstrip(".")
             if word in known:
-                found += known[word]
+                found.append(known[word])
             elif not IDENTIFIER.match(word) or any(c.isdigit() for c in word):
                 # An unbound plain name refers to something unseen; configuration values
                 # without quotes are told from names by a digit or a sign.
                 found.append(Literal(at, at + len(word), word))
         else:
-            return found, bool(found)
+            return found
         joined = JOIN.match(text, m.end())
         if not joined:
-            return found, bool(found)
+            return found
         at = joined.end()
 
 
+def _literals(value: list) -> Iterator[Literal]:
+    """The literals that a value stands for, each place once."""
+    seen, todo = {id(value)}, [value]
+    while todo:
+        for item in todo.pop():
+            if isinstance(item, Literal):
+                yield item
+            elif id(item) not in seen:
+                seen.add(id(item))
+                todo.append(item)
+
+
 def literal_spans(text: str) -> list[Span]:
     """Spans of literals that reach a sensitive name, ordered, each once."""
-    known: dict[str, list[Literal]] = {}
+    known: dict[str, list] = {}
     spans: set[Span] = set()
     for sign in SIGN.finditer(text):
         before = NAME_BEFORE.search(text[max(0, sign.start() - NAME_CHARS) : sign.start()])
         if not before:
             continue
         name = before[2] or before[3]
-        literals, bound = _value(text, sign.end(), known)
-        if bound:
-            known[name] = literals[:64]
+        value = _value(text, sign.end(), known)
+        if value:
+            known[name] = value
         target = name_score(name)
         if target:
-            for x in literals:
+            for x in _literals(value):
                 if x.text not in known and target + literal_score(x.text) >= MIN_SCORE and literal_score(x.text):
                     spans.add(Span(x.start, 3, x.end))
     return sorted(spans)
@@ -203,7 +217,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *found])
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(
         run,
         f"doc_id {doc_id}, n_assign long, n_access long, n_hex long, n_literal long, base_sha256 string, spans string",
     )
@@ -240,4 +254,4 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
                 arrays[n] = pa.array(new, batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
