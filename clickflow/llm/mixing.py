@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.llm.shared import placed
+from clickflow.llm.shared import placed, small_batches
 from clickflow.llm.words import U64, Texts, mix, seeded, text_blocks
 
 WEIGHTS = (5, 2, 1)
@@ -255,7 +255,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         for batch in batches:
             yield from _cut(batch, columns)
 
-    return joined.select(*numbered.columns, "takes").mapInArrow(cut, docs.schema)
+    return small_batches(joined.select(*numbered.columns, "takes")).mapInArrow(cut, docs.schema)
 
 
 def _cut(batch: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.llm.shared import small_batches
 from clickflow.llm.words import SPAN_POWERS, U64, Spans, Texts, covered, mix, repeated, text_blocks
 
 FEATURES = 1 << 18
@@ -214,4 +215,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float, float] | None) -> Dat
                     ["doc_id", "score", "predicted"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, score double, predicted int")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.llm.shared import placed, written
+from clickflow.llm.shared import placed, small_batches, written
 from clickflow.llm.token_ids import encoder
 from clickflow.llm.words import text_blocks
 
@@ -106,7 +106,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h1")).mapInArrow(run, _PIECES.format(kind))
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h1"))
+    return small_batches(rows).mapInArrow(run, _PIECES.format(kind))
 
 
 def _first_fit(capacity: int):

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from clickflow.llm.shared import small_batches
 from clickflow.llm.words import Spans, SPAN_POWERS, Texts, U64, covered, mix, repeated, text_blocks
 
 #: Largest tolerated share of word characters inside n-grams that repeat an earlier one of
@@ -122,7 +123,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                 arrays = [rows.column(0), *[pa.array(v) for v in found.values()]]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *found])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -133,4 +134,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
             for rows, texts in text_blocks(batch):
                 yield rows.filter(pa.array(measure(texts)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -23,6 +23,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows may hold long texts, about to be sent to Python: where the session has
+    Spark's default of 10,000 rows to an Arrow batch, it gets ``BATCH_ROWS``, as a batch is
+    held whole by the JVM and by Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: lineage ends there, and
     an executor's loss costs nothing that was written."""

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm.components import components
-from clickflow.llm.shared import written
+from clickflow.llm.shared import small_batches, written
 from clickflow.llm.words import SPAN_POWERS, U64, Spans, Texts, mix, repeated, seeded, text_blocks
 
 SHINGLE = 5
@@ -80,7 +80,7 @@ def word_idf(docs: DataFrame) -> np.ndarray:
             [pa.array(np.append(full, -1).astype(np.int32)), pa.array(np.append(df[full], n))], ["bucket", "n"]
         )
 
-    rows = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = small_batches(docs.select("text")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     table = rows.toArrow()
     bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy()
     df = np.ones(IDF_BUCKETS)
@@ -182,7 +182,7 @@ def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                     ["node", "total", "signature", "bands"],
                 )
 
-    return docs.select(node_of(F.col("text")), "text").mapInArrow(
+    return small_batches(docs.select(node_of(F.col("text")), "text")).mapInArrow(
         run, "node binary, total double, signature binary, bands array<long>"
     )
 

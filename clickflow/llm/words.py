@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a single longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 U64 = np.uint64
 
