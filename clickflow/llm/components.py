@@ -12,10 +12,10 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns ``a``, ``b``): ``root`` is the
     smallest node of its component.
 
-    Each round hangs every node on the neighbour (or itself) of the smallest pseudorandom
-    rank, follows two such steps, and renames the edges' ends; a constant share of the
-    nodes disappears, so rounds grow with the logarithm of the longest path. Rounds are
-    written to the shared folder. A hub costs no more than its edges: minima are taken
+    Each round hangs every node on the node of the smallest pseudorandom rank within two
+    steps, and renames the edges' ends: a star is done in one round, and of longer shapes a
+    constant share of the nodes disappears, so rounds grow with the logarithm of the longest
+    path. Rounds are written to the shared folder. A hub costs no more than its edges: minima are taken
     with partial aggregation and joins are ordinary equi-joins that Spark may split.
     """
     current = written(
@@ -27,10 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
         rank = lambda c, turn=turn: F.struct(F.xxhash64(turn, F.col(c)).alias("r"), F.col(c).alias("n"))
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(rank("b")).alias("best"))
-        step = written(best.select(F.col("a").alias("node"), F.least(rank("a"), "best")["n"].alias("up")), "step")
-        # Two steps up at once.
-        above = step.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        step = step.join(above, "up").select("node", F.col("top").alias("up"))
+        best = written(best.select("a", F.least(rank("a"), "best").alias("best")), "best")
+        near = both.join(best.select(F.col("a").alias("b"), F.col("best").alias("near")), "b")
+        up = near.groupBy("a").agg(F.min("near").alias("up"))
+        step = written(up.select(F.col("a").alias("node"), F.col("up.n").alias("up")), "step")
         steps.append(step)
         ends = current
         for c in ("a", "b"):
