@@ -50,8 +50,6 @@ UNIT = 1000
 BLOCK = 4096
 #: Members still open after the first round whose texts are compared in one task.
 OPEN_BLOCK = 1024
-#: Rows of variates per sample; a shingle's row is a hash of it.
-VARIATES = 1 << 16
 
 
 def node_of(text: Column) -> Column:
@@ -122,19 +120,20 @@ class Features:
         self.first = np.searchsorted(self.of, np.arange(n_texts + 1))
 
 
-def _variates() -> list[tuple[int, np.ndarray]]:
-    """For each sample a multiplier and a table of 1 / r, r, beta and ln c."""
-    tables = []
-    for j in range(SAMPLES):
-        u = (seeded(100 + j, 5 * VARIATES).reshape(5, VARIATES) >> U64(11)).astype(np.float64) / 2**53 + 1e-17
-        r, c = -np.log(u[0] * u[1]), -np.log(u[2] * u[3])
-        table = np.stack([1 / r, r, u[4], np.log(c)], axis=1).astype(np.float32)
-        tables.append((int(seeded(7 + j, 1)[0]) | 1, table))
-    return tables
+def _variates() -> np.ndarray:
+    """For each sample the salt under which a shingle's hash gives its variates."""
+    return seeded(100, SAMPLES)
 
 
-def signatures(features: Features, variates: list[tuple[int, np.ndarray]]) -> np.ndarray:
-    """``SAMPLES`` 32-bit samples for every text with a feature; rows of zeros for the rest."""
+def _gamma(bits: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1) variates from 64 bits each: minus the log of two uniforms' product, above 0."""
+    u = (bits.view(np.uint32).reshape(-1, 2).astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
+    return np.maximum(-np.log(u[:, 0]) - np.log(u[:, 1]), np.float32(2**-26))
+
+
+def signatures(features: Features, variates: np.ndarray) -> np.ndarray:
+    """``SAMPLES`` 32-bit samples for every text with a feature; rows of zeros for the rest.
+    Every shingle has variates of its own; should two tie, the smaller hash is sampled."""
     out = np.zeros((len(features.first) - 1, SAMPLES), np.uint32)
     full = np.flatnonzero(np.diff(features.first))
     if not len(full):
@@ -142,12 +141,14 @@ def signatures(features: Features, variates: list[tuple[int, np.ndarray]]) -> np
     starts = features.first[full]
     row = np.repeat(np.arange(len(full)), np.diff(features.first)[full])
     log_w = np.log(features.weights).astype(np.float32)
-    shift = U64(64 - VARIATES.bit_length() + 1)
-    for j, (odd, table) in enumerate(variates):
-        v = table[((features.hashes * U64(odd)) >> shift).astype(np.int64)]
-        t = np.floor(log_w * v[:, 0] + v[:, 2])
-        a = v[:, 3] - v[:, 1] * (t - v[:, 2] + 1)
+    for j, salt in enumerate(variates):
+        x = mix(features.hashes ^ salt)
+        beta = ((x * U64(0x9E3779B97F4A7C15)) >> U64(40)).astype(np.float32) * np.float32(2**-24)
+        r = _gamma(x)
+        t = np.floor(log_w / r + beta)
+        a = np.log(_gamma(mix(x))) - r * (t - beta + 1)
         best = np.flatnonzero(a == np.minimum.reduceat(a, starts)[row])
+        best = best[np.lexsort((features.hashes[best], row[best]))]
         best = best[np.flatnonzero(np.diff(row[best], prepend=-1))]
         picked = features.hashes[best] ^ mix(t[best].astype(np.int64).view(U64) + U64(j))
         out[full, j] = (mix(picked) >> U64(32)).astype(np.uint32)

@@ -160,6 +160,22 @@ def test_sample_agreement_estimates_similarity():
     assert abs((sig[0] == sig[1]).mean() - true) < 0.25
 
 
+def test_near_copies_of_very_long_texts(spark):
+    """Sections in another order, and a text without its first tenth."""
+    rng = random.Random(15)
+    rows = []
+    for base in (0, 10):
+        text = prose(rng, 200_000, 50_000).split()
+        sections = [text[i : i + 5000] for i in range(0, len(text), 5000)]
+        rng.shuffle(sections)
+        texts = [text, [w for s in sections for w in s], text[len(text) // 10 :]]
+        rows += [(base + i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = weighted_minhash.near_duplicates(docs).collect()
+    want = _brute_near(docs.collect())
+    assert Counter((r.doc_id, r.class_id) for r in found) == want == Counter((b + i, b) for b in (0, 10) for i in range(3))
+
+
 def _vectors(seed, n, labels, dims=16):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(n, dims))
