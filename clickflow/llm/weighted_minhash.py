@@ -358,9 +358,8 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return labels.union(fresh).join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, kept) for every row of ``docs``; ``class_id`` is the smallest
-    ``doc_id`` of the class, ``kept`` marks the document that stays."""
+def _verdicts(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, node, class_id, kept) for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     idf = word_idf(docs)
     signed = written(_signed(docs, idf).distinct(), "signatures")
@@ -394,12 +393,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     return ids.join(classes, ids["node"] == classes["_node"]).select(
         "doc_id",
+        "node",
         "class_id",
         (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("_kept"))).alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, kept) for every row of ``docs``; ``class_id`` is the smallest
+    ``doc_id`` of the class, ``kept`` marks the document that stays."""
+    return _verdicts(docs, threshold).drop("node")
+
+
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each class does."""
-    kept = near_duplicates(docs, threshold).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "leftsemi")
+    """One row of ``docs`` for each class: of the rows that repeat the kept document, the
+    smallest. Partial aggregation collapses these, so no task gets all of them."""
+    kept = _verdicts(docs, threshold).where("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct()
+    # Columns go by number meanwhile, so that no name of theirs can clash.
+    columns = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    doc_id, text = (f"c{columns.index(c)}" for c in ("doc_id", "text"))
+    rows = rows.withColumn("node", node_of(F.col(text)))
+    same = rows[doc_id].eqNullSafe(kept["_id"]) & (rows["node"] == kept["_node"])
+    whole = F.struct(*[c for c in rows.columns if c != "node"])
+    one = rows.join(kept, same, "leftsemi").groupBy(doc_id, "node").agg(F.min(whole).alias("row"))
+    return one.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)])
