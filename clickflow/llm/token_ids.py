@@ -13,8 +13,9 @@ where the tokenizers of this module's users cannot carry anything across:
 
 A chunk that is one Latin word goes straight to the tokenizer's model, with the byte-level
 alphabet applied, after a trial of that route against the whole tokenizer. Everything else, such as other scripts, combining marks or unusual white space, stays in
-one chunk with its neighbours. Special tokens' strings are ordinary text
-(``encode_special_tokens``), so a document cannot forge an end of text.
+one chunk with its neighbours. The strings of added (special) tokens, which the library
+finds in the raw text before all else, are chunks of their own, so ids equal the plain
+library call's; an ``Encoder`` without ``added`` takes them as ordinary text.
 """
 
 from __future__ import annotations
@@ -56,8 +57,8 @@ def _byte_signs() -> dict[int, str]:
 BYTE_SIGNS = _byte_signs()
 
 
-def chunk_starts(texts: Texts) -> np.ndarray:
-    """Byte positions at which chunks start."""
+def chunk_starts(texts: Texts, whole: list[tuple[int, int]] | None = None) -> np.ndarray:
+    """Byte positions at which chunks start; the spans ``whole`` are chunks of their own."""
     d = texts.data
     n = len(d)
     if not n:
@@ -76,6 +77,9 @@ def chunk_starts(texts: Texts) -> np.ndarray:
     single[1:] &= ends_known[:-1]
     cut = np.zeros(n + 1, bool)
     cut[1:n] = (space[1:] & ends_known[:-1]) | (starts_known[1:] & single[:-1]) | (_PUNCT[d[1:]] & ends_letter[:-1])
+    for start, end in whole or ():
+        cut[start:end] = False
+        cut[[start, end]] = True
     cut[texts.bounds] = True
     return np.flatnonzero(cut[:n])
 
@@ -83,12 +87,15 @@ def chunk_starts(texts: Texts) -> np.ndarray:
 class Encoder:
     """A tokenizer with the ids of the chunks it has met."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        # These tokenizers' added tokens are matched as they are, without regard to neighbours.
+        names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile(b"|".join(map(re.escape, sorted(names, key=len, reverse=True)))) if names else None
         self.tokenize = self.tokenizer.model.tokenize
         normalizer = self.tokenizer.normalizer
         # For the letters of ONE_WORD, normalisation is lower case or nothing (see the trial).
@@ -136,9 +143,16 @@ class Encoder:
         self.lengths = np.insert(self.lengths, at, lengths)
         self.starts = np.insert(self.starts, at, starts)
 
+    def _added_spans(self, texts: Texts) -> list[tuple[int, int]]:
+        """Where the texts hold strings of added tokens."""
+        if self.added is None or not self.added.search(texts.data):
+            return []
+        bounds = texts.bounds.tolist()
+        return [m.span() for a, b in zip(bounds[:-1], bounds[1:]) for m in self.added.finditer(texts.data, a, b)]
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and where each text's ids begin (and the end)."""
-        starts = chunk_starts(texts)
+        starts = chunk_starts(texts, self._added_spans(texts))
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts.bounds), np.int64)
         ends = np.append(starts[1:], len(texts.data))
@@ -165,5 +179,5 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """This worker's encoder for the tokenizer file at ``path``."""
-    return Encoder(path)
+    """This worker's encoder for the tokenizer file at ``path``, equal to the plain library call."""
+    return Encoder(path, added=True)

@@ -214,3 +214,23 @@ def test_chunked_ids_equal_the_library():
         for rows, block in text_blocks(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])):
             ids, begins = encoder.encode(block)
             assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == [w[:-1] for w in want]
+
+
+def test_ids_of_added_tokens_equal_the_plain_library_call():
+    import random
+
+    import pyarrow as pa
+
+    from clickflow.llm.token_ids import encoder
+
+    rng = random.Random(3)
+    signs = list("aAbé×ß ,'!?\n\t <>|1Σ中\u0338\u0307") + ["'s", "  ", "<|endof", "text|>", "<|startoftext|>"] + ["<|endoftext|>"] * 5
+    texts = ["one <|endoftext|> two", "<|endof", "text|>", "", "<|ENDOFTEXT|>", "<|endoftext|>" * 3]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(4000)]
+    for name, first in (("word_bpe_49k.json", [637, 49407, 1237]), ("byte_bpe_50k.json", [505, 220, 50256, 734])):
+        plain = Tokenizer.from_file(public_tokenizers.path(name))
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert want[0] == first
+        for rows, block in text_blocks(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])):
+            ids, begins = encoder(public_tokenizers.path(name)).encode(block)
+            assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == want
