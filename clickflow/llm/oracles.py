@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from clickflow.llm import conversation_repair as repair
 from clickflow.llm import cover_tree, quality_rules, substrings
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -126,5 +127,98 @@ SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_
 FROM embeddings e JOIN least ON e.vec_id = least.vec_id LEFT JOIN counted ON e.vec_id = counted.x"""
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII string, from a table ``crc.t`` made by rule."""
+    return (
+        f"xor(4294967295, list_reduce(list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+        f"lambda a, b: xor(a // 256, crc.t[1 + xor(a, b) % 256]), 4294967295))"
+    )
+
+
+def op11_sql() -> str:
+    def step(state: str, cost: str, letter: str, line: str | None) -> str:
+        lines = f"{state}.t" if line is None else f"list_append({state}.t, {line})"
+        k = f"printf('%09d', CAST({state}.k[:9] AS INTEGER) + {cost}) || {state}.k[10:] || '{letter}'"
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'k': {k}, 't': {lines}}} END"
+
+    def least(*states: str) -> str:
+        return f"list_sort(list_filter([{', '.join(states)}], lambda x: x IS NOT NULL))[1]"
+
+    def add(state: str, role: str) -> str:
+        return f"({step(state, str(repair.INSERT_COST), 'I', repr(role + ':'))})"
+
+    user, both = lambda s: add(s, "user"), lambda s: add(add(s, "user"), "assistant")
+    keep = lambda s, r: f"CASE WHEN fault IN (0, 3) AND initial = '{r}' THEN {step(s, 'extra', 'K', 'role || chr(58) || text')} END"
+    change = lambda s, r: f"CASE WHEN fault IN (0, 3) THEN {step(s, f'{repair.REROLE_COST} + extra', 'R', f'{r!r} || chr(58) || text')} END"
+    gone = lambda s: step(s, str(repair.DELETE_COST), "D", None)
+    state = "STRUCT(k VARCHAR, t VARCHAR[])"
+    closed = f"""s0 AS c0, s1 AS c1,
+      {least('s2', user('s0'), user('s1'), user('s3'))} AS c2,
+      {least('s3', add('s2', 'assistant'), both('s0'), both('s1'))} AS c3"""
+    return rf"""WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, n)) AS t
+),
+fates AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS fate
+  FROM conversations, crc
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy FROM fates WHERE fate <> 0)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS i,
+    substr(role, 1, 1) AS initial
+  FROM damaged
+),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+  FROM ranked
+),
+rows_ AS (SELECT *, CASE WHEN fault = 3 THEN {repair.TRUNCATED_COST} ELSE 0 END AS extra FROM faults),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows_ GROUP BY conv_id
+),
+dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST({{'k': '000000000', 't': []}} AS {state}) AS s0,
+    CAST(NULL AS {state}) AS s1, CAST(NULL AS {state}) AS s2, CAST(NULL AS {state}) AS s3
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, {gone('c0')} AS s0, {least(gone('c1'), keep('c0', 's'))} AS s1,
+    {least(gone('c2'), *[f(c, r) for c in ('c0', 'c1', 'c3') for f, r in ((keep, 'u'), (change, 'user'))])} AS s2,
+    {least(gone('c3'), keep('c2', 'a'), change('c2', 'assistant'))} AS s3
+  FROM (
+    SELECT d.conv_id, r.i, r.initial, r.role, r.text, r.fault, r.extra, {closed}
+    FROM dp d JOIN rows_ r ON r.conv_id = d.conv_id AND r.i = d.i + 1
+  )
+),
+done AS (
+  SELECT conv_id, {least('c0', 'c3')} AS best
+  FROM (SELECT d.conv_id, {closed} FROM dp d JOIN counted c ON c.conv_id = d.conv_id AND c.n = d.i)
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(CAST(best.k[:9] AS BIGINT), 0) AS BIGINT) AS cost, coalesce(best.k[10:], '') AS audit,
+  sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id = o.conv_id LEFT JOIN done ON done.conv_id = o.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substrings": op1_sql(), "op3_quality_rules": op3_sql(), "op9_cover_tree": op9_sql()}
+    return {
+        "op1_substrings": op1_sql(),
+        "op3_quality_rules": op3_sql(),
+        "op9_cover_tree": op9_sql(),
+        "op11_conversation_repair": op11_sql(),
+    }

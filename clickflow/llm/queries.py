@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.llm import (
+    conversation_repair,
     cover_tree,
     dac,
     hilbert,
@@ -85,6 +86,11 @@ def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _read(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversations, conversation_repair.damage(conversations))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substrings": op1_substrings,
@@ -97,4 +103,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_weighted_minhash": op8_weighted_minhash,
         "op9_cover_tree": op9_cover_tree,
         "op10_nbsvm": op10_nbsvm,
+        "op11_conversation_repair": op11_conversation_repair,
     }
