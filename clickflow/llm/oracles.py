@@ -215,10 +215,27 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted c ON c.conv_id = o.conv_id LEFT JOIN done ON done.conv_id = o.conv_id"""
 
 
+def op12_sql() -> str:
+    digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    five = "CAST('0x' || substr(sha1(h), 1 + 5 * (j // 4), 5) AS BIGINT)"
+    return f"""WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+told AS (
+  SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda j: substr('{digits}', 1 + ({five} >> CAST(15 - 5 * (j % 4) AS INTEGER)) % 32, 1)), '')
+      AS payload_digest,
+    row_number() OVER w AS k, first_value(page_id) OVER w AS first_page
+  FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id NULLS LAST, url NULLS LAST)
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 THEN first_page END AS refers_to
+FROM told"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substrings": op1_sql(),
         "op3_quality_rules": op3_sql(),
         "op9_cover_tree": op9_sql(),
         "op11_conversation_repair": op11_sql(),
+        "op12_warc": op12_sql(),
     }

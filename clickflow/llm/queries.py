@@ -20,6 +20,7 @@ from clickflow.llm import (
     quality_rules,
     secrets,
     substrings,
+    warc,
     weighted_minhash,
 )
 from clickflow.llm.oracles import oracle_sql  # noqa: F401
@@ -91,6 +92,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(conversations, conversation_repair.damage(conversations))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    warc.write_archives(_read(spark, sf_dir, "pages"), folder)
+    found = warc.read_archives(spark, folder, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substrings": op1_substrings,
@@ -104,4 +112,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_cover_tree": op9_cover_tree,
         "op10_nbsvm": op10_nbsvm,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_warc": op12_warc,
     }
