@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clickflow.llm import conversation_repair as repair
-from clickflow.llm import cover_tree, quality_rules, substrings
+from clickflow.llm import cover_tree, lexical_search, quality_rules, substrings
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -231,6 +231,32 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' E
 FROM told"""
 
 
+def op13_sql() -> str:
+    def terms(table: str, name: str) -> str:
+        folded = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return rf"""SELECT {name}, unnest(regexp_extract_all({folded}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM {table}"""
+
+    return f"""WITH t AS ({terms('documents', 'doc_id')}),
+sizes AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+items AS (SELECT DISTINCT item_id, term FROM ({terms('benchmark', 'item_id')})),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, whole WHERE term IN (SELECT term FROM items) GROUP BY term
+),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (doc_id), whole GROUP BY item_id, doc_id
+),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS "rank", doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE "rank" <= {lexical_search.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substrings": op1_sql(),
@@ -238,4 +264,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_cover_tree": op9_sql(),
         "op11_conversation_repair": op11_sql(),
         "op12_warc": op12_sql(),
+        "op13_lexical_search": op13_sql(),
     }

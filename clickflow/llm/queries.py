@@ -14,6 +14,7 @@ from clickflow.llm import (
     cover_tree,
     dac,
     hilbert,
+    lexical_search,
     mixing,
     nbsvm,
     packing,
@@ -99,6 +100,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substrings": op1_substrings,
@@ -113,4 +118,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_nbsvm": op10_nbsvm,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_warc": op12_warc,
+        "op13_lexical_search": op13_lexical_search,
     }
