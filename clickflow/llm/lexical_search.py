@@ -4,19 +4,22 @@
 slice b is a bitmap over the block's documents whose bit b is set. A document enters each term
 once for every power of two up to its frequency, so the bitmaps that a term and a power select
 never miss a document with that many occurrences; they may hold others. Documents of a block
-have signatures of one width, a power of two for their number of entries.
+have signatures of one width, a power of two for their number of entries. Next to the
+signatures the block stores its documents' ids and texts, so that whatever the signatures do not
+rule out is rescored where it lies.
 
 ``search`` weighs the bitmaps: for each power, the sum of an item's term weights over the
 documents that may reach it, times what that power can add to the score at the document's
-length and greatest frequency. The total is never less than the score. The best
-totals of each item are rescored exactly; the ``top``-th of these scores is a floor, and every
-document whose total reaches the floor is rescored exactly, from its text. What is left out is
-proven to rank lower, so results are exact, ties included.
+length and greatest frequency. The total is never less than the score. Documents are rescored
+exactly, from their texts, in the order of their totals, until the next total is below the
+item's floor: the ``top``-th best exact score found so far. What is left out is proven to
+rank lower, so results are exact, ties included. A first pass over one in ``FLOOR_BLOCKS`` of
+the blocks sets the floors with which the pass over all blocks begins; it changes how much is
+rescored, never the result. A task returns at most ``top`` rows for each item.
 
 The statistics (documents, terms, document frequencies) are counted over all documents. Items are
 searched in blocks of at most ``BLOCK_TERMS`` terms; only an item block's terms, weights and floors
-go to the tasks. Candidates are a table, and meet the texts in a join that Spark may broadcast,
-sort or split.
+go to the tasks. No document is shuffled.
 
 Defined results: a null text has no terms; each row is a document, so repeated rows rank next to
 each other; a null doc_id ranks after the others of its score; a null item has no rows;
@@ -26,7 +29,6 @@ an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -37,22 +39,23 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from clickflow.llm.shared import shared_folder, small_batches, written
 from clickflow.llm.words import mix
 
 TOP = 50
-#: Best totals of an item that are rescored to find its floor.
-PROBES = 2 * TOP
+#: One in so many blocks sets the floors.
+FLOOR_BLOCKS = 16
 #: Terms of an item block, counted once for each item.
 BLOCK_TERMS = 100_000
 #: Frequencies are told apart by powers of two below this one.
 LEVELS = 6
 HASHES = 3
 BITS_PER_ENTRY = 8
-MOST_DOCS = 4096
+MOST_DOCS = 2048
 #: Bits of a block of ordinary documents; one document's signature may be larger.
-BLOCK_BITS = 1 << 25
+BLOCK_BITS = 1 << 24
 #: Terms of an item whose bitmaps are held at once.
 SLICE_TERMS = 2048
 
@@ -95,79 +98,90 @@ class _Block:
     def __init__(self, width: int) -> None:
         self.width = width
         self.full = max(1, min(MOST_DOCS, BLOCK_BITS // width))
-        self.keys: list[bytes] = []
+        self.ids: list = []
+        self.texts: list[bytes] = []
         self.sizes: list[int] = []
         self.most: list[int] = []
         self.docs: list[np.ndarray] = []
         self.places: list[np.ndarray] = []
 
-    def add(self, key: bytes, size: int, most: int, hashes: np.ndarray, levels: np.ndarray) -> None:
+    def add(self, doc_id, text: bytes, tf: np.ndarray, hashes: np.ndarray, levels: np.ndarray) -> int:
         places = _places(hashes, levels, self.width).ravel()
-        self.docs.append(np.full(len(places), len(self.keys), np.int64))
-        self.places.append(places)
-        self.keys.append(key)
-        self.sizes.append(size)
-        self.most.append(most)
+        self.docs.append(np.full(len(places), len(self.ids), np.int32))
+        self.places.append(places.astype(np.int32))
+        self.ids.append(doc_id)
+        self.texts.append(text)
+        self.sizes.append(int(tf.sum()))
+        self.most.append(int(tf.max()))
+        return 8 * len(places) + len(text)
 
     def row(self) -> dict:
-        n = len(self.keys)
+        n = len(self.ids)
         bits = np.zeros((self.width, -(-n // 8) * 8), bool)
         bits[np.concatenate(self.places), np.concatenate(self.docs)] = True
         return {
-            "width": self.width, "n_docs": n, "n_terms": sum(self.sizes), "keys": b"".join(self.keys),
+            "width": self.width, "n_docs": n, "n_terms": sum(self.sizes), "slices": np.packbits(bits, axis=1).tobytes(),
             "sizes": np.array(self.sizes, np.int64).tobytes(), "most": np.array(self.most, np.int64).tobytes(),
-            "slices": np.packbits(bits, axis=1).tobytes(),
+            "doc_ids": self.ids, "texts": self.texts,
         }
 
 
-_INDEX = "width long, n_docs long, n_terms long, keys binary, sizes binary, most binary, slices binary"
+#: Bytes of gathered documents beyond which a task writes its fullest block.
+HELD_BYTES = 96 << 20
 
 
-def _index_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"long": pa.int64(), "binary": pa.binary()}
-    schema = pa.schema([(n, kinds[t]) for n, t in (c.split() for c in _INDEX.split(", "))])
-    open_blocks: dict[int, _Block] = {}
-    held = 0
-    for batch in batches:
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-            counts = Counter(terms_of(text))
-            if not counts:
-                continue
-            tf = np.fromiter(counts.values(), np.int64, len(counts))
-            levels = np.minimum(np.log2(tf).astype(np.int64), LEVELS - 1)
-            # One entry for each power of two up to the frequency.
-            entry = np.repeat(np.arange(len(tf)), levels + 1)
-            level = np.arange(len(entry)) - np.repeat(np.cumsum(levels + 1) - levels - 1, levels + 1)
-            width = 64
-            while width < BITS_PER_ENTRY * len(entry):
-                width *= 2
-            block = open_blocks.setdefault(width, _Block(width))
-            block.add(key, int(tf.sum()), int(tf.max()), _hashed(list(counts))[entry], level)
-            held += 16 * HASHES * len(entry)
-            if len(block.keys) == block.full:
-                yield pa.RecordBatch.from_pylist([open_blocks.pop(width).row()], schema)
-                held = sum(16 * sum(map(len, b.places)) for b in open_blocks.values())
-            while held > 1 << 27:  # the fullest goes, so that a task's memory stays bounded
-                width = max(open_blocks, key=lambda w: sum(map(len, open_blocks[w].places)))
-                yield pa.RecordBatch.from_pylist([open_blocks.pop(width).row()], schema)
-                held = sum(16 * sum(map(len, b.places)) for b in open_blocks.values())
-    for block in open_blocks.values():
-        yield pa.RecordBatch.from_pylist([block.row()], schema)
-
-
-def _keyed(documents: DataFrame) -> DataFrame:
-    """(key, doc_id, text): ``key`` names a document's id and text; equal rows share it."""
-    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), "text")
-    return documents.where("text IS NOT NULL").select(
-        F.unhex(F.md5(name.cast("binary"))).alias("key"), "doc_id", F.col("text").cast("binary").alias("text")
+def _index_schema(documents: DataFrame) -> tuple[pa.Schema, str]:
+    kind = documents.schema["doc_id"].dataType
+    arrow = pa.schema([
+        ("width", pa.int64()), ("n_docs", pa.int64()), ("n_terms", pa.int64()), ("slices", pa.binary()), ("sizes", pa.binary()),
+        ("most", pa.binary()), ("doc_ids", pa.list_(to_arrow_type(kind))), ("texts", pa.list_(pa.binary())),
+    ])
+    return arrow, (
+        "width long, n_docs long, n_terms long, slices binary, sizes binary, most binary, "
+        f"doc_ids array<{kind.simpleString()}>, texts array<binary>"
     )
 
 
+def _index_task(schema: pa.Schema):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, _Block] = {}
+        held: dict[int, int] = {}
+
+        def out(width: int) -> pa.RecordBatch:
+            del held[width]
+            return pa.RecordBatch.from_pylist([blocks.pop(width).row()], schema)
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                counts = Counter(terms_of(text))
+                if not counts:
+                    continue
+                tf = np.fromiter(counts.values(), np.int64, len(counts))
+                levels = np.minimum(np.log2(tf).astype(np.int64), LEVELS - 1)
+                # One entry for each power of two up to the frequency.
+                entry = np.repeat(np.arange(len(tf)), levels + 1)
+                level = np.arange(len(entry)) - np.repeat(np.cumsum(levels + 1) - levels - 1, levels + 1)
+                width = 64
+                while width < BITS_PER_ENTRY * len(entry):
+                    width *= 2
+                block = blocks.setdefault(width, _Block(width))
+                held[width] = held.get(width, 0) + block.add(doc_id, text, tf, _hashed(list(counts))[entry], level)
+                if len(block.ids) == block.full:
+                    yield out(width)
+                while sum(held.values()) > HELD_BYTES:
+                    yield out(max(held, key=held.get))
+        while blocks:
+            yield out(next(iter(blocks)))
+
+    return task
+
+
 def build_index(documents: DataFrame, path: str) -> DataFrame:
     """Write the signature blocks of (doc_id, text) to the new folder ``path`` and read them back."""
-    rows = small_batches(_keyed(documents).select("key", "text"))
-    rows.mapInArrow(_index_blocks, _INDEX).write.option("compression", "zstd").parquet(path)
-    return documents.sparkSession.read.schema(_INDEX).parquet(path)
+    arrow, columns = _index_schema(documents)
+    rows = documents.where("text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("text"))
+    small_batches(rows).mapInArrow(_index_task(arrow), columns).write.option("compression", "zstd").parquet(path)
+    return documents.sparkSession.read.schema(columns).parquet(path)
 
 
 # ------------------------------------------------------------------------------ search
@@ -212,40 +226,6 @@ def _upper_bounds(items: Items, block: dict, hashes: np.ndarray, cache: dict) ->
         yield item, total
 
 
-def _bounds_task(items: Items, floors: np.ndarray | None):
-    """Without floors: each item's PROBES greatest totals; with floors: all that reach them."""
-    schema = pa.schema([("item", pa.int32()), ("key", pa.binary()), ("most", pa.int64())])
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, cache = _hashed(items.terms), {}
-        best: list[list[tuple[int, bytes]]] = [[] for _ in items.uses]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block = batch.slice(i, 1).to_pylist()[0]
-                keys = np.frombuffer(block["keys"], np.dtype("V16"))
-                for item, total in _upper_bounds(items, block, hashes, cache):
-                    if floors is not None:
-                        found = np.flatnonzero(total >= floors[item])
-                        if len(found):
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(found), item, np.int32)), pa.array([keys[j].tobytes() for j in found], pa.binary()), pa.array(total[found])],
-                                schema=schema,
-                            )
-                        continue
-                    few = min(PROBES, len(total))
-                    for j in np.argpartition(total, len(total) - few)[len(total) - few :]:
-                        entry = (int(total[j]), keys[j].tobytes())
-                        if entry[0] > 0 and entry not in best[item]:
-                            heapq.heappush(best[item], entry)
-                            if len(best[item]) > PROBES:
-                                heapq.heappop(best[item])
-        for item, entries in enumerate(best):
-            if entries:
-                yield pa.RecordBatch.from_pylist([{"item": item, "key": k, "most": t} for t, k in entries], schema)
-
-    return task
-
-
 def _df_task(terms: list[bytes]):
     schema = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
@@ -253,49 +233,65 @@ def _df_task(terms: list[bytes]):
         place = {t: i for i, t in enumerate(terms)}
         counts = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for t in place.keys() & set(terms_of(text)):
-                    counts[place[t]] += 1
+            for i in range(batch.num_rows):
+                for text in batch.column("texts")[i].as_py():
+                    for t in place.keys() & set(terms_of(text)):
+                        counts[place[t]] += 1
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts[found])], schema=schema)
 
     return task
 
 
-def _rescore_task(items: Items, floors: np.ndarray | None, id_type: pa.DataType):
-    schema = pa.schema([("item", pa.int32()), ("key", pa.binary()), ("doc_id", id_type), ("score", pa.int64())])
+def _best_task(items: Items, floors: np.ndarray, top: int, id_type: pa.DataType):
+    """Each item's ``top`` best documents of the task's blocks, none below its floor."""
+    schema = pa.schema([("item", pa.int32()), ("doc_id", id_type), ("score", pa.int64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, cache = _hashed(items.terms), {}
         place = {t: i for i, t in enumerate(items.terms)}
-        lists = [list(zip(u.tolist(), w.tolist())) for u, w in zip(items.uses, items.weights)]
-        for batch in batches:
-            out: list[dict] = []
-            for row in batch.to_pylist():
-                counts = Counter(terms_of(row["text"]))
-                m = 50 + (50 * counts.total() * items.documents) // items.words
-                parts = {place[t]: part(counts[t], m) for t in counts.keys() & place.keys()}
-                for item in row["items"]:
-                    score = sum(w * parts[t] for t, w in lists[item] if t in parts)
-                    if score > 0 and (floors is None or score >= floors[item]):
-                        out.append({"item": item, "key": row["key"], "doc_id": row["doc_id"], "score": score})
-                if len(out) > 20_000:
-                    yield pa.RecordBatch.from_pylist(out, schema)
-                    out = []
-            yield pa.RecordBatch.from_pylist(out, schema)
+        weights = [dict(zip(u.tolist(), w.tolist())) for u, w in zip(items.uses, items.weights)]
+        low = floors.tolist()
+        best: list[list[tuple]] = [[] for _ in low]
 
-    return task
+        def lowest_out(item: int) -> None:
+            best[item].sort()
+            del best[item][top:]
+            if len(best[item]) == top:
+                low[item] = max(low[item], -best[item][-1][0])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = {n: batch.column(n)[i].as_py() for n in ("width", "n_docs", "slices", "sizes", "most", "doc_ids")}
+                texts, parts = batch.column("texts")[i].values, {}
 
+                def parts_of(j: int) -> dict[int, int]:
+                    if j not in parts:
+                        counts = Counter(terms_of(texts[j].as_py()))
+                        m = 50 + (50 * counts.total() * items.documents) // items.words
+                        parts[j] = {place[t]: part(counts[t], m) for t in counts.keys() & place.keys()}
+                    return parts[j]
 
-def _rescored(documents: DataFrame, candidates: DataFrame, items: Items, floors: np.ndarray | None) -> DataFrame:
-    """(item, key, doc_id, score) of the candidate (item, key) pairs, from the whole texts."""
-    from pyspark.sql.pandas.types import to_arrow_type
+                for item, total in _upper_bounds(items, block, hashes, cache):
+                    found = np.flatnonzero(total >= low[item])
+                    found = found[np.argsort(-total[found], kind="stable")]
+                    for j, most in zip(found.tolist(), total[found].tolist()):
+                        if most < low[item]:
+                            break
+                        had, w = parts_of(j), weights[item]
+                        score = sum(w[t] * had[t] for t in w.keys() & had.keys())
+                        if score >= low[item]:
+                            doc_id = block["doc_ids"][j]
+                            best[item].append((-score, doc_id is None, 0 if doc_id is None else doc_id))
+                            if len(best[item]) >= 2 * top:
+                                lowest_out(item)
+                    lowest_out(item)
+        for item, entries in enumerate(best):
+            rows = [{"item": item, "doc_id": None if null else d, "score": -s} for s, null, d in entries]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema)
 
-    wanted = written(candidates.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items")), "search-wanted")
-    rows = small_batches(_keyed(documents).join(wanted, "key"))
-    kind = documents.schema["doc_id"].dataType
-    return rows.mapInArrow(
-        _rescore_task(items, floors, to_arrow_type(kind)), f"item int, key binary, doc_id {kind.simpleString()}, score long"
-    )
+    return task
 
 
 def _item_blocks(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
@@ -316,29 +312,23 @@ def _item_blocks(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
         yield block
 
 
-def search(documents: DataFrame, index: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
-    """(item_id, rank, doc_id, score): each item's ``top`` documents of ``documents``, whose signature
-    blocks are ``index``, by score, then doc_id."""
-    spark = documents.sparkSession
-    id_type, doc_type = (t.schema[c].dataType.simpleString() for t, c in ((items, "item_id"), (documents, "doc_id")))
+def search(index: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
+    """(item_id, rank, doc_id, score): each item's ``top`` documents of ``index`` by score, then
+    doc_id."""
+    spark = index.sparkSession
+    id_type, doc_type = items.schema["item_id"].dataType, index.schema["doc_ids"].dataType.elementType
     totals = index.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("words")).first()
-    results: list[DataFrame] = []
-    for block in _item_blocks(items):
-        if totals["n"]:
-            results.append(_search_block(documents, index, block, top, totals["n"], totals["words"], id_type))
-    if not results:
-        return spark.createDataFrame([], f"item_id {id_type}, rank int, doc_id {doc_type}, score long")
-    found = results[0]
-    for more in results[1:]:
-        found = found.unionByName(more)
+    found = spark.createDataFrame([], f"item_id {id_type.simpleString()}, rank int, doc_id {doc_type.simpleString()}, score long")
+    for block in _item_blocks(items) if totals["n"] else ():
+        found = found.unionByName(_search_block(index, block, top, totals["n"], totals["words"], id_type))
     return found
 
 
-def _search_block(documents, index, block, top, n_docs, n_words, id_type) -> DataFrame:
-    spark = documents.sparkSession
+def _search_block(index, block, top, n_docs, n_words, id_type) -> DataFrame:
+    spark = index.sparkSession
     terms = sorted({t for _, ts in block for t in ts})
-    texts = small_batches(documents.where("text IS NOT NULL").select(F.col("text").cast("binary").alias("text")))
-    counted = texts.mapInArrow(_df_task(terms), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counted = index.select("texts").mapInArrow(_df_task(terms), "term int, n long")
+    counted = counted.groupBy("term").agg(F.sum("n").alias("n")).collect()
     weight = {terms[r["term"]]: term_weight(n_docs, r["n"]) for r in counted}
     terms = [t for t in terms if weight.get(t, 0) > 0]
     place = {t: i for i, t in enumerate(terms)}
@@ -347,25 +337,24 @@ def _search_block(documents, index, block, top, n_docs, n_words, id_type) -> Dat
         terms, [np.array(u, np.int64) for u in used], [np.array([weight[terms[i]] for i in u], np.int64) for u in used],
         n_docs, n_words,
     )
-    bounds = "item int, key binary, most long"
-    # The floor: the lowest of the best exact scores among the greatest totals.
-    probes = index.mapInArrow(_bounds_task(item_block, None), bounds).distinct()
-    first = Window.partitionBy("item").orderBy(F.desc("most"), "key")
-    probes = probes.withColumn("k", F.row_number().over(first)).where(F.col("k") <= PROBES)
-    scored = _rescored(documents, probes, item_block, None).select("item", "key", "score").distinct()
-    low = scored.withColumn("k", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), "key")))
+    doc_type = index.schema["doc_ids"].dataType.elementType
+
+    def best(blocks: DataFrame, floors: np.ndarray, order: list) -> DataFrame:
+        task = _best_task(item_block, floors, top, to_arrow_type(doc_type))
+        rows = blocks.drop("n_terms").mapInArrow(task, f"item int, doc_id {doc_type.simpleString()}, score long")
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*order))).where(F.col("rank") <= top)
+
     floors = np.ones(len(block), np.int64)
-    for row in low.where(F.col("k") == top).collect():
+    some = index.where(F.pmod(F.xxhash64("slices"), F.lit(FLOOR_BLOCKS)) == 0)
+    for row in best(some, floors, [F.desc("score")]).where(F.col("rank") == top).collect():
         floors[row["item"]] = row["score"]
-    reach = index.mapInArrow(_bounds_task(item_block, floors), bounds)
-    scored = _rescored(documents, reach, item_block, floors)
-    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    names = spark.createDataFrame([(i, item_id) for i, (item_id, _) in enumerate(block)], f"item int, item_id {id_type}")
-    best = best.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
-    return written(best, "search-found")
+    found = best(index, floors, [F.desc("score"), F.asc_nulls_last("doc_id")])
+    names = spark.createDataFrame(
+        [(i, item_id) for i, (item_id, _) in enumerate(block)], f"item int, item_id {id_type.simpleString()}"
+    )
+    return written(found.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score"), "search-found")
 
 
 def rank_documents(documents: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """``search`` with an index built for it."""
-    return search(documents, build_index(documents, shared_folder(documents.sparkSession, "search-index")), items, top)
+    return search(build_index(documents, shared_folder(documents.sparkSession, "search-index")), items, top)

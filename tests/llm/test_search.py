@@ -79,7 +79,7 @@ def test_hot_copies_and_ties(spark):
     assert _got(search.rank_documents(docs, df)) == _expected(rows, items, search.TOP)
 
 
-def test_totals_are_never_less_than_scores():
+def test_totals_are_never_less_than_scores(spark):
     rng = random.Random(10)
     words = [b"w%d" % i for i in range(300)]
     docs = [[rng.choice(words[: rng.choice([5, 300])]) for _ in range(rng.choice([1, 20, 900]))] for _ in range(70)]
@@ -89,14 +89,14 @@ def test_totals_are_never_less_than_scores():
     )
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"key": [b"%016d" % i for i in range(len(docs))], "text": [b" ".join(d) for d in docs]})
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(docs))), "text": [b" ".join(d) for d in docs]})
+    schema, _ = search._index_schema(spark.createDataFrame([], "doc_id long"))
     seen = 0
-    for out in search._index_blocks(iter([batch])):
+    for out in search._index_task(schema)(iter([batch])):
         for block in out.to_pylist():
-            keys = np.frombuffer(block["keys"], "V16")
             for item, total in search._upper_bounds(items, block, search._hashed(terms), {}):
-                for key, most in zip(keys, total):
-                    doc = docs[int(key.tobytes())]
+                for doc_id, most in zip(block["doc_ids"], total):
+                    doc = docs[doc_id]
                     c, m = Counter(doc), 50 + (50 * len(doc) * items.documents) // items.words
                     score = sum(int(w) * search.part(c[terms[u]], m) for u, w in zip(items.uses[item], items.weights[item]) if c[terms[u]])
                     assert most >= score
@@ -104,13 +104,28 @@ def test_totals_are_never_less_than_scores():
     assert seen == 2 * len(docs)
 
 
-def test_index_serves_any_search(spark):
-    docs = both(spark).where("doc_id >= 1000")
+def test_index_serves_any_search_and_rules_most_out(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.randrange(1, 400)))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     index = search.build_index(docs, shared_folder(spark, "index"))
-    text = " ".join(_terms(docs.where("length(text) > 2000").first().text)[:30])
-    assert index.agg({"n_docs": "sum"}).first()[0] <= docs.count()
-    found = search.search(docs, index, spark.createDataFrame([(1, text, "x", 1)], ITEMS), top=3).collect()
-    assert [r.rank for r in sorted(found, key=lambda r: r.rank)] == [1, 2, 3]
+    for seed in (1, 2):
+        items = [(i, rows[random.Random(seed * 9 + i).randrange(1500)][1][:200]) for i in range(4)]
+        df = spark.createDataFrame([(*r, "x", 1) for r in items], ITEMS)
+        assert _got(search.search(index, df, top=5)) == _expected(rows, items, 5)
+    reached = looked = 0
+    for block in index.collect():
+        text = _terms(rows[7][1])
+        n, words = len(rows), sum(len(_terms(t)) for _, t in rows)
+        terms = sorted(set(text))
+        df = Counter(t for _, d in rows for t in set(_terms(d)))
+        weights = np.array([search.term_weight(n, df[t]) for t in terms])
+        one = search.Items([t.encode() for t in terms], [np.arange(len(terms))], [weights], n, words)
+        # Half of the best score keeps less than half of the documents.
+        floor = max(score for _, _, _, score in _expected(rows, [(0, rows[7][1])], 5)) // 2
+        for _, total in search._upper_bounds(one, block.asDict(), search._hashed(one.terms), {}):
+            looked, reached = looked + len(total), reached + int((total >= floor).sum())
+    assert reached < looked / 2
 
 
 def test_empty_tables(spark):
