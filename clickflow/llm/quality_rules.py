@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from clickflow.llm.shared import small_batches
-from clickflow.llm.words import Spans, SPAN_POWERS, Texts, U64, covered, mix, repeated, text_blocks
+from clickflow.llm.words import Spans, SPAN_POWERS, Texts, U64, byte_hashes, covered, mix, repeated, text_blocks
 
 #: Largest tolerated share of word characters inside n-grams that repeat an earlier one of
 #: the same text, by n. Only later occurrences count, so that one boilerplate line printed
@@ -69,7 +69,7 @@ def measure(texts: Texts) -> dict[str, np.ndarray]:
     line_chars = char_sums[ends] - char_sums[starts]
     full = line_chars > 0
     starts, ends, of_line, line_chars = starts[full], ends[full], of_line[full], line_chars[full]
-    keys = texts.byte_spans(starts, ends) ^ salt[of_line]
+    keys = byte_hashes(texts.data, starts, ends) ^ salt[of_line]
     firsts = np.zeros(len(keys), bool)
     firsts[np.unique(keys, return_index=True)[1]] = True
     n_dup_lines = np.bincount(of_line[~firsts], minlength=n_texts)

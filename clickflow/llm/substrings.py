@@ -84,7 +84,7 @@ def anchors(rows: DataFrame) -> DataFrame:
                 if not len(windows):
                     continue
                 words = texts.word_hashes()
-                seeds, extents = (Spans(words, p) for p in SPAN_POWERS)
+                seeds, extents = Spans(words, SPAN_POWERS[0]), Spans(texts.word_hashes(1), SPAN_POWERS[1])
                 at = np.arange(len(words) - SEED + 1)
                 grams = seeds(at, at + SEED)
                 anchor = _smallest_in_window(grams, WINNOW)[windows]
@@ -127,7 +127,7 @@ def _windows(requests: DataFrame) -> DataFrame:
                 which = np.repeat(np.arange(len(start)), count)
                 offset = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
                 at = start[which] + offset
-                extents = Spans(texts.word_hashes(), SPAN_POWERS[1])
+                extents = Spans(texts.word_hashes(1), SPAN_POWERS[1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchor[which]),

@@ -26,11 +26,10 @@ from functools import lru_cache
 
 import numpy as np
 
-from clickflow.llm.words import SYMBOLS, U64, Spans, Texts, Powers
+from clickflow.llm.words import U64, Texts, byte_hashes
 
 #: Different chunks remembered by a worker before it starts afresh.
 REMEMBERED = 2_000_000
-CHUNK_POWERS = Powers(0xC6A4A7935BD1E995)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
@@ -127,12 +126,13 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.empty(0, U64)
+        self.checks = np.empty(0, U64)
         self.lengths = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
-    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
-        """Adds chunks by their keys, which are in order."""
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, chunks: list[str]) -> None:
+        """Adds chunks by their keys, which are in order, with a second hash of each."""
         found = self._encode(chunks)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
@@ -140,6 +140,7 @@ class Encoder:
         self.ids = np.concatenate([self.ids, flat])
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
+        self.checks = np.insert(self.checks, at, checks)
         self.lengths = np.insert(self.lengths, at, lengths)
         self.starts = np.insert(self.starts, at, starts)
 
@@ -150,24 +151,34 @@ class Encoder:
         bounds = texts.bounds.tolist()
         return [m.span() for a, b in zip(bounds[:-1], bounds[1:]) for m in self.added.finditer(texts.data, a, b)]
 
+    def _plain(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """What ``encode`` returns, by whole texts."""
+        raw, bounds = texts.data.tobytes(), texts.bounds.tolist()
+        found = self._whole([raw[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:])])
+        flat = np.fromiter((i for ids in found for i in ids), np.uint32)
+        return flat, np.cumsum([0, *map(len, found)])
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and where each text's ids begin (and the end)."""
         starts = chunk_starts(texts, self._added_spans(texts))
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts.bounds), np.int64)
         ends = np.append(starts[1:], len(texts.data))
-        spans = Spans(SYMBOLS[texts.data], CHUNK_POWERS)
-        keys, first, which = np.unique(spans(starts, ends), return_index=True, return_inverse=True)
+        keys, first, which = np.unique(byte_hashes(texts.data, starts, ends, 2), return_index=True, return_inverse=True)
+        checks = byte_hashes(texts.data, starts, ends, 3)
         if len(self.keys) > REMEMBERED:
             self._forget()
         place = np.searchsorted(self.keys, keys)
         new = np.ones(len(keys), bool)
         inside = place < len(self.keys)
         new[inside] = self.keys[place[inside]] != keys[inside]
+        known = ~new
+        if (checks != checks[first][which]).any() or (self.checks[place[known]] != checks[first][known]).any():
+            return self._plain(texts)  # two chunks share a key
         if new.any():
             raw = texts.data.tobytes()
             at = first[new]
-            self._learn(keys[new], [raw[a:b].decode() for a, b in zip(starts[at], ends[at], strict=True)])
+            self._learn(keys[new], checks[at], [raw[a:b].decode() for a, b in zip(starts[at], ends[at], strict=True)])
             place = np.searchsorted(self.keys, keys)
         lengths = self.lengths[place][which]
         to = np.cumsum(lengths)

@@ -3,8 +3,11 @@
 A word is a run of bytes other than space and 0x09-0x0D (``[^\\x20\\x09-\\x0D]+``). The
 separators are ASCII, so splitting the UTF-8 bytes equals splitting the characters.
 
-Hashes are polynomials modulo 2**64 over mixed 64-bit symbols, so any span is the
-difference of two prefix sums. Spans that decide a result use two independent hashes.
+Bytes are hashed eight at a time, each step mixing what was read before: no structure of the
+bytes carries over to the hash. Spans of words are polynomials modulo 2**64 over such hashes,
+so that any span is the difference of two prefix sums; they are for spans of up to a few dozen
+words, as polynomials modulo a power of two fail on some sequences of 1,024 symbols and more.
+Spans that decide a result use two hashes, over words hashed with different seeds.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text handled at once; a single longer text is a block of its own.
 BLOCK_BYTES = 1 << 19
@@ -53,9 +57,33 @@ class Powers:
             )
 
 
-BYTE_POWERS = Powers(0xD6E8FEB86659FD93)
 SPAN_POWERS = (Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB))
-SYMBOLS = seeded(1, 256)
+#: Spans of more bytes are few, and hashed one by one.
+LONG_SPAN = 256
+#: The first bytes of a little-endian lane.
+_LANE_MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)], U64)
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the spans ``data[starts:ends]``, one for each ``seed``."""
+    sizes = ends - starts
+    out = mix(sizes.astype(U64) + seeded(seed + 2, 1))
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    odd, add = seeded(seed + 3, 2) | U64(1)
+    live = np.flatnonzero((sizes > 0) & (sizes <= LONG_SPAN))
+    at, left = starts[live], sizes[live]
+    while len(live):
+        lane = lanes[at]
+        short = left < 8
+        lane[short] &= _LANE_MASKS[left[short]]
+        out[live] = mix((out[live] ^ lane) * odd + add)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes > LONG_SPAN):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), seed=seed)
+    return out
 
 
 class Spans:
@@ -90,20 +118,13 @@ class Texts:
         self.ends = np.flatnonzero(self.in_word & (after | cut[1:])) + 1
         #: Text i has the words first[i] to first[i + 1].
         self.first = np.searchsorted(self.starts, bounds)
-        self._bytes: Spans | None = None
-
-    @property
-    def byte_spans(self) -> Spans:
-        if self._bytes is None:
-            self._bytes = Spans(SYMBOLS[self.data], BYTE_POWERS)
-        return self._bytes
 
     @property
     def n_words(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def word_hashes(self) -> np.ndarray:
-        return self.byte_spans(self.starts, self.ends)
+    def word_hashes(self, seed: int = 0) -> np.ndarray:
+        return byte_hashes(self.data, self.starts, self.ends, seed)
 
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), self.n_words)
