@@ -18,7 +18,6 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.operators.pagejump import HOT_SESSION_ROWS
 from clickflow.plans.jobs import run_category_session_top, run_category_top, run_page_jump_rate
 from clickflow.plans.params import job_params
 from clickflow.session import build_session
@@ -85,7 +84,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--target-pages", help="comma list of page ids")
     p.add_argument("--include-zero", action="store_true")
     p.add_argument(
-        "--hot-session-rows", type=int, default=HOT_SESSION_ROWS, help="window sessions above this many actions by the hour"
+        "--parts", type=int, help="cut sessions larger than one of so many shares of the log (default: the shuffle partitions)"
     )
     p = sub.add_parser("ads-daily-clicks", help="J5: running clicks per day, province, city, ad")
     _stream_args(p)
@@ -147,7 +146,7 @@ def _run_batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if not pages:
         raise SystemExit("page-jump-rate needs --target-pages (or targetPageFlow in --conditions)")
     return run_page_jump_rate(
-        spark, pages, include_zero=args.include_zero, hot_session_rows=args.hot_session_rows, **common
+        spark, pages, include_zero=args.include_zero, parts=args.parts, **common
     )
 
 

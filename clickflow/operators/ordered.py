@@ -1,7 +1,7 @@
 """Keys too large for one task, cut into runs of an order.
 
 An ordered window over a key (``lead``, ``row_number``) needs the key's rows in one task.
-``hot_cuts`` finds, from a uniform sample of bounded size, the keys that hold more rows than
+``hot_cuts`` finds, from a uniform sample of a size set by the partitions, the keys that hold more rows than
 a partition's share, and places in their order the points at which to cut them. A row's run
 is a plain function of the row and these points, so any number of scans agree on it, and
 results computed from runs and their edges do not depend on where the sample put the cuts.
@@ -24,16 +24,19 @@ def hot_cuts(df: DataFrame, key: str, order: Sequence[str], parts: int | None =
     """(_key, _cuts) for every key of ``df`` that spans at least a whole partition's share of
     the rows, or None if there is none. ``_cuts`` are ``order`` structs, ascending; there are
     fewer than ``parts`` cuts in all (default: the session's shuffle partitions), so the
-    result may be broadcast. Reads the table once, pruned to key and order."""
+    result may be broadcast. Costs a row count (of footers, where nothing is filtered) and a
+    scan of key and order, which returns about ``parts * SAMPLE_PER_PART`` rows; a table of no
+    more rows than that has no hot key."""
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = parts * SAMPLE_PER_PART
+    total = df.count()
+    if parts < 2 or total <= size:
+        return None
     fields = [df.schema[c] for c in order]
-    sample = df.select(F.col(key).alias("_key"), F.struct(*order).alias("_at"))
-    # The rows of the smallest random numbers: a uniform sample without a count before it.
-    rows = sample.orderBy(F.rand(seed=7)).limit(size).orderBy("_key", "_at").collect()
-    step = len(rows) / parts
-    picked = [rows[round(i * step)] for i in range(1, parts)] if step >= 1 else rows[1:]
+    sample = df.select(F.col(key).alias("_key"), F.struct(*order).alias("_at")).sample(size / total, seed=7)
+    rows = sample.orderBy("_key", "_at").collect()
+    picked = [rows[i * len(rows) // parts] for i in range(1, parts)] if len(rows) >= parts else []
     cuts: dict[object, dict[tuple, None]] = {}
     count: dict[object, int] = {}
     for row in picked:

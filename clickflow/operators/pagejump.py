@@ -1,28 +1,24 @@
 """Page-to-page jump rate along a target page flow.
 
 Adjacent pairs come from ``lead`` in time order inside a session: one shuffle, one sort and
-one window over the click log. A session may be huge (a bot, a crawler); sessions above
-``hot_session_rows`` actions, found by a count with partial aggregation, are therefore
-windowed per time chunk, an hour or, for the largest, a minute, each chunk a task's share
-of its own. The successor of a chunk's last action is the first page of the session's next
-chunk, found from one summary row per chunk of those sessions. Results are the same for
-every setting. No group is collected.
+one window over the click log. A session may hold a third of the log (a bot, a crawler). A
+session larger than a partition's share is cut into runs of its time order
+(``ordered.hot_cuts``); runs are windowed like sessions of their own, and the successor of a
+run's last action is the first page of the session's next run, found from one summary row per
+run. There are fewer runs than twice the partitions, and results are the same wherever the
+cuts lie. No group is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR_CHUNK = 13  # len("yyyy-MM-dd HH")
-MINUTE_CHUNK = 16  # len("yyyy-MM-dd HH:mm")
-# Actions above which a session is windowed by the hour, and by the minute.
-HOT_SESSION_ROWS = 200_000
-MINUTES_ABOVE = 50
-# A hot session's chunk; actions without a time come first.
-CHUNK = "CASE WHEN _chars IS NOT NULL THEN coalesce(substring(action_time, 1, _chars), '') END"
+from clickflow.operators.ordered import RUN, hot_cuts, with_runs
 
 
 def parse_flow(target_pages: str | Sequence[int]) -> list[int]:
@@ -50,56 +46,56 @@ def _order_cols(df: DataFrame, tiebreak: Sequence[str] | None) -> list[str]:
     return ["action_time", *[c for c in tiebreak if c != "action_time"]]
 
 
-def _adjacent(actions: DataFrame, tiebreak: Sequence[str] | None, hot_session_rows: int) -> DataFrame:
+def _adjacent(actions: DataFrame, tiebreak: Sequence[str] | None, parts: int | None) -> DataFrame:
     """(session_id, action_time, page_id, next_page_id) of consecutive actions whose pages
     are both known."""
     order = _order_cols(actions, tiebreak)
-    columns = ["session_id", *order, *([] if "page_id" in order else ["page_id"])]
-    sizes = actions.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
-    # Few by construction, but bounded by no parameter: AQE decides how to join them.
-    hot = sizes.filter(F.col("_n") > hot_session_rows).select(
-        F.col("session_id").alias("_hot_id"),
-        F.when(F.col("_n") > MINUTES_ABOVE * hot_session_rows, MINUTE_CHUNK).otherwise(HOUR_CHUNK).alias("_chars"),
+    base = actions.select("session_id", *order, *([] if "page_id" in order else ["page_id"]))
+    cuts = hot_cuts(base, "session_id", order, parts)
+    if cuts is None:
+        w = Window.partitionBy("session_id").orderBy(*order)
+        pairs = base.withColumn("next_page_id", F.lead("page_id").over(w))
+    else:
+        pairs = _across_runs(with_runs(base, cuts, "session_id", order), order)
+    return pairs.filter("page_id IS NOT NULL AND next_page_id IS NOT NULL").select(
+        "session_id", "action_time", "page_id", "next_page_id"
     )
-    # Null chunk: an ordinary session, whole. Prefixes of the time keep its order.
-    base = actions.select(*columns).join(hot, F.col("session_id") == F.col("_hot_id"), "left")
-    base = base.withColumn("_chunk", F.expr(CHUNK)).drop("_hot_id", "_chars")
-    w = Window.partitionBy("session_id", "_chunk").orderBy(*order)
-    # The end of a chunk is told by position: a page, and so its successor, may be null.
+
+
+def _across_runs(base: DataFrame, order: list[str]) -> DataFrame:
+    """``base`` with ``next_page_id``, where some sessions are cut into runs."""
+    w = Window.partitionBy("session_id", RUN).orderBy(*order)
+    # The end of a run is told by position: a page, and so its successor, may be null.
     paired = base.withColumn("_follows", F.lead(F.lit(True)).over(w)).withColumn(
         "next_page_id", F.lead("page_id").over(w)
     )
-    inside = paired.filter("_follows OR _chunk IS NOT NULL")
     heads = (
-        actions.select(*columns)
-        .join(hot, F.col("session_id") == F.col("_hot_id"))
-        .withColumn("_chunk", F.expr(CHUNK))
-        .groupBy("session_id", "_chunk")
+        base.filter(f"{RUN} IS NOT NULL")
+        .groupBy("session_id", RUN)
         .agg(F.min_by(F.struct("page_id"), F.struct(*order)).alias("_head"))
     )
-    chunks = Window.partitionBy("session_id").orderBy("_chunk")
+    runs = Window.partitionBy("session_id").orderBy(RUN)
     succ = heads.select(
-        F.col("session_id").alias("_sid"), F.col("_chunk").alias("_of"), F.lead("_head").over(chunks).alias("_succ")
+        F.col("session_id").alias("_sid"), F.col(RUN).alias("_of"), F.lead("_head").over(runs).alias("_succ")
     ).filter("_succ IS NOT NULL")
-    edge = (F.col("session_id") == F.col("_sid")) & (F.col("_chunk") == F.col("_of"))
-    return (
-        inside.join(succ, edge, "left")
-        .withColumn("next_page_id", F.when(F.col("_follows"), F.col("next_page_id")).otherwise(F.col("_succ.page_id")))
-        .filter("page_id IS NOT NULL AND next_page_id IS NOT NULL")
-        .select("session_id", "action_time", "page_id", "next_page_id")
+    edge = F.col("session_id").eqNullSafe(F.col("_sid")) & (F.col(RUN) == F.col("_of"))
+    # At most one row for each cut and hot session: fewer than twice the partitions.
+    return paired.join(F.broadcast(succ), edge, "left").withColumn(
+        "next_page_id", F.when(F.col("_follows"), F.col("next_page_id")).otherwise(F.col("_succ.page_id"))
     )
 
 
 def session_page_pairs(
     actions: DataFrame,
     tiebreak: Sequence[str] | None = None,
-    hot_session_rows: int = HOT_SESSION_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """(session_id, action_time, page_id, next_page_id, page_jump) for every pair of
     consecutive actions of a session. Self pairs (``3-3``) are kept; a one-row session
     gives none. ``action_time`` is the time of the first page of the pair. An action
-    without a page stands between its neighbours but gives no pair with either."""
-    pairs = _adjacent(actions, tiebreak, hot_session_rows)
+    without a page stands between its neighbours but gives no pair with either. ``parts``:
+    partitions whose share of the log a task takes (default: the shuffle partitions)."""
+    pairs = _adjacent(actions, tiebreak, parts)
     return pairs.withColumn("page_jump", F.concat_ws("-", "page_id", "next_page_id"))
 
 
@@ -107,14 +103,14 @@ def page_jump_counts(
     actions: DataFrame,
     target_pages: str | Sequence[int],
     tiebreak: Sequence[str] | None = None,
-    hot_session_rows: int = HOT_SESSION_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """(page_id, next_page_id, page_jump, jump_count) for the flow's pairs that occur."""
     wanted = F.lit(False)
     for a, b in flow_pairs(target_pages):
         wanted = wanted | ((F.col("page_id") == a) & (F.col("next_page_id") == b))
     return (
-        _adjacent(actions, tiebreak, hot_session_rows)
+        _adjacent(actions, tiebreak, parts)
         .filter(wanted)
         .groupBy("page_id", "next_page_id")
         .agg(F.count(F.lit(1)).alias("jump_count"))
@@ -137,12 +133,12 @@ def page_jump_rate(
     target_pages: str | Sequence[int],
     tiebreak: Sequence[str] | None = None,
     include_zero: bool = False,
-    hot_session_rows: int = HOT_SESSION_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """(page_jump, jump_count, view_count, jump_rate) with
     ``jump_rate = jumps(a-b) / views(a) * 100`` (views of ``a`` count all its actions,
     not sessions). Pairs with no jump are left out unless ``include_zero``."""
-    jumps = page_jump_counts(actions, target_pages, tiebreak, hot_session_rows)
+    jumps = page_jump_counts(actions, target_pages, tiebreak, parts)
     # At most len(target_pages) rows: broadcast is bounded by the parameter.
     views = F.broadcast(page_view_counts(actions, target_pages))
     if include_zero:

@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.operators.pagejump import HOT_SESSION_ROWS
 from clickflow.operators import category_session_top_n, category_top_n, filter_time_range, page_jump_rate
 from clickflow.sinks.tables import DAY_COL, with_task_id
 from clickflow.sources.tables import read_actions
@@ -77,9 +76,9 @@ def run_page_jump_rate(
     task_id: str | None = None,
     sink: Sink | None = None,
     database: str | None = None,
-    hot_session_rows: int = HOT_SESSION_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """J3 -> (task_id, page_jump, jump_count, view_count, jump_rate)."""
     actions = _actions(spark, table, path, start, end, database)
-    rates = page_jump_rate(actions, target_pages, include_zero=include_zero, hot_session_rows=hot_session_rows)
+    rates = page_jump_rate(actions, target_pages, include_zero=include_zero, parts=parts)
     return _finish(rates, task_id, sink)

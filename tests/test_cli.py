@@ -29,7 +29,7 @@ def test_page_jump_rate_with_condition_json(spark, tmpdir_):
     actions.write.parquet(f"{tmpdir_}/uva")
     cond = '{"startDate": "2024-01-03", "endDate": "2024-01-20", "targetPageFlow": "1,2,3,4"}'
     main(["page-jump-rate", "--path", f"{tmpdir_}/uva", "--conditions", cond, "--output", f"{tmpdir_}/out",
-          "--hot-session-rows", "2"], spark)
+          "--parts", "3"], spark)
     from clickflow.operators import filter_time_range
     expect = page_jump_rate(filter_time_range(actions, "2024-01-03", "2024-01-20"), "1,2,3,4")
     cols = ["page_jump", "jump_count", "view_count", "jump_rate"]
