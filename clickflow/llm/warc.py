@@ -2,7 +2,7 @@
 
 ``write_archives`` writes one record for each page. Records are sorted by their URL in
 host-first order and cut into shards of about equal bytes; the cuts are quantiles of the
-records of the smallest hashes, so they depend on the records alone and reruns write the same
+records of small hashes, so they depend on the records alone and reruns write the same
 bytes. Tasks regenerate headers and digests, compress each record as a gzip member of its own,
 and shuffle the compressed members; one task writes a shard and rolls to a new file where the
 next member would take a file past ``file_bytes``.
@@ -114,18 +114,20 @@ def _records(pages: DataFrame, shared: DataFrame | None) -> DataFrame:
 
 def _bounds(meta: DataFrame, shard_bytes: int) -> list[tuple]:
     """The ORDER keys at which shards begin, but for the first."""
-    total = meta.agg(F.sum(F.col("n_bytes") + 512).alias("b")).first()["b"] or 0
-    shards = max(1, min(MOST_SHARDS, math.ceil(total / shard_bytes)))
+    whole = meta.agg(F.sum(F.col("n_bytes") + 512).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    shards = max(1, min(MOST_SHARDS, math.ceil((whole["bytes"] or 0) / shard_bytes)))
     if shards == 1:
         return []
     slim = meta.groupBy("page_id", "url", "digest", "n_bytes").agg(F.count(F.lit(1)).alias("_n"))
     slim = slim.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
     slim = _ordered(slim).select(*ORDER, F.when(F.col("copy") == 0, F.col("n_bytes")).otherwise(0).alias("weight"))
-    sample = slim.orderBy(F.xxhash64("site", "page_id", "digest", "copy"), *ORDER).limit(shards * SAMPLE_PER_SHARD)
+    # About SAMPLE_PER_SHARD records for each shard, told by their hashes.
+    share = math.ceil(min(1.0, shards * SAMPLE_PER_SHARD / whole["rows"]) * 2**62)
+    sample = slim.where(F.xxhash64("site", "page_id", "digest", "copy").bitwiseAND(F.lit(2**62 - 1)) < share)
     rows = sorted((_key(r.asDict()), r["weight"] + 512) for r in sample.collect())
-    whole, run, bounds = sum(w for _, w in rows), 0, []
+    sampled, run, bounds = sum(w for _, w in rows), 0, []
     for key, weight in rows:
-        if run >= whole * (len(bounds) + 1) / shards:
+        if run >= sampled * (len(bounds) + 1) / shards:
             bounds.append(key)
         run += weight
     return bounds
