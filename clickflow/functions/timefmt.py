@@ -6,7 +6,7 @@ Spark counterpart of the JVM default zone the original jobs formatted in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,12 +26,17 @@ def day_label(ms: Column | str) -> Column:
 
 def _unique(ms: Column | str, fmt: str) -> Column:
     """The label, with the UTC offset added for times in an hour that the session zone's
-    clock shows for the second time (the end of daylight saving)."""
+    clock shows for the second time (the end of daylight saving). No label is parsed: a wall
+    clock time that occurs twice goes back to its first instant, and a zone of one offset has
+    none."""
     ts = F.timestamp_millis(_c(ms))
-    shown = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    # A repeated wall clock time is read back as its first occurrence.
-    again = F.to_timestamp(shown, "yyyy-MM-dd HH:mm:ss") < F.date_trunc("second", ts)
-    return F.when(again, F.date_format(ts, f"{fmt}XXX")).otherwise(F.date_format(ts, fmt))
+    label = F.date_format(ts, fmt)
+    spark = SparkSession.getActiveSession()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if spark._jvm.java.time.ZoneId.of(zone, spark._jvm.java.time.ZoneId.SHORT_IDS).getRules().isFixedOffset():
+        return label
+    first = F.to_utc_timestamp(F.from_utc_timestamp(ts, zone), zone)
+    return F.when(first < ts, F.date_format(ts, f"{fmt}XXX")).otherwise(label)
 
 
 def clock_label(ms: Column | str, twelve_hour: bool = False) -> Column:
