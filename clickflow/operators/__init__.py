@@ -2,6 +2,7 @@
 
 from clickflow.operators.ads import (
     ad_click_trend,
+    ad_click_trend_by_arrival,
     ad_click_trend_json,
     ad_click_trend_windows,
     ads_daily_clicks,
@@ -46,6 +47,7 @@ __all__ = [
     "province_top_ads",
     "province_top_ads_json",
     "ad_click_trend",
+    "ad_click_trend_by_arrival",
     "ad_click_trend_json",
     "ad_click_trend_windows",
     "user_ad_daily_clicks",

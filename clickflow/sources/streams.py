@@ -59,6 +59,8 @@ def read_ad_lines_stream(
             F.col("value").cast("string").alias("line"),
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
+            # The broker's stamp is part of the record: a replay sees the same arrival.
+            F.unix_millis("timestamp").alias("arrival_ms"),
         )
     if path is None:
         raise ValueError(f"path is required for {fmt}")

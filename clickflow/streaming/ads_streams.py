@@ -38,6 +38,7 @@ from clickflow.operators.ads import (
 from clickflow.operators.blacklist import DEFAULT_THRESHOLD, over_threshold, user_ad_daily_clicks
 from clickflow.session import stream_checkpoint
 from clickflow.sinks.keyed import KeyedTable
+from clickflow.streaming.processors import BanProcessor, TrendProcessor
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 # Keyed state is compacted into a snapshot every this many micro-batches, so a batch
@@ -208,6 +209,7 @@ class TrendTables:
     rows: KeyedTable  # (day, adid, window_start_ms, bucket_ms, ..., clicks)
     windows: KeyedTable  # (day, adid, window_start_ms, ..., trend_json)
     latest: KeyedTable  # (adid, ..., trend_json): newest window per ad
+    closed: KeyedTable | None = None  # (day, adid, window_start_ms): windows that get no more clicks
 
 
 def start_click_trend(
@@ -221,6 +223,10 @@ def start_click_trend(
     checkpoint: str | None = None,
     compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_click_trend",
+    state: str = "deltas",
+    by: str = "ts_ms",
+    ttl_ms: int | None = None,
+    idle_ms: int | None = None,
 ) -> tuple[StreamingQuery, TrendTables]:
     """Clicks per ad per bucket in sliding event-time windows, live: after each batch, every
     window with a click so far stands in ``rows`` and ``windows`` as the batch job would give
@@ -229,8 +235,19 @@ def start_click_trend(
 
     Clicks are summed per (ad, slot), where a slot is the greatest length that divides
     window, slide and bucket, so a slot lies in each window and bucket as a whole. A batch
-    rebuilds the windows its slots touch, from the sums of the days around them.
+    rebuilds the windows its slots touch: with ``state="deltas"`` (default) from a table of the
+    sums of the days around them, with ``state="store"`` from a ring of slots per ad in the state
+    store, which costs the slots of the touched windows whatever else the days hold. ``ttl_ms``
+    drops stored slots that got no click for so long; by default none are.
+
+    ``by="arrival_ms"`` (with ``state="store"``) cuts windows by the arrival stamp of that column,
+    as the original job did, and buckets by event time. Stamps of an ad only rise: a window is
+    closed (in ``closed``) when a later slot arrives, or by a timer ``idle_ms`` (default: one
+    window and a slide) after the ad's last click. A query with timers never runs out of
+    batches: stop it, also under ``availableNow``.
     """
+    if state not in ("deltas", "store") or (state == "deltas" and (by != "ts_ms" or ttl_ms is not None)):
+        raise ValueError("state must be 'deltas' or 'store'; by and ttl_ms belong to state='store'")
     _check_trend_sizes(window_ms, slide_ms, bucket_ms, twelve_hour)
     spark = clicks.sparkSession
     labels = "window_start STRING, window_end STRING"
@@ -241,7 +258,8 @@ def start_click_trend(
         ),
         rows=KeyedTable(
             f"{root}/rows",
-            f"day STRING, adid STRING, window_start_ms BIGINT, {labels}, bucket_ms BIGINT, bucket_time STRING, clicks BIGINT",
+            f"day STRING, adid STRING, window_start_ms BIGINT, {labels}, bucket_ms BIGINT, bucket_time STRING, clicks BIGINT"
+            + (", closed BOOLEAN" if state == "store" else ""),
             keys=["day", "adid", "window_start_ms", "bucket_ms"], kind="latest", compact_every=compact_every,
             partition_by="day",
         ),
@@ -254,10 +272,33 @@ def start_click_trend(
             keys=["adid"], kind="latest", compact_every=compact_every,
         ),
     )
-    for t in (tables.slots, tables.rows, tables.windows, tables.latest):
-        t.ensure(spark)
-    body = click_trend_body(tables, window_ms, slide_ms, bucket_ms, twelve_hour)
-    return _start(clicks, name, body, "append", trigger, checkpoint), tables
+    if state == "store":
+        tables.closed = KeyedTable(
+            f"{root}/closed", "day STRING, adid STRING, window_start_ms BIGINT",
+            keys=["day", "adid", "window_start_ms"], kind="set", compact_every=compact_every, partition_by="day",
+        )
+    for t in (tables.slots, tables.rows, tables.windows, tables.latest, tables.closed):
+        if t is not None:
+            t.ensure(spark)
+    if state == "deltas":
+        body = click_trend_body(tables, window_ms, slide_ms, bucket_ms, twelve_hour)
+        return _start(clicks, name, body, "append", trigger, checkpoint), tables
+    arrival = by != "ts_ms"
+    slot = math.gcd(window_ms, slide_ms) if arrival else math.gcd(window_ms, slide_ms, bucket_ms)
+    if arrival and idle_ms is None:
+        idle_ms = window_ms + slide_ms
+    slots = clicks.select(
+        "adid", bucket_start_ms(by, slot).alias("slot_ms"), bucket_start_ms("ts_ms", bucket_ms).alias("bucket_ms"),
+        F.lit(1).cast("bigint").alias("clicks"),
+    )
+    rings = slots.groupBy("adid").transformWithState(
+        statefulProcessor=TrendProcessor(window_ms, slide_ms, slot, ttl_ms, idle_ms if arrival else None),
+        outputStructType="adid STRING, window_start_ms BIGINT, bucket_ms BIGINT, clicks BIGINT, closed BOOLEAN",
+        outputMode="Update",
+        timeMode="ProcessingTime" if arrival or ttl_ms is not None else "None",
+    )
+    body = ring_body(tables, window_ms, twelve_hour)
+    return _start(rings, name, body, "update", trigger, checkpoint), tables
 
 
 def _days_around(day: str, reach: int) -> list[str]:
@@ -291,32 +332,54 @@ def click_trend_body(tables: TrendTables, window_ms: int, slide_ms: int, bucket_
             .join(touched, ["adid", "window_start_ms"], "left_semi")
             .groupBy("adid", "window_start_ms", bucket_start_ms("slot_ms", bucket_ms).alias("bucket_ms"))
             .agg(F.sum("clicks").alias("clicks"))
-            .select(
-                day_label("window_start_ms").alias("day"), "adid", "window_start_ms",
-                stamp_label("window_start_ms").alias("window_start"),
-                stamp_label(F.col("window_start_ms") + F.lit(window_ms)).alias("window_end"),
-                "bucket_ms", clock_label("bucket_ms", twelve_hour).alias("bucket_time"), "clicks",
-            )
         )
+        tables.rows.write(_labelled(rows, window_ms, twelve_hour), n)
+        _write_windows(tables, spark, n)
+
+    return body
+
+
+def ring_body(tables: TrendTables, window_ms: int, twelve_hour: bool = False):
+    """The per-batch body of the trend stream with rings in the state store. The processor's
+    rows are read once, into the slots of the batch's folder."""
+
+    def body(df: DataFrame, n: int) -> None:
+        spark = df.sparkSession
+        rows = _labelled(df, window_ms, twelve_hour, keep=["closed"])
         tables.rows.write(rows, n)
-        windows = ad_click_trend_json(tables.rows.batch(spark, n), keep=["day", "window_start_ms"])
-        tables.windows.write(windows, n)
-        value = F.struct("window_start_ms", "window_start", "window_end", "trend_json")
-        newest = tables.windows.batch(spark, n).groupBy("adid").agg(F.max(value).alias("new"))
-        before = tables.latest.current(spark, upto=n - 1).select("adid", value.alias("old"))
-        # A late click's window does not take the place of a newer one.
-        newer = F.when(
-            F.col("old.window_start_ms") > F.col("new.window_start_ms"), F.col("old")
-        ).otherwise(F.col("new"))
-        tables.latest.write(newest.join(before, "adid", "left").select("adid", newer.alias("v")).select("adid", "v.*"), n)
+        if tables.closed is not None:
+            done = tables.rows.batch(spark, n).filter("closed").select("day", "adid", "window_start_ms").distinct()
+            tables.closed.write(done, n)
+        _write_windows(tables, spark, n)
 
     return body
 
 
+def _labelled(rows: DataFrame, window_ms: int, twelve_hour: bool, keep: list[str] | None = None) -> DataFrame:
+    return rows.select(
+        day_label("window_start_ms").alias("day"), "adid", "window_start_ms",
+        stamp_label("window_start_ms").alias("window_start"),
+        stamp_label(F.col("window_start_ms") + F.lit(window_ms)).alias("window_end"),
+        "bucket_ms", clock_label("bucket_ms", twelve_hour).alias("bucket_time"), "clicks", *(keep or []),
+    )
+
+
+def _write_windows(tables: TrendTables, spark, n: int) -> None:
+    """The windows of a batch's rows as JSON, and the newest window of their ads."""
+    windows = ad_click_trend_json(tables.rows.batch(spark, n), keep=["day", "window_start_ms"])
+    tables.windows.write(windows, n)
+    value = F.struct("window_start_ms", "window_start", "window_end", "trend_json")
+    newest = tables.windows.batch(spark, n).groupBy("adid").agg(F.max(value).alias("new"))
+    before = tables.latest.current(spark, upto=n - 1).select("adid", value.alias("old"))
+    # A late click's window does not take the place of a newer one.
+    newer = F.when(F.col("old.window_start_ms") > F.col("new.window_start_ms"), F.col("old")).otherwise(F.col("new"))
+    tables.latest.write(newest.join(before, "adid", "left").select("adid", newer.alias("v")).select("adid", "v.*"), n)
+
+
 # --------------------------------------------------------------------------- J4
 @dataclass
 class BlacklistTables:
-    counts: KeyedTable  # (day, userid, adid, clicks) summed over batches
+    counts: KeyedTable | None  # (day, userid, adid, clicks) summed over batches; None if in the state store
     bans: KeyedTable  # (userid) set
     accepted: KeyedTable | None  # accepted click rows, one partition per batch
 
@@ -330,6 +393,9 @@ def start_blacklist(
     checkpoint: str | None = None,
     compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_blacklist",
+    state: str = "deltas",
+    ttl_ms: int | None = None,
+    tiebreak: str | None = None,
 ) -> tuple[StreamingQuery, BlacklistTables]:
     """Dynamic blacklist. Per batch N: drop clicks of users banned in batches < N (the
     blacklist is read once per batch, so later clicks in the same batch still count);
@@ -338,7 +404,19 @@ def start_blacklist(
 
     The ban set may grow with the user base, so it is joined without a broadcast hint:
     AQE picks a broadcast when its measured size is small.
+
+    ``state="store"`` keeps each user's counts and ban in the state store instead
+    (``BanProcessor``): a batch costs the users it holds, not its days, and bans act from the
+    click that earns them. If clicks arrive in the order of time and ``tiebreak`` (default:
+    ``event_id`` where there is one), the accepted clicks are those of ``accepted_clicks``.
+    ``ttl_ms`` forgets counts that got no click for so long.
     """
+    if state not in ("deltas", "store") or (state == "deltas" and ttl_ms is not None):
+        raise ValueError("state must be 'deltas' or 'store'; ttl_ms belongs to state='store'")
+    if state == "store":
+        return _start_blacklist_store(
+            clicks, root, threshold, trigger, checkpoint, compact_every, name, ttl_ms, tiebreak
+        )
     spark = clicks.sparkSession
     counts = KeyedTable(
         f"{root}/counts", "day STRING, userid STRING, adid STRING, clicks BIGINT",
@@ -359,6 +437,30 @@ def start_blacklist(
     return _start(clicks, name, body, "append", trigger, checkpoint), tables
 
 
+def _start_blacklist_store(clicks, root, threshold, trigger, checkpoint, compact_every, name, ttl_ms, tiebreak):
+    spark = clicks.sparkSession
+    fields = [f for f in clicks.schema.fields if f.name != "ts"]
+    columns = [f.name for f in fields]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", bans BOOLEAN"
+    accepted = KeyedTable(f"{root}/accepted", schema, keys=[*columns, "bans"], kind="append")
+    bans = KeyedTable(f"{root}/bans", "userid STRING", keys=["userid"], kind="set", compact_every=compact_every)
+    for t in (accepted, bans):
+        t.ensure(spark)
+    if tiebreak is None and "event_id" in columns:
+        tiebreak = "event_id"
+    processor = BanProcessor(threshold, columns, ["ts_ms", *([tiebreak] if tiebreak else [])], ttl_ms)
+    passed = clicks.select(*columns).groupBy("userid").transformWithState(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
+    )
+
+    def body(df: DataFrame, n: int) -> None:
+        accepted.write(df, n)
+        bans.write(accepted.batch(spark, n).filter("bans").select("userid"), n)
+
+    return _start(passed, name, body, "append", trigger, checkpoint), BlacklistTables(None, bans, accepted)
+
+
 def blacklist_body(tables: BlacklistTables, threshold: int, accepted_cols: list[str]):
     """The per-batch body of the blacklist stream (exposed for replay tests)."""
     counts, bans, accepted = tables.counts, tables.bans, tables.accepted
