@@ -23,15 +23,16 @@ def parse_ad_lines(
     fields, an empty field among the five, or a time that is no integer or lies outside
     the years 1 to 9999. ``mode="fail"``
     raises on the first malformed line (the original job died there); ``mode="drop"``
-    skips them. Every expression is a JVM built-in, so parsing stays in codegen.
+    skips them; ``mode="quarantine"`` keeps them, with the line in a further column
+    ``malformed`` (null in clicks), for streams that store them. Every expression is a JVM built-in, so parsing stays in codegen.
     Output: ``keep`` columns, ts_ms BIGINT, ts TIMESTAMP, province, city, userid, adid.
 
     ``metrics`` (an ``Observation``, or a name for streams, where the values appear in
     the query progress) collects ``lines`` and ``malformed`` counts as the data flows
     through the first action: no extra pass over the input.
     """
-    if mode not in ("fail", "drop"):
-        raise ValueError(f"mode must be 'fail' or 'drop', not {mode!r}")
+    if mode not in ("fail", "drop", "quarantine"):
+        raise ValueError(f"mode must be 'fail', 'drop' or 'quarantine', not {mode!r}")
     extra = [f"`{c}`" for c in (keep or [])]
     line = f"`{line_col}`"
     # get() gives null past the end of the array (ANSI-safe), try_cast null on junk.
@@ -48,6 +49,15 @@ def parse_ad_lines(
         fields = fields.observe(
             metrics, F.count(F.lit(1)).alias("lines"), F.count_if(F.expr(bad)).alias("malformed")
         )
+    if mode == "quarantine":
+        # A null line is malformed too, and kept as an empty one.
+        told = fields.selectExpr(*extra, f"{bad} AS _malformed", "ts_ms", *FIELDS[1:], "_line").selectExpr(
+            *extra, *[f"CASE WHEN NOT _malformed THEN {c} END AS {c}" for c in FIELDS],
+            "CASE WHEN _malformed THEN coalesce(_line, '') END AS malformed",
+        )
+        return told.selectExpr(
+            *extra, "ts_ms", "timestamp_millis(ts_ms) AS ts", *FIELDS[1:], "malformed"
+        )
     if mode == "drop":
         fields = fields.filter(f"NOT {bad}")
         ts = "ts_ms"

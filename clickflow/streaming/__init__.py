@@ -12,6 +12,7 @@ from clickflow.streaming.ads_streams import (
     start_click_trend,
     start_daily_clicks,
     start_province_top_ads,
+    stored_daily_clicks,
 )
 
 __all__ = [
@@ -21,4 +22,5 @@ __all__ = [
     "start_click_trend",
     "start_daily_clicks",
     "start_province_top_ads",
+    "stored_daily_clicks",
 ]

@@ -18,7 +18,7 @@ import math
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +38,7 @@ from clickflow.operators.ads import (
 from clickflow.operators.blacklist import DEFAULT_THRESHOLD, over_threshold, user_ad_daily_clicks
 from clickflow.session import stream_checkpoint
 from clickflow.sinks.keyed import KeyedTable
+from clickflow.sources.adslog import FIELDS
 from clickflow.streaming.processors import BanProcessor, TrendProcessor
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -46,7 +47,11 @@ DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 DEFAULT_COMPACT_EVERY = 50
 
 
-def _start(df: DataFrame, name: str, body, mode: str, trigger: dict | None, checkpoint: str | None) -> StreamingQuery:
+def _start(
+    df: DataFrame, name: str, body, mode: str, trigger: dict | None, checkpoint: str | None, quarantine: str | None = None
+) -> StreamingQuery:
+    if quarantine is not None:
+        body = quarantining(body, quarantine_table(df, quarantine))
     writer = (
         df.writeStream.queryName(name)
         .outputMode(mode)
@@ -56,6 +61,33 @@ def _start(df: DataFrame, name: str, body, mode: str, trigger: dict | None, chec
     return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
+def quarantine_table(lines: DataFrame, path: str) -> KeyedTable:
+    """The table of malformed lines of a stream parsed with ``mode="quarantine"``: the line and
+    the columns kept from its source."""
+    if "malformed" not in lines.columns:
+        raise ValueError("a quarantine needs lines parsed with mode='quarantine'")
+    kept = [f for f in lines.schema.fields if f.name not in ("day", "ts", *FIELDS)]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    table = KeyedTable(path, schema, keys=[f.name for f in kept], kind="append")
+    table.ensure(lines.sparkSession)
+    return table
+
+
+def quarantining(body, table: KeyedTable):
+    """``body`` for the clicks of a micro-batch, after its malformed lines went to ``table`` under
+    the batch's id. The batch is read and parsed once for both."""
+
+    def both(df: DataFrame, n: int) -> None:
+        df = df.persist()
+        try:
+            table.write(df.filter("malformed IS NOT NULL"), n)
+            body(df.filter("malformed IS NULL").drop("malformed"), n)
+        finally:
+            df.unpersist()
+
+    return both
+
+
 def _local_days(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, F.Column, F.Column]:
     """(clicks with their local time, day window, day label) for local days of the session zone.
 
@@ -73,7 +105,28 @@ def _local_days(clicks: DataFrame, watermark: str | None) -> tuple[DataFrame, F.
     return shifted, window, label
 
 
+def _no_quarantine_with(state: str, quarantine: str | None) -> None:
+    if state == "store" and quarantine is not None:
+        raise ValueError("a quarantine belongs to state='deltas': the state store sees clicks before the batch body")
+
+
 # --------------------------------------------------------------------------- J5
+def stored_daily_clicks(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(day, province, city, adid, clicks): the running totals of ``start_daily_clicks(...,
+    state="store")`` as the last committed batch left them in the state store of its
+    ``checkpoint``, read as a table, also while the query is down."""
+    state = spark.read.format("statestore").load(checkpoint)
+    names = state.schema["key"].dataType.fieldNames()
+    window, rest = names[0], names[1:]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    start = F.to_utc_timestamp(F.col(f"key.`{window}`.start"), zone)
+    return state.select(
+        F.date_format(start, "yyyy-MM-dd").alias("day"),
+        *[F.col(f"key.`{c}`").alias(n) for c, n in zip(rest, ("province", "city", "adid"))],
+        F.col(f"value.`{state.schema['value'].dataType.fieldNames()[0]}`").alias("clicks"),
+    )
+
+
 def start_daily_clicks(
     clicks: DataFrame,
     table_path: str,
@@ -84,6 +137,7 @@ def start_daily_clicks(
     name: str = "ads_daily_clicks",
     output_mode: str = "update",
     state: str = "deltas",
+    quarantine: str | None = None,
 ) -> tuple[StreamingQuery, KeyedTable]:
     """Running clicks per (day, province, city, adid).
 
@@ -104,6 +158,7 @@ def start_daily_clicks(
         raise ValueError("state must be 'store' or 'deltas'")
     if state == "deltas" and (watermark is not None or output_mode != "update"):
         raise ValueError("watermark and output_mode belong to state='store'")
+    _no_quarantine_with(state, quarantine)
     spark = clicks.sparkSession
     if state == "deltas":
         deltas = KeyedTable(
@@ -116,7 +171,7 @@ def start_daily_clicks(
         )
         deltas.ensure(spark)
         body = lambda df, n: deltas.write(ads_daily_clicks(df), n)
-        return _start(clicks, name, body, "append", trigger, checkpoint), deltas
+        return _start(clicks, name, body, "append", trigger, checkpoint, quarantine), deltas
     table = KeyedTable(
         table_path,
         "day STRING, province STRING, city STRING, adid STRING, clicks BIGINT",
@@ -147,6 +202,7 @@ def start_province_top_ads(
     checkpoint: str | None = None,
     compact_every: int = DEFAULT_COMPACT_EVERY,
     name: str = "ads_province_top",
+    quarantine: str | None = None,
 ) -> tuple[StreamingQuery, KeyedTable]:
     """Top ads per (day, province) as JSON, keyed by (day, province).
 
@@ -170,7 +226,7 @@ def start_province_top_ads(
         def body_batch(df: DataFrame, n: int) -> None:
             top_table.write(province_top_ads_json(province_top_ads(df, top_n)), n)
 
-        return _start(clicks, name, body_batch, "append", trigger, checkpoint), top_table
+        return _start(clicks, name, body_batch, "append", trigger, checkpoint, quarantine), top_table
 
     counts_table = KeyedTable(
         counts_path,
@@ -182,7 +238,7 @@ def start_province_top_ads(
     )
     counts_table.ensure(spark)
     body = province_top_body(counts_table, top_table, top_n)
-    return _start(clicks, name, body, "append", trigger, checkpoint), top_table
+    return _start(clicks, name, body, "append", trigger, checkpoint, quarantine), top_table
 
 
 def province_top_body(counts_table: KeyedTable, top_table: KeyedTable, top_n: int):
@@ -227,6 +283,7 @@ def start_click_trend(
     by: str = "ts_ms",
     ttl_ms: int | None = None,
     idle_ms: int | None = None,
+    quarantine: str | None = None,
 ) -> tuple[StreamingQuery, TrendTables]:
     """Clicks per ad per bucket in sliding event-time windows, live: after each batch, every
     window with a click so far stands in ``rows`` and ``windows`` as the batch job would give
@@ -248,6 +305,7 @@ def start_click_trend(
     """
     if state not in ("deltas", "store") or (state == "deltas" and (by != "ts_ms" or ttl_ms is not None)):
         raise ValueError("state must be 'deltas' or 'store'; by and ttl_ms belong to state='store'")
+    _no_quarantine_with(state, quarantine)
     _check_trend_sizes(window_ms, slide_ms, bucket_ms, twelve_hour)
     spark = clicks.sparkSession
     labels = "window_start STRING, window_end STRING"
@@ -282,7 +340,7 @@ def start_click_trend(
             t.ensure(spark)
     if state == "deltas":
         body = click_trend_body(tables, window_ms, slide_ms, bucket_ms, twelve_hour)
-        return _start(clicks, name, body, "append", trigger, checkpoint), tables
+        return _start(clicks, name, body, "append", trigger, checkpoint, quarantine), tables
     arrival = by != "ts_ms"
     slot = math.gcd(window_ms, slide_ms) if arrival else math.gcd(window_ms, slide_ms, bucket_ms)
     if arrival and idle_ms is None:
@@ -396,6 +454,7 @@ def start_blacklist(
     state: str = "deltas",
     ttl_ms: int | None = None,
     tiebreak: str | None = None,
+    quarantine: str | None = None,
 ) -> tuple[StreamingQuery, BlacklistTables]:
     """Dynamic blacklist. Per batch N: drop clicks of users banned in batches < N (the
     blacklist is read once per batch, so later clicks in the same batch still count);
@@ -413,6 +472,7 @@ def start_blacklist(
     """
     if state not in ("deltas", "store") or (state == "deltas" and ttl_ms is not None):
         raise ValueError("state must be 'deltas' or 'store'; ttl_ms belongs to state='store'")
+    _no_quarantine_with(state, quarantine)
     if state == "store":
         return _start_blacklist_store(
             clicks, root, threshold, trigger, checkpoint, compact_every, name, ttl_ms, tiebreak
@@ -423,10 +483,10 @@ def start_blacklist(
         keys=["day", "userid", "adid"], kind="sum", compact_every=compact_every, partition_by="day",
     )
     bans = KeyedTable(f"{root}/bans", "userid STRING", keys=["userid"], kind="set", compact_every=compact_every)
-    accepted_cols = [c for c in clicks.columns if c != "ts"]
+    accepted_cols = [c for c in clicks.columns if c not in ("ts", "malformed")]
     accepted = None
     if keep_accepted:
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in clicks.schema.fields if f.name != "ts")
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in clicks.schema.fields if f.name in accepted_cols)
         accepted = KeyedTable(f"{root}/accepted", schema, keys=accepted_cols, kind="append")
     tables = BlacklistTables(counts, bans, accepted)
     for t in (counts, bans, accepted):
@@ -434,7 +494,7 @@ def start_blacklist(
             t.ensure(spark)
 
     body = blacklist_body(tables, threshold, accepted_cols)
-    return _start(clicks, name, body, "append", trigger, checkpoint), tables
+    return _start(clicks, name, body, "append", trigger, checkpoint, quarantine), tables
 
 
 def _start_blacklist_store(clicks, root, threshold, trigger, checkpoint, compact_every, name, ttl_ms, tiebreak):
