@@ -9,9 +9,11 @@ them. A literal is scored by the sensitivity of the name it reaches and by its o
 spans of kind ``literal`` where the literal stands. Base spans always stay.
 
 Each text is scanned alone, whole; no shuffle runs. Defined results: a null or empty text
-has no spans; repeated rows each get their own row; an empty table gives an empty result.
-Time is linear in the text: the lexer looks only around assignment signs, at a bounded
-number of characters on either side of the name (``NAME_CHARS``); literals have no bound.
+has no spans; repeated rows each get their own row; an empty table gives an empty result;
+extra columns are ignored (redaction keeps them, whatever their names). Names and literals may
+have any length. Names are read back from their sign no further than the sign before, values
+that share a run share its end, and each value is looked into once for each rise of a target's
+score, so time grows with the text (but for scoring literals that lie inside one another).
 """
 
 from __future__ import annotations
@@ -55,11 +57,9 @@ PLACEHOLDER = re.compile(
     r"(?:your|my|the|some|test|dummy|sample|fake)[-_ ].*)$",
     re.IGNORECASE,
 )
-NAME_CHARS = 128
 MIN_SCORE = 1.1
 
 SIGN = re.compile(r"(?::=|=>|[=:])(?![=:>~])")
-NAME_BEFORE = re.compile(r"""(?:(["'])([A-Za-z_$][\w.$ -]*)\1|([A-Za-z_$][\w.$\[\]-]*))[ \t]*$""")
 QUOTED = re.compile(r'"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`((?:[^`\\]|\\.)*)`')
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]+""")
 JOIN = re.compile(r"[ \t]*\+[ \t]*")
@@ -78,7 +78,6 @@ class Span(NamedTuple):
 class Literal(NamedTuple):
     start: int
     end: int
-    text: str
 
 
 def base_spans(text: str) -> list[Span]:
@@ -95,7 +94,8 @@ def base_spans(text: str) -> list[Span]:
 
 def name_score(name: str) -> float:
     """How sensitive a target name is, from its parts."""
-    parts = [p.lower() for p in CAMEL.split(name.rpartition(".")[2]) if p]
+    parts = [p.lower().rstrip("0123456789") for p in CAMEL.split(name.rpartition(".")[2])]
+    parts = [p for p in parts if p]
     if not parts or parts[-1] in HARMLESS:
         return 0.0
     return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in parts))
@@ -118,65 +118,118 @@ def literal_score(text: str) -> float:
     return min(1.0, 0.15 * classes + 0.15 * entropy)
 
 
-def _value(text: str, at: int, known: dict[str, list]) -> list:
-    """What the value at ``at`` stands for: literals, and the values of names it refers to."""
-    found: list = []
-    while True:
-        at = BLANKS.match(text, at).end()
-        if m := QUOTED.match(text, at):
-            body = next(g for g in m.groups() if g is not None)
-            refs = [r for g in REFERENCE.findall(body) for r in g if r]
-            if refs and all(r in known for r in refs):
-                found += [known[r] for r in refs]
-            elif body:
-                found.append(Literal(at + 1, m.end() - 1, body))
-        elif m := REFERENCE.match(text, at):
-            if (name := next(g for g in m.groups() if g)) in known:
-                found.append(known[name])
-        elif m := BARE.match(text, at):
-            word = m[0].rstrip(".")
-            if word in known:
-                found.append(known[word])
-            elif not IDENTIFIER.match(word) or any(c.isdigit() for c in word):
-                # An unbound plain name refers to something unseen; configuration values
-                # without quotes are told from names by a digit or a sign.
-                found.append(Literal(at, at + len(word), word))
-        else:
-            return found
-        joined = JOIN.match(text, m.end())
-        if not joined:
-            return found
-        at = joined.end()
-
-
-def _literals(value: list) -> Iterator[Literal]:
-    """The literals that a value stands for, each place once."""
-    seen, todo = {id(value)}, [value]
-    while todo:
-        for item in todo.pop():
-            if isinstance(item, Literal):
-                yield item
-            elif id(item) not in seen:
-                seen.add(id(item))
-                todo.append(item)
+def _name_before(text: str, end: int, floor: int) -> str | None:
+    """The name that ends before ``end``, blanks aside, and starts at ``floor`` or later. No name
+    holds a sign, so with the last sign's end for a floor each character is visited once."""
+    while end > floor and text[end - 1] in " \t":
+        end -= 1
+    quote = text[end - 1] if end > floor and text[end - 1] in "\"'" else ""
+    signs = "_.$ -" if quote else "_.$[]-"
+    end -= len(quote)
+    start = end
+    while start > floor and (text[start - 1].isalnum() or text[start - 1] in signs):
+        start -= 1
+    if quote:
+        if start == floor or text[start - 1] != quote or not _begins_name(text[start]):
+            return None
+        return text[start:end]
+    while start < end and not _begins_name(text[start]):
+        start += 1
+    return text[start:end] or None
+
+
+def _begins_name(c: str) -> bool:
+    return c.isascii() and c.isalpha() or c in "_$"
+
+
+class _Lexer:
+    """Name-value pairs of one text. A value is a list of literals and of other names' values."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.known: dict[str, list] = {}
+        self.bare = (0, 0)
+
+    def pairs(self) -> Iterator[tuple[str, list]]:
+        floor = 0
+        for sign in SIGN.finditer(self.text):
+            name = _name_before(self.text, sign.start(), floor)
+            floor = sign.end()
+            if name is None:
+                continue
+            value = self._value(sign.end())
+            if value:
+                self.known[name] = value
+            yield name, value
+
+    def _bare(self, at: int) -> int:
+        """The end of the unquoted value at ``at``; values of one run end together."""
+        if not self.bare[0] <= at < self.bare[1]:
+            m = BARE.match(self.text, at)
+            if m is None:
+                return at
+            self.bare = m.span()
+        return self.bare[1]
+
+    def _value(self, at: int) -> list:
+        """What the value at ``at`` stands for: literals, and the values of names it refers to."""
+        text, known = self.text, self.known
+        found: list = []
+        while True:
+            at = BLANKS.match(text, at).end()
+            if m := QUOTED.match(text, at):
+                body = next(g for g in m.groups() if g is not None)
+                refs = [r for g in REFERENCE.findall(body) for r in g if r]
+                if refs and all(r in known for r in refs):
+                    found += [known[r] for r in refs]
+                elif body:
+                    found.append(Literal(at + 1, m.end() - 1))
+                after = m.end()
+            elif m := REFERENCE.match(text, at):
+                if (name := next(g for g in m.groups() if g)) in known:
+                    found.append(known[name])
+                after = m.end()
+            elif (after := self._bare(at)) > at:
+                end = after
+                while end > at and text[end - 1] == ".":
+                    end -= 1
+                plain = IDENTIFIER.match(text, at, end)
+                word = text[at:end] if plain else None
+                if word in known:
+                    found.append(known[word])
+                elif word is None or any(c.isdigit() for c in word):
+                    # An unbound plain name refers to something unseen; configuration values
+                    # without quotes are told from names by a digit or a sign.
+                    found.append(Literal(at, end))
+            else:
+                return found
+            joined = JOIN.match(text, after)
+            if not joined:
+                return found
+            at = joined.end()
 
 
 def literal_spans(text: str) -> list[Span]:
     """Spans of literals that reach a sensitive name, ordered, each once."""
-    known: dict[str, list] = {}
-    spans: set[Span] = set()
-    for sign in SIGN.finditer(text):
-        before = NAME_BEFORE.search(text[max(0, sign.start() - NAME_CHARS) : sign.start()])
-        if not before:
-            continue
-        name = before[2] or before[3]
-        value = _value(text, sign.end(), known)
-        if value:
-            known[name] = value
+    lexer, spans = _Lexer(text), set()
+    # The greatest target score with which a value was looked into: nothing new is found with
+    # less. Values are kept with it, so that an id stays its value's.
+    walked: dict[int, tuple[float, list]] = {}
+    for name, value in lexer.pairs():
         target = name_score(name)
-        if target:
-            for x in _literals(value):
-                if x.text not in known and target + literal_score(x.text) >= MIN_SCORE and literal_score(x.text):
+        todo = [value] if target else []
+        while todo:
+            value = todo.pop()
+            if walked.get(id(value), (0.0,))[0] >= target:
+                continue
+            walked[id(value)] = (target, value)
+            for x in value:
+                if not isinstance(x, Literal):
+                    todo.append(x)
+                    continue
+                word = text[x.start : x.end]
+                score = literal_score(word)
+                if score and target + score >= MIN_SCORE and word not in lexer.known:
                     spans.add(Span(x.start, 3, x.end))
     return sorted(spans)
 
@@ -186,7 +239,12 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     if ":" not in text and "=" not in text:
         return base, base
-    more = [s for s in literal_spans(text) if not any(b.start <= s.start and s.end <= b.end for b in base)]
+    more, at, reach = [], 0, 0
+    for s in literal_spans(text):
+        while at < len(base) and base[at].start <= s.start:
+            reach, at = max(reach, base[at].end), at + 1
+        if reach < s.end:
+            more.append(s)
     return base, sorted(base + more)
 
 
