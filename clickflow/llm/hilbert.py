@@ -129,11 +129,14 @@ def shard_rows(
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, bits: int = BITS) -> None:
     """Writes whole documents as Parquet, one folder per shard, in curve order inside files,
-    so that footers' ranges of every dimension are narrow."""
-    names = tuple(c for c in docs.columns if c not in ("size", "text_crc32", "cell", "shard", "slot"))
-    placed_rows = shard_rows(docs, shards, bits, names)
+    so that footers' ranges of every dimension are narrow. A large shard is written by several
+    tasks, each a run of its slots. Columns of ``docs`` with the names of the shards' own
+    (size, text_crc32, cell, shard, slot) are written as ``doc_`` and their name."""
+    own = ("size", "text_crc32", "cell", "shard", "slot")
+    docs = docs.withColumnsRenamed({c: f"doc_{c}" for c in docs.columns if c in own})
+    placed_rows = shard_rows(docs, shards, bits, tuple(docs.columns))
     (
-        placed_rows.repartition(shards, "shard")
+        placed_rows.repartitionByRange("shard", "slot")
         .sortWithinPartitions("shard", "slot")
         .write.partitionBy("shard")
         .parquet(path)

@@ -24,6 +24,7 @@ table, or one without words, gives no slots. Reruns agree for equal inputs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +42,8 @@ BLOCK_WORDS = 64
 SHARDS = 64
 SEED = 20240229
 SLOTS_AT_ONCE = 1 << 18
+#: Slots that one task makes, beyond the first 16 tasks.
+SLOTS_OF_A_TASK = 1 << 21
 
 
 def word_count(text: Column) -> Column:
@@ -128,14 +131,17 @@ def _slots(spark, plan: Plan, shards: int, seed: int) -> DataFrame:
     """(shard, source_no, slot, block, pass) of every slot of the mix."""
     counts = draw_counts(plan.slots, shards, seed)
     first = np.cumsum(counts, axis=0) - counts
-    # Long runs are cut, so that slots spread over tasks however few shards there are.
     runs = [
-        (shard, s, at, min(SLOTS_AT_ONCE, int(first[shard, s] + counts[shard, s]) - at))
+        (shard, s, int(first[shard, s]), int(first[shard, s] + counts[shard, s]))
         for shard in range(shards)
         for s in range(len(plan.slots))
-        for at in range(int(first[shard, s]), int(first[shard, s] + counts[shard, s]), SLOTS_AT_ONCE)
+        if counts[shard, s]
     ]
-    table = spark.createDataFrame(runs, "shard int, source_no int, at long, n long")
+    # Long runs are cut, so that slots spread over tasks however few shards there are.
+    table = spark.createDataFrame(runs, "shard int, source_no int, _from long, _end long")
+    table = table.withColumn("at", F.explode(F.sequence("_from", F.col("_end") - 1, F.lit(SLOTS_AT_ONCE).cast("long"))))
+    table = table.select("shard", "source_no", "at", F.least(F.lit(SLOTS_AT_ONCE).cast("long"), F.col("_end") - F.col("at")).alias("n"))
+    tasks = max(16, math.ceil(sum(plan.slots) / SLOTS_OF_A_TASK))
     blocks = plan.blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +164,7 @@ def _slots(spark, plan: Plan, shards: int, seed: int) -> DataFrame:
                     ["shard", "source_no", "slot", "block", "pass"],
                 )
 
-    return table.repartition(16, "shard", "source_no", "at").mapInArrow(
+    return table.repartition(tasks, "shard", "source_no", "at").mapInArrow(
         run, "shard int, source_no int, slot long, block long, pass int"
     )
 

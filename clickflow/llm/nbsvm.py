@@ -179,6 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     )
     # At most ``sample`` pairs of numbers: small enough to send to every task.
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # One row of each id: an id that many rows share weighs as one label and sends one text.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])

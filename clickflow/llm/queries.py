@@ -85,7 +85,7 @@ def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     model = nbsvm.train(docs, labels.where(fold != 2).select("doc_id", "quality"))
-    return nbsvm.score(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+    return nbsvm.score(docs, model).select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

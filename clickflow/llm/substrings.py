@@ -70,7 +70,7 @@ def _smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
 
 def _identified(docs: DataFrame) -> DataFrame:
     """doc_id, tag, text: ``tag`` tells rows of one doc_id with different texts apart."""
-    return docs.select("doc_id", F.hash("text").alias("tag"), "text")
+    return docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("tag"), "text")
 
 
 def anchors(rows: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def anchors(rows: DataFrame) -> DataFrame:
                     ["anchor", "extent", "doc_id", "tag", "run"],
                 )
 
-    return small_batches(rows).mapInArrow(run, f"anchor long, extent long, doc_id {kind}, tag int, run long")
+    return small_batches(rows).mapInArrow(run, f"anchor long, extent long, doc_id {kind}, tag binary, run long")
 
 
 def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -184,7 +184,8 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     return (
         seen.join(repeats, ["anchor", "extent"])
         .groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("run", "bits")).alias("runs"))
+        # Repeated rows bring each of their runs once.
+        .agg(F.collect_set(F.struct("run", "bits")).alias("runs"))
     )
 
 

@@ -234,3 +234,14 @@ def test_ids_of_added_tokens_equal_the_plain_library_call():
         for rows, block in text_blocks(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])):
             ids, begins = encoder(public_tokenizers.path(name)).encode(block)
             assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == want
+
+
+def test_shards_keep_columns_of_any_name(spark, tmpdir_):
+    docs = spark.createDataFrame(
+        [(i, f"text {i}", "en", f"s{i % 3}", f"own{i}", i * 10, "x") for i in range(60)],
+        "doc_id long, text string, lang string, source string, shard string, slot long, cell string",
+    )
+    hilbert.write_shards(docs, f"{tmpdir_}/named", shards=4)
+    back = spark.read.parquet(f"{tmpdir_}/named")
+    assert {(r.doc_id, r.doc_shard, r.doc_slot, r.doc_cell) for r in back.collect()} == {(i, f"own{i}", i * 10, "x") for i in range(60)}
+    assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [15] * 4

@@ -259,3 +259,13 @@ def test_dealt_queries_read_sf_tables(spark):
             assert df.select("doc_id").distinct().count() == docs
         else:
             assert n == docs
+
+
+def test_repeated_ids_weigh_once_in_the_classifier(spark):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, 60) if i % 2 else "zz qq " * 30) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + [rows[0]] * 5000, "doc_id long, text string").repartition(4)
+    a, b = nbsvm.train(once, labels), nbsvm.train(often, labels)
+    assert (a[0] == b[0]).all() and a[1:] == b[1:]

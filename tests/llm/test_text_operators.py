@@ -230,3 +230,14 @@ def test_substrings_of_long_and_hot_texts(spark):
     got = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect()}
     assert got == {i: (900, 900) for i in range(5)} | {100 + i: (52, 50) for i in range(300)}
     assert substrings.remove_repeats(empty(spark)).count() == 0
+
+
+def test_substrings_of_rows_without_ids(spark):
+    """Rows of one id are told apart by their texts; repeated rows do not multiply."""
+    rng = random.Random(14)
+    passage = " ".join(f"p{k}" for k in range(50))
+    rows = [(None, f"x{i} {passage} y{i}") for i in range(40)] + [(None, " ".join(f"u{rng.random()}" for _ in range(40))) for _ in range(200)]
+    rows += [(None, f"again {passage}")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect())
+    assert got == {(52, 50): 40, (40, 0): 200, (51, 51): 3000}
