@@ -45,27 +45,24 @@ def first_bans(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD, tiebreak:
     """(userid, ban): ``ban`` is the (ts_ms, tiebreak) struct of the user's first click
     numbered above the threshold in its (day, user, ad) group.
 
-    Groups are counted first, with partial aggregation; only clicks of groups above the
-    threshold go on. Their counts per minute, summed up in order, tell the minute in which
-    a group crosses the threshold, and only that minute's clicks are numbered: a hot group
+    Clicks are counted per minute first, with partial aggregation. Minutes of groups above
+    the threshold, summed up in order, tell the minute in which a group crosses it, and only
+    that minute's clicks are numbered: a hot group ships one row per minute and map task, and
     costs one window row per minute of its day, whatever the threshold.
     """
     order = _order(clicks, tiebreak)
     key = ["day", "userid", "adid"]
-    dated = with_day(clicks)
-    over = user_ad_daily_clicks(dated).filter(F.col("clicks") > F.lit(threshold)).select(*key)
     minute = F.floor(F.col("ts_ms") / F.lit(MINUTE_MS)).alias("_minute")
-    # The group keys are in every clicks row, so both sides shuffle on them alike.
-    hot = dated.select(*key, *order, minute).join(over, key, "left_semi")
+    dated = with_day(clicks).select(*key, *order, minute)
+    minutes = dated.groupBy(*key, "_minute").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    minutes = hot.groupBy(*key, "_minute").agg(F.count(F.lit(1)).alias("_n"))
     crossing = (
         minutes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .filter((F.col("_before") <= threshold) & (F.col("_before") + F.col("_n") > threshold))
         .select(*key, "_minute", "_before")
     )
-    numbered = hot.join(crossing, [*key, "_minute"]).withColumn(
-        "_at", F.col("_before") + F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    numbered = dated.join(crossing, [*key, "_minute"]).withColumn(
+        "_at", F.col("_before") + F.row_number().over(Window.partitionBy(*key, "_minute").orderBy(*order))
     )
     nth = numbered.filter(F.col("_at") == threshold + 1)
     return nth.groupBy("userid").agg(F.min(F.struct(*order)).alias("ban"))

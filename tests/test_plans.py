@@ -23,20 +23,37 @@ def test_top_n_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan_text(q(spark, "category_top10"))
 
 
-def test_session_top_uses_group_limit_and_bounded_broadcast(spark):
-    text = plan_text(q(spark, "category_session_top10"))
+def test_session_top_scans_once_and_limits_groups(spark):
+    df = q(spark, "category_session_top10")
+    text = plan_text(df)
     assert text.count("WindowGroupLimit") >= 2  # map side and reduce side
-    assert "BroadcastHashJoin LeftSemi" in text
+    assert count_nodes(df, "Scan parquet") == 1 and "Join" not in text
+    assert count_nodes(df, "Expand") == 1 and "TakeOrderedAndProject" in text
 
 
 def test_ban_search_ships_counts_not_clicks(spark):
     from clickflow.operators import first_bans
-    for threshold in (20, 5000):
-        df = first_bans(E._clicks(spark, SF), threshold)
-        df.collect()  # final adaptive plan: no group is above the threshold
-        tree = plan_text(df).split("\n\n")[0]
-        assert "WindowGroupLimit" not in tree
-        assert "Window" not in tree.split("== Initial Plan ==")[0]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for threshold in (20, 5000):
+            df = first_bans(E._clicks(spark, SF), threshold)
+            df.collect()  # final adaptive plan: no group is above the threshold
+            tree = plan_text(df).split("\n\n")[0].split("== Initial Plan ==")[0]
+            # The minutes' counts are shuffled and summed in order; no minute crosses, so the
+            # join with the clicks is empty.
+            assert "SortMergeJoin" not in tree and "WindowGroupLimit" not in tree
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_minutes_are_counted_before_the_first_shuffle_of_clicks(spark):
+    from clickflow.operators import first_bans
+
+    tree = plan_text(first_bans(E._clicks(spark, SF), 2)).split("\n\n")[0].split("\n")
+    window = max(i for i, line in enumerate(tree) if " Window" in line)  # the sum over minutes
+    below = [line.split("- ")[-1].split(" (")[0] for line in tree[window:]]
+    assert below[1:6] == ["Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate"]
 
 
 def test_session_adjacency_sorts_once(spark):
