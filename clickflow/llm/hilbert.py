@@ -1,7 +1,8 @@
 """Sharding along a Hilbert curve.
 
 Each document gets coordinates from its metadata: a length rank (sixteenths of the
-corpus by text bytes), its source and its language, each quantised to ``2 ** BITS`` steps.
+corpus by text bytes), its source and its language, each quantised to ``2 ** BITS`` steps;
+names get theirs by rank in code point order, so that a file's range of names is narrow.
 The cell's index along the Hilbert curve orders the corpus, so that neighbours on the curve
 are alike in every dimension, and runs of the curve are the shards: each shard's files
 cover few values of every dimension, and a reader's filters skip the others.
@@ -84,9 +85,32 @@ def curve_index(coordinates: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(corners, start, step, lambda s: s["index"])
 
 
-def _step_of_name(name: str, steps: int) -> Column:
-    """Names to steps by hash; null to step 0."""
-    return F.coalesce((1 + F.pmod(F.xxhash64(name), F.lit(steps - 1))).cast("int"), F.lit(0))
+#: Characters that tell names apart, after what all names begin with.
+NAME_CHARS = 7
+
+
+def _name_key(name: Column, skip: int) -> Column:
+    """A number that orders names by code point, from ``NAME_CHARS`` bytes after the first
+    ``skip`` characters; null for null."""
+    rest = F.substring(F.hex(F.encode(F.substr(name, F.lit(skip + 1)), "UTF-8")), 1, 2 * NAME_CHARS)
+    return F.conv(F.rpad(rest, 2 * NAME_CHARS, "0"), 16, 10).cast("long")
+
+
+def _name_steps(rows: DataFrame, name: str, steps: int) -> Column:
+    """The column's names to steps by their rank among all its names in code point order, so
+    that neighbours on the curve have neighbouring names; null to step 0. Names meet in
+    partial aggregation, and the driver gets two names and ``steps - 2`` numbers."""
+    names = rows.select(F.col(name).alias("name")).where("name is not null").groupBy("name").agg(F.lit(1).alias("one"))
+    ends = names.agg(F.min("name").alias("a"), F.max("name").alias("b")).first()
+    a, b = ends["a"] or "", ends["b"] or ""
+    skip = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    key = _name_key(F.col("name"), skip)
+    parts = [i / (steps - 1) for i in range(1, steps - 1)]
+    edges = names.agg(F.percentile_approx(key, parts, 10_000)).first()[0] or []
+    own = _name_key(F.col(name), skip)
+    # Equal edges count together, so few names spread over all steps.
+    rank = sum((F.when(own > edge, 1).otherwise(0) for edge in edges), F.lit(1))
+    return rank * F.col(name).isNotNull().cast("int")
 
 
 def with_cells(docs: DataFrame, bits: int = BITS) -> DataFrame:
@@ -99,7 +123,8 @@ def with_cells(docs: DataFrame, bits: int = BITS) -> DataFrame:
     # steps - 1 numbers, whatever the corpus.
     edges = rows.agg(F.percentile_approx("size", [i / steps for i in range(1, steps)], 10_000)).first()[0] or []
     rank = sum((F.when(F.col("size") > edge, 1).otherwise(0) for edge in edges), F.lit(0))
-    return rows.withColumn("cell", curve_index([rank, _step_of_name("source", steps), _step_of_name("lang", steps)], bits))
+    names = [_name_steps(docs, c, steps) for c in ("source", "lang")]
+    return rows.withColumn("cell", curve_index([rank, *names], bits))
 
 
 def shard_rows(
