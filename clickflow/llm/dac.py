@@ -7,24 +7,32 @@ place on the next level, so any id is read from a handful of bytes, without deco
 block.
 
 A segment is one byte string: magic, number of ids, number of levels, then for each level
-its length, the chunks, the bitmap and the rank directory. The corpus is a table of
-segments in ``doc_id`` order, written and read by Spark: part, segment, into (ids of the part
-before the segment), doc_ids, counts (the documents' id counts, as such codes too), n_tokens,
-ids. A part is what one write task holds; parts follow each other in ``doc_id`` order. Parquet is the container, so
-commits, retries and lost executors are Spark's business, and any store will do.
+its length, the chunks, the bitmap and the rank directory. Tasks write the corpus as files of
+segments in ``doc_id`` order below ``ids``, as they are, so that ``token_at`` reads any id of
+the corpus from some hundred bytes of a file. Their catalog is a table written by Spark: part,
+segment, into (ids of the part before the segment), doc_ids, counts (the documents' id
+counts, as such codes too), n_tokens, file, at, bytes. A part is what one write task holds;
+parts follow each other in ``doc_id`` order. Every attempt of a task writes a file of its own
+name, and Spark keeps the rows of one attempt: the catalog is the commit, and files that it
+does not name are leavings of lost attempts. Files go through ``pyarrow.fs``, so the folder may
+be any store that it and Spark both reach.
 
 Defined results: a null text is empty and has its end id only; a null ``doc_id`` comes
-first; rows of one ``doc_id`` are ordered by text; an empty table has no segments.
+first; rows of one ``doc_id`` are ordered by a hash of the text; repeated rows are documents of
+their own; a very long text is a segment of its own; extra columns are ignored; an empty table
+has no segments.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,51 +71,57 @@ def pack_ids(ids: np.ndarray) -> bytes:
 
 
 class Segment:
-    """Reads a segment: ``segment[i]`` for one id, ``all()`` for all of them."""
-
-    def __init__(self, data: bytes) -> None:
-        if data[:4] != MAGIC:
+    """Reads a segment: ``segment[i]`` for one id, ``all()`` for all of them. ``data`` is its
+    bytes, or a function of offset and length that reads some of them: one id takes the
+    header, and of each level its length, one chunk, a rank and at most ``RANK_BITS`` bits."""
+
+    def __init__(self, data: bytes | Callable[[int, int], bytes]) -> None:
+        self._read = data if callable(data) else lambda at, n: data[at : at + n]
+        head = self._read(0, 13)
+        if head[:4] != MAGIC:
             raise ValueError("not a segment of directly addressable codes")
-        self.n, n_levels = struct.unpack_from("<QB", data, 4)
-        at, self.levels = 13, []
-        for _ in range(n_levels):
-            (n,) = struct.unpack_from("<Q", data, at)
-            at += 8
-            level = []
-            for kind, size in ((np.uint8, n), (np.uint8, -(-n // 8)), (np.dtype("<u8"), -(-n // RANK_BITS))):
-                level.append(np.frombuffer(data, kind, size, at))
-                at += level[-1].nbytes
-            self.levels.append(tuple(level))
+        self.n, self.n_levels = struct.unpack_from("<QB", head, 4)
 
     def __len__(self) -> int:
         return self.n
 
+    def _levels(self) -> Iterator[tuple[int, int, int, int]]:
+        """Length of each level, and where its chunks, bitmap and ranks begin."""
+        at = 13
+        for _ in range(self.n_levels):
+            (n,) = struct.unpack("<Q", self._read(at, 8))
+            bitmap = at + 8 + n
+            ranks = bitmap + -(-n // 8)
+            yield n, at + 8, bitmap, ranks
+            at = ranks + 8 * -(-n // RANK_BITS)
+
     def __getitem__(self, i: int) -> int:
         if not 0 <= i < self.n:
             raise IndexError(i)
         value = shift = 0
-        for chunks, bits, before in self.levels:
-            value |= int(chunks[i]) << shift
-            if not bits[i >> 3] >> (i & 7) & 1:
-                break
+        for _, chunks, bitmap, ranks in self._levels():
+            value |= self._read(chunks + i, 1)[0] << shift
             block = i // RANK_BITS
-            low = block * RANK_BITS >> 3
-            ones = int(np.bitwise_count(bits[low : i >> 3]).sum())
-            ones += (int(bits[i >> 3]) & ((1 << (i & 7)) - 1)).bit_count()
-            i = int(before[block]) + ones
+            low = block * RANK_BITS
+            # The bits of the block up to and with the id's own, lowest first.
+            bits = int.from_bytes(self._read(bitmap + (low >> 3), (i - low >> 3) + 1), "little") & ((2 << (i - low)) - 1)
+            if not bits >> (i - low):
+                break
+            i = struct.unpack("<Q", self._read(ranks + 8 * block, 8))[0] + bits.bit_count() - 1
             shift += CHUNK_BITS
         return value
 
     def all(self) -> np.ndarray:
         out = np.zeros(self.n, np.uint32)
         place = np.arange(self.n)
-        for k, (chunks, bits, _) in enumerate(self.levels):
-            out[place] |= chunks.astype(np.uint32) << (CHUNK_BITS * k)
-            place = place[np.unpackbits(bits, count=len(chunks), bitorder="little").astype(bool)]
+        for k, (n, chunks, bitmap, ranks) in enumerate(self._levels()):
+            out[place] |= np.frombuffer(self._read(chunks, n), np.uint8).astype(np.uint32) << (CHUNK_BITS * k)
+            bits = np.frombuffer(self._read(bitmap, ranks - bitmap), np.uint8)
+            place = place[np.unpackbits(bits, count=n, bitorder="little").astype(bool)]
         return out
 
 
-_FIELDS = "part int, segment int, into long, doc_ids array<{}>, counts binary, n_tokens long, ids binary"
+_FIELDS = "part int, segment int, into long, doc_ids array<{}>, counts binary, n_tokens long, file string, at long, bytes long"
 
 
 def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
@@ -117,10 +131,19 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
         doc_ids, ids, counts, held, segment, into = [], [], [], 0, 0, 0
+        # No other attempt has this name; the catalog names the files of those that count.
+        name, out, at = f"ids/part-{part:05d}-{uuid.uuid4().hex}.dac", None, 0
 
         def flush() -> pa.RecordBatch:
-            flat = np.concatenate(ids)
+            nonlocal out, at
+            if out is None:
+                store, place = pyarrow.fs.FileSystem.from_uri(path)
+                store.create_dir(f"{place}/ids", recursive=True)
+                out = store.open_output_stream(f"{place}/{name}", compression=None)
             names = pa.concat_arrays(doc_ids)
+            data = pack_ids(np.concatenate(ids))
+            out.write(data)
+            at += len(data)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
@@ -128,10 +151,12 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END
                     pa.array([into], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
                     pa.array([pack_ids(np.concatenate(counts))], pa.binary()),
-                    pa.array([len(flat)], pa.int64()),
-                    pa.array([pack_ids(flat)], pa.binary()),
+                    pa.array([held], pa.int64()),
+                    pa.array([name]),
+                    pa.array([at - len(data)], pa.int64()),
+                    pa.array([len(data)], pa.int64()),
                 ],
-                ["part", "segment", "into", "doc_ids", "counts", "n_tokens", "ids"],
+                ["part", "segment", "into", "doc_ids", "counts", "n_tokens", "file", "at", "bytes"],
             )
 
         for batch in batches:
@@ -145,43 +170,64 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = END
                 if held >= SEGMENT_TOKENS:
                     yield flush()
                     doc_ids, ids, counts, held, segment, into = [], [], [], 0, segment + 1, into + held
-        if held:
-            yield flush()
+        last = flush() if held else None
+        if out is not None:
+            # Before the last row leaves: a task whose rows are kept has a whole file.
+            out.close()
+        if last is not None:
+            yield last
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.hash("text"))
-    small_batches(ordered).mapInArrow(run, _FIELDS.format(kind)).write.parquet(path)
+    small_batches(ordered).mapInArrow(run, _FIELDS.format(kind)).write.parquet(f"{path}/catalog")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of a written corpus: doc_id, start (ids before it), n_tokens, ids_crc32."""
-    segments = spark.read.parquet(path)
-    kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
+def _catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The written segments with ``start``, the ids of the corpus before them."""
+    segments = spark.read.parquet(f"{path}/catalog")
     # One row per write task, as many as the writer had shuffle partitions: one task orders
     # them, and they are small enough to send to every task.
     parts = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return segments.join(F.broadcast(parts), "part").withColumn("start", F.col("first") + F.col("into"))
+
+
+def token_at(spark: SparkSession, path: str, position: int) -> int:
+    """The id at a position of the whole corpus. Of the file that holds it some hundred bytes
+    are read, however long it is; the catalog is asked for that segment's row."""
+    here = (F.col("start") <= position) & (F.col("start") + F.col("n_tokens") > position)
+    row = _catalog(spark, path).where(here).select("file", "at", "start").first()
+    if position < 0 or row is None:
+        raise IndexError(position)
+    store, place = pyarrow.fs.FileSystem.from_uri(path)
+    with store.open_input_file(f"{place}/{row['file']}") as file:
+        return Segment(lambda at, n: file.read_at(n, row["at"] + at))[position - row["start"]]
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Per document of a written corpus: doc_id, start (ids before it), n_tokens, ids_crc32."""
+    segments = _catalog(spark, path)
+    kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = pyarrow.fs.FileSystem.from_uri(path)
         for batch in batches:
             for row in range(len(batch)):
                 doc_ids = batch.column(0).slice(row, 1).flatten()
                 counts = Segment(batch.column(1)[row].as_py()).all().astype(np.int64)
-                ids = memoryview(Segment(batch.column(2)[row].as_py()).all().astype("<u4").tobytes())
+                name, at, size, start = (batch.column(c)[row].as_py() for c in range(2, 6))
+                with store.open_input_file(f"{place}/{name}") as file:
+                    data = file.read_at(size, at)
+                if len(data) != size:
+                    raise OSError(f"{name} is not the file that was written")
+                ids = memoryview(Segment(data).all().astype("<u4").tobytes())
                 ends = np.cumsum(counts)
                 sums = [zlib.crc32(ids[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        doc_ids,
-                        pa.array(batch.column(3)[row].as_py() + ends - counts),
-                        pa.array(counts),
-                        pa.array(sums, pa.int64()),
-                    ],
+                    [doc_ids, pa.array(start + ends - counts), pa.array(counts), pa.array(sums, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return (
-        segments.join(F.broadcast(parts), "part")
-        .select("doc_ids", "counts", "ids", (F.col("first") + F.col("into")).alias("start"))
-        .mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return segments.select("doc_ids", "counts", "file", "at", "bytes", "start").mapInArrow(
+        run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"
     )

@@ -176,6 +176,42 @@ def test_codes_give_any_id():
         dac.Segment(dac.pack_ids(np.zeros(3, np.uint32)))[3]
 
 
+def test_any_token_is_read_from_few_bytes(spark, tmpdir_, monkeypatch):
+    monkeypatch.setattr(dac, "SEGMENT_TOKENS", 30_000)
+    docs, path = both(spark), f"{tmpdir_}/dac"
+    dac.write_segments(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    rows = sorted(docs.where("doc_id is not null").collect(), key=lambda r: r.doc_id)
+    starts = {r.doc_id: r for r in dac.read_documents(spark, path).collect() if r.doc_id is not None}
+    total = dac.read_documents(spark, path).agg({"n_tokens": "sum"}).first()[0]
+    read = []
+
+    class Counted(dac.Segment):
+        def __init__(self, data):
+            super().__init__(lambda at, n: (read.append(n), data(at, n))[1])
+
+    monkeypatch.setattr(dac, "Segment", Counted)
+    long = next(r for r in rows if r.doc_id == 12)
+    ids = _ids("word_bpe_49k.json", [long.text], dac.END_ID)[0]
+    assert starts[12].n_tokens == len(ids) > 50_000
+    for i in (0, 1, 511, 512, 12_345, len(ids) - 2, len(ids) - 1):
+        read.clear()
+        assert dac.token_at(spark, path, starts[12].start + i) == ids[i]
+        assert sum(read) <= 13 + 4 * (8 + 1 + 64 + 8)
+    assert dac.token_at(spark, path, total - 1) == dac.END_ID
+    for beyond in (-1, total):
+        with pytest.raises(IndexError):
+            dac.token_at(spark, path, beyond)
+
+
+def test_files_of_lost_attempts_are_not_read(spark, tmpdir_):
+    path = f"{tmpdir_}/dac"
+    dac.write_segments(both(spark), path, public_tokenizers.path("word_bpe_49k.json"))
+    want = dac.read_documents(spark, path).count()
+    with open(f"{path}/ids/part-00000-lost.dac", "wb") as half:
+        half.write(b"DAC1 and half a segment")
+    assert dac.read_documents(spark, path).count() == want
+
+
 def test_written_ids_come_back(spark, tmpdir_, monkeypatch):
     monkeypatch.setattr(dac, "SEGMENT_TOKENS", 1000)
     docs = both(spark)
@@ -236,6 +272,42 @@ def test_ids_of_added_tokens_equal_the_plain_library_call():
             assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == want
 
 
+def test_a_filter_opens_few_files(spark, tmpdir_):
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    hilbert.write_shards(docs, f"{tmpdir_}/pruned")
+    files = sorted(Path(f"{tmpdir_}/pruned").rglob("*.parquet"))
+    assert len(files) >= 16
+    for column in ("source", "lang"):
+        ranges = []
+        for file in files:
+            meta = pq.ParquetFile(file).metadata
+            k = meta.schema.to_arrow_schema().get_field_index(column)
+            found = [meta.row_group(g).column(k).statistics for g in range(meta.num_row_groups)]
+            ranges.append((min(s.min for s in found), max(s.max for s in found)))
+        # A name of most rows lies in most files, whatever the order.
+        counts = docs.groupBy(column).count().collect()
+        names = [r[0] for r in counts if r["count"] <= sum(c["count"] for c in counts) / 4]
+        assert len(names) >= 3
+        opened = [sum(lo <= n <= hi for lo, hi in ranges) for n in names]
+        # A name lies in one half of its dimension; shards that reach over the middle add some.
+        assert sum(opened) / len(opened) <= len(files) / 2 and max(opened) <= 0.6 * len(files), opened
+
+
+def test_names_get_steps_in_code_point_order(spark):
+    rows = [(i, "t", f"site-{n:03d}" if n else None, "é" * (n % 3)) for i, n in enumerate(list(range(40)) * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    step = hilbert._name_steps(docs, "source", 16)
+    found = [(r.source or "", r.s) for r in docs.select("source", step.alias("s")).distinct().collect()]
+    steps = [s for _, s in sorted(found)]
+    assert steps == sorted(steps) and steps[0] == 0 and set(steps) == set(range(16))
+    langs = docs.select("lang", hilbert._name_steps(docs, "lang", 16).alias("s")).distinct().collect()
+    assert len({r.s for r in langs}) == 3
+    assert hilbert.with_cells(empty(spark)).count() == 0
+
+
 def test_shards_keep_columns_of_any_name(spark, tmpdir_):
     docs = spark.createDataFrame(
         [(i, f"text {i}", "en", f"s{i % 3}", f"own{i}", i * 10, "x") for i in range(60)],
