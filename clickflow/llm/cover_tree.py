@@ -45,7 +45,7 @@ BLOCK = 2048
 TOP_SAMPLE, TOP_LABELS = 16_384, 256
 #: Nets go down to this share of the chord distance; leaves are compared as matrices.
 LEAF_SHARE = 0.5
-SLACK = 1e-9
+SLACK = 1e-7
 
 
 def unit_vectors(rows: DataFrame, id_column: str, vector: str, label: str) -> DataFrame:
@@ -208,8 +208,10 @@ def _top_centres(nodes: DataFrame, sizes: DataFrame, block: int) -> dict[str, np
     out = {}
     for r in large:
         points = np.array(drawn.get(r["part"], []))
-        wanted = -(-r["n"] // block)
-        if len(points) < wanted:
+        # A part of more blocks than sample vectors has a centre at each of these; its cells
+        # then hold several blocks.
+        wanted = min(-(-r["n"] // block), len(points))
+        if not wanted:
             continue
         radius, centres = 2.0, np.zeros(1, np.int64)
         while len(centres) < wanted and radius > 1e-3:
@@ -240,11 +242,20 @@ def near_vectors(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell, far = np.zeros(len(batch), np.int32), np.full(len(batch), 2.0)
-            for i, (part, v) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                if part in tops:
-                    distance = _distances(np.frombuffer(v)[None], tops[part])[0]
-                    cell[i] = distance.argmin()
-                    far[i] = distance[cell[i]]
+            parts = batch.column(1).dictionary_encode()
+            of = parts.indices.to_numpy(zero_copy_only=False)
+            for k, part in enumerate(parts.dictionary.to_pylist()):
+                if part not in tops:
+                    continue
+                mine = np.flatnonzero(of == k)
+                # As many rows at once as keep the matrix of distances at 8 MB.
+                step = max(1, (1 << 20) // len(tops[part]))
+                for lo in range(0, len(mine), step):
+                    rows = mine[lo : lo + step]
+                    points = np.array([np.frombuffer(v) for v in batch.column(2).take(pa.array(rows)).to_pylist()])
+                    distance = _distances(points, tops[part])
+                    cell[rows] = distance.argmin(axis=1)
+                    far[rows] = distance[np.arange(len(rows)), cell[rows]]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cell), pa.array(far)], ["node", "part", "v", "mult", "cell", "far"]
             )
@@ -348,7 +359,9 @@ def near_vectors(
             "first",
         )
     )
-    smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Both written: a join on top of the aggregate could not be split where a component is large.
+    known = written(known, "known")
+    smallest = written(known.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     named = known.join(smallest, "root").select("node", "n_links", "component_id")
     out = units.select("id", "node").join(named, "node", "left")
     component = F.coalesce("component_id", "id")
