@@ -387,7 +387,10 @@ def _verdicts(docs: DataFrame, threshold: float) -> DataFrame:
         labels = written(_merged(labels, more), "labels")
 
     roots = first.join(labels, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    # Both written: a join on top of the aggregate could not be split where a class is large.
+    roots = written(roots, "roots")
     named = roots.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("best"))
+    named = written(named, "named")
     classes = roots.join(named, "root").select(
         F.col("node").alias("_node"), F.col("best.doc_id").alias("class_id"), F.col("best.node").alias("_kept")
     )
