@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +31,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    # Imported where it is used: without the vocabulary files the other queries still work.
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -51,7 +57,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "dac")
-    dac.write_segments(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    dac.write_segments(_read(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"))
     return dac.read_documents(spark, path)
 
 
@@ -69,7 +75,7 @@ def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
+    path = _tokenizer("byte_bpe_50k.json")
     return packing.pack(_read(spark, sf_dir, "documents"), path)
 
 
