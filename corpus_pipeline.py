@@ -8,7 +8,6 @@ most its stage's unfinished work. All stages but the last return the columns of
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clickflow.llm import mixing, packing, quality_rules, secrets, weighted_minhash
@@ -37,6 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their sequence and offset."""
+    import public_tokenizers  # the only stage that needs the vocabulary files
+
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -48,7 +49,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Sampling, hashing and tokenizing have no SQL form; tests compare with brute force.
+#: Sampling, hashing and tokenizing have no SQL form; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
