@@ -96,10 +96,10 @@ def _name_key(name: Column, skip: int) -> Column:
     return F.conv(F.rpad(rest, 2 * NAME_CHARS, "0"), 16, 10).cast("long")
 
 
-def _name_steps(rows: DataFrame, name: str, steps: int) -> Column:
-    """The column's names to steps by their rank among all its names in code point order, so
-    that neighbours on the curve have neighbouring names; null to step 0. Names meet in
-    partial aggregation, and the driver gets two names and ``steps - 2`` numbers."""
+def _with_steps(rows: DataFrame, name: str, steps: int, out: str) -> DataFrame:
+    """``rows`` with ``out``, the steps of the column's names by their rank among all its names in
+    code point order, so that neighbours on the curve have neighbouring names; null to step 0.
+    Names meet in partial aggregation; the driver gets two names and ``steps - 2`` numbers."""
     names = rows.select(F.col(name).alias("name")).where("name is not null").groupBy("name").agg(F.lit(1).alias("one"))
     ends = names.agg(F.min("name").alias("a"), F.max("name").alias("b")).first()
     a, b = ends["a"] or "", ends["b"] or ""
@@ -107,24 +107,29 @@ def _name_steps(rows: DataFrame, name: str, steps: int) -> Column:
     key = _name_key(F.col("name"), skip)
     parts = [i / (steps - 1) for i in range(1, steps - 1)]
     edges = names.agg(F.percentile_approx(key, parts, 10_000)).first()[0] or []
-    own = _name_key(F.col(name), skip)
-    # Equal edges count together, so few names spread over all steps.
-    rank = sum((F.when(own > edge, 1).otherwise(0) for edge in edges), F.lit(1))
-    return rank * F.col(name).isNotNull().cast("int")
+    # Columns of their own, so that the key and the rank are worked out once a row. Equal edges
+    # count together, so few names spread over all steps.
+    keyed = rows.withColumn(out, _name_key(F.col(name), skip))
+    rank = sum((F.when(F.col(out) > edge, 1).otherwise(0) for edge in edges), F.lit(1))
+    return keyed.withColumn(out, rank * F.col(out).isNotNull().cast("int"))
 
 
 def with_cells(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """``docs`` with ``size``, ``text_crc32`` and ``cell``, their cell's index along the curve."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    held = docs.columns
     rows = docs.withColumn("size", (F.octet_length(text) + 1).cast("long")).withColumn(
         "text_crc32", F.crc32(text.cast("binary"))
     )
+    made = [f"_step{i}" + "_" * max(map(len, held)) for i in range(DIMS)]
     steps = 2**bits
     # steps - 1 numbers, whatever the corpus.
     edges = rows.agg(F.percentile_approx("size", [i / steps for i in range(1, steps)], 10_000)).first()[0] or []
     rank = sum((F.when(F.col("size") > edge, 1).otherwise(0) for edge in edges), F.lit(0))
-    names = [_name_steps(docs, c, steps) for c in ("source", "lang")]
-    return rows.withColumn("cell", curve_index([rank, *names], bits))
+    rows = rows.withColumn(made[0], rank)
+    for name, out in zip(("source", "lang"), made[1:], strict=True):
+        rows = _with_steps(rows, name, steps, out)
+    return rows.withColumn("cell", curve_index([F.col(c) for c in made], bits)).drop(*made)
 
 
 def shard_rows(

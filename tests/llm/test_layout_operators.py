@@ -299,11 +299,10 @@ def test_a_filter_opens_few_files(spark, tmpdir_):
 def test_names_get_steps_in_code_point_order(spark):
     rows = [(i, "t", f"site-{n:03d}" if n else None, "é" * (n % 3)) for i, n in enumerate(list(range(40)) * 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
-    step = hilbert._name_steps(docs, "source", 16)
-    found = [(r.source or "", r.s) for r in docs.select("source", step.alias("s")).distinct().collect()]
+    found = [(r.source or "", r.s) for r in hilbert._with_steps(docs, "source", 16, "s").collect()]
     steps = [s for _, s in sorted(found)]
     assert steps == sorted(steps) and steps[0] == 0 and set(steps) == set(range(16))
-    langs = docs.select("lang", hilbert._name_steps(docs, "lang", 16).alias("s")).distinct().collect()
+    langs = hilbert._with_steps(docs, "lang", 16, "s").collect()
     assert len({r.s for r in langs}) == 3
     assert hilbert.with_cells(empty(spark)).count() == 0
 
